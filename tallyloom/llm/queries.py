@@ -2,12 +2,18 @@
 
 from __future__ import annotations
 
+from tallyloom.llm import mixing
 from tallyloom.llm.fingerprints import op1_fingerprints
+from tallyloom.llm.licences import op7_licences
 from tallyloom.llm.simhash import op2_simhash
+from tallyloom.llm.tokens import op4_token_ids
 
 QUERIES = {
     "op1_fingerprints": op1_fingerprints,
     "op2_simhash": op2_simhash,
+    "op4_token_ids": op4_token_ids,
+    "op6_mixing": mixing.op6_mixing,
+    "op7_licences": op7_licences,
 }
 
-ORACLE: dict[str, str] = {}
+ORACLE = {"op6_mixing": mixing.OP6_SQL}
