@@ -40,3 +40,9 @@ def ascii_lower(text: Column) -> Column:
 
 def parts(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+def once(df: DataFrame, **columns: Column) -> DataFrame:
+    """df with columns that are computed once a row: a one-element explode, over which the optimiser doesn't merge projections."""
+    one = F.explode(F.array(F.struct(*(c.alias(k) for k, c in columns.items())))).alias("_once")
+    return df.select(*(df[c] for c in df.columns if c not in columns), one).select(*(c for c in df.columns if c not in columns), "_once.*")

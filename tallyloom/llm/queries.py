@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
-from tallyloom.llm import mixing
+from tallyloom.llm import mixing, urls
+from tallyloom.llm.decontaminate import op10_decontaminate
 from tallyloom.llm.fingerprints import op1_fingerprints
 from tallyloom.llm.licences import op7_licences
 from tallyloom.llm.simhash import op2_simhash
 from tallyloom.llm.tokens import op4_token_ids
+from tallyloom.llm.toxicity import op8_toxicity
 
 QUERIES = {
     "op1_fingerprints": op1_fingerprints,
@@ -14,6 +16,9 @@ QUERIES = {
     "op4_token_ids": op4_token_ids,
     "op6_mixing": mixing.op6_mixing,
     "op7_licences": op7_licences,
+    "op8_toxicity": op8_toxicity,
+    "op9_urls": urls.op9_urls,
+    "op10_decontaminate": op10_decontaminate,
 }
 
-ORACLE = {"op6_mixing": mixing.OP6_SQL}
+ORACLE = {"op6_mixing": mixing.OP6_SQL, "op9_urls": urls.OP9_SQL}
