@@ -82,9 +82,17 @@ class Index:
         rich = rich[item]
         item, shift = item[rich], shift[rich]
         band = shift // (self.budget[item] + 1)
+        place = self.place[post][rich]
         key = np.concatenate([item << 32 | (band + (1 << 30)), item << 32 | (band - 1 + (1 << 30))])
-        key, count = np.unique(key, return_counts=True)
-        key = key[count >= self.bound[key >> 32]]
+        full, count = np.unique(key, return_counts=True)
+        full = full[count >= self.bound[full >> 32]]
+        if not len(full):
+            return []
+        # Only different q-grams of the item count: a text may repeat one at many places of a band.
+        at = np.minimum(np.searchsorted(full, key), len(full) - 1)
+        kept = full[at] == key
+        different = np.unique(at[kept] << 32 | np.concatenate([place, place])[kept]) >> 32
+        key = full[np.bincount(different, minlength=len(full)) >= self.bound[full >> 32]]
         return [(int(k >> 32), int(k & 0xFFFFFFFF) - (1 << 30)) for k in key]
 
 
