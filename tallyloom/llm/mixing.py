@@ -87,9 +87,11 @@ FROM e
 
 def mix_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pipeline stage: the mix of docs in the order of finish times, with the columns of docs; a document taken in several passes is there as often, and one that the end of the budget cuts keeps its first words (n_chars follows). Documents that the mix has no room for go."""
-    copies = served(docs.withColumn("size", word_count(F.col("text")))).withColumn("_p", F.explode("passes")).where("_p.taken > 0")
-    head = F.array_join(F.slice(F.split(F.btrim("text", F.lit(" \t\n\x0b\x0c\r")), r"(?<=[\x20\x09-\x0D])(?=[^\x20\x09-\x0D])"), 1, F.col("_p.taken").cast("int")), "")
-    cut = F.col("_p.taken") < F.col("size")
-    copies = copies.withColumn("_text", F.when(cut, head).otherwise(F.col("text")))
-    sorted_ = copies.repartitionByRange(parts(docs.sparkSession), F.col("_p.finish"), "doc_id").sortWithinPartitions("_p.finish", "doc_id")
-    return sorted_.select(*[F.col("_text").alias("text") if c == "text" else F.when(cut, F.length("_text").cast("long")).otherwise(F.col(c)).alias(c) if c == "n_chars" else F.col(c) for c in docs.columns])
+    rows = docs.select("doc_id", "source", word_count(F.col("text")).alias("size"), F.struct(*(docs[c] for c in docs.columns)).alias("row"))
+    copies = served(rows).select("size", "row", F.explode("passes").alias("pass")).where("pass.taken > 0")
+    taken, cut, text = F.col("pass.taken"), F.col("pass.taken") < F.col("size"), F.col("row.text")
+    pieces = F.split(F.ltrim(text), r"(?<=[\x20\x09-\x0D])(?=[^\x20\x09-\x0D])")
+    copies = copies.withColumn("head", F.when(cut, F.rtrim(F.array_join(F.slice(pieces, 1, taken.cast("int")), ""))))
+    in_order = copies.repartitionByRange(parts(docs.sparkSession), "pass.finish", "row.doc_id").sortWithinPartitions("pass.finish", "row.doc_id")
+    changed = {"text": F.coalesce("head", text), "n_chars": F.coalesce(F.length("head").cast("long"), F.col("row.n_chars")) if "n_chars" in docs.columns else None}
+    return in_order.select(*(changed.get(c, F.col(f"row.{c}")).alias(c) for c in docs.columns))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tallyloom.llm import mixing, urls
+from tallyloom.llm import fixity, mixing, urls
 from tallyloom.llm.decontaminate import op10_decontaminate
 from tallyloom.llm.fingerprints import op1_fingerprints
 from tallyloom.llm.licences import op7_licences
@@ -14,6 +14,7 @@ QUERIES = {
     "op1_fingerprints": op1_fingerprints,
     "op2_simhash": op2_simhash,
     "op4_token_ids": op4_token_ids,
+    "op5_fixity": fixity.op5_fixity,
     "op6_mixing": mixing.op6_mixing,
     "op7_licences": op7_licences,
     "op8_toxicity": op8_toxicity,
@@ -21,4 +22,4 @@ QUERIES = {
     "op10_decontaminate": op10_decontaminate,
 }
 
-ORACLE = {"op6_mixing": mixing.OP6_SQL, "op9_urls": urls.OP9_SQL}
+ORACLE = {"op5_fixity": fixity.OP5_SQL, "op6_mixing": mixing.OP6_SQL, "op9_urls": urls.OP9_SQL}
