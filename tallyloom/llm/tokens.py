@@ -23,9 +23,9 @@ from tallyloom.llm.ordering import bounds, in_ranges, order_key
 
 END_ID = 0
 #: Bytes of a block's bit stream at which it is closed; words whose ids a worker remembers.
-BLOCK, WORDS = 1 << 18, 1_000_000
+BLOCK, WORDS = 1 << 18, 600_000
 #: Bytes of text that are encoded at once.
-STEP = 16 << 20
+STEP = 4 << 20
 #: Where one white space next to another could make a token that spans the cut between two words.
 _WIDE = r"[\s\x0b\x1c-\x1f\x85\p{Z}] | [\s\x0b\x1c-\x1f\x85\p{Z}]"
 #: Marks that are a piece of their own after a word, if nothing follows them; byte-level BPE's letters for bytes that are no visible character.

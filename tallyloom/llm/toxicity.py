@@ -64,18 +64,26 @@ def held_out(doc_id: str = "doc_id") -> Column:
 
 
 def _shared_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    total = np.zeros(_SHARED, np.int64)
+    total = np.zeros(_SHARED, np.uint32)  # of a partition
+
+    def add(held: list[np.ndarray]) -> None:
+        gram, n = np.unique(np.concatenate(held), return_counts=True)
+        total[gram] += n.astype(np.uint32)
+
     for batch in batches:
-        held: list[np.ndarray] = []
+        held, size = [], 0
         for text in batch.column(0):
-            held.append(grams(symbols(text.as_py()), ORDER - 1))
-            if sum(map(len, held[-1:])) > 1 << 20 or len(held) >= 500:
-                np.add(total, np.bincount(np.concatenate(held), minlength=_SHARED), out=total)
-                held = []
+            held.append(grams(symbols(text.as_py()), ORDER - 1).astype(np.int32))
+            size += len(held[-1])
+            if size > 1 << 20:
+                add(held)
+                held, size = [], 0
         if held:
-            np.add(total, np.bincount(np.concatenate(held), minlength=_SHARED), out=total)
+            add(held)
     used = np.flatnonzero(total)
-    yield pa.RecordBatch.from_arrays([pa.array(used), pa.array(total[used])], names=["gram", "n"])
+    for at in range(0, len(used), 1 << 16):
+        some = used[at : at + (1 << 16)]
+        yield pa.RecordBatch.from_arrays([pa.array(some), pa.array(total[some].astype(np.int64))], names=["gram", "n"])
 
 
 def _class_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -123,27 +131,28 @@ def class_model(gram: np.ndarray, toxic: np.ndarray, n: np.ndarray, shared) -> t
     return context, ratio.astype(np.float32)
 
 
-_dense: dict = {}
+_made: dict = {}
 
 
-def _tables(model) -> tuple[np.ndarray, np.ndarray]:
-    """The broadcast model as an index over all contexts and rows of ratios (row 0: unknown context); made once a worker."""
+def _tables(model) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The broadcast model as three small tables: row of the first 3 symbols, row of those and the fourth, ratios of the fifth (row 0: unknown). Made once a worker."""
     key, context, ratio = model.value
-    if _dense.get("key") != key:
-        index = np.zeros(_SHARED, np.int32)
-        index[context] = 1 + np.arange(len(context))
-        _dense.update(key=key, tables=(index, np.concatenate([np.zeros((1, 64), np.float32), ratio]).ravel()))
-    return _dense["tables"]
+    if _made.get("key") != key:
+        prefix, at = np.unique(context >> _BITS, return_inverse=True)
+        first, second = np.zeros(_SHARED >> _BITS, np.int32), np.zeros((len(prefix) + 1, 64), np.int32)
+        first[prefix] = 1 + np.arange(len(prefix))
+        second[1 + at, context & 63] = 1 + np.arange(len(context))
+        _made.update(key=key, tables=(first, second.ravel(), np.concatenate([np.zeros((1, 64), np.float32), ratio]).ravel()))
+    return _made["tables"]
 
 
-def features(text: str | None, index: np.ndarray, ratio: np.ndarray) -> tuple[float, float, float]:
+def features(text: str | None, first: np.ndarray, second: np.ndarray, ratio: np.ndarray) -> tuple[float, float, float]:
     s = symbols(text)
     if len(s) < ORDER:
         return 0.0, 0.0, float(np.log(len(s) + 10))
-    k = s[: len(s) - ORDER + 1].astype(np.int32)
-    for i in range(1, ORDER - 1):
-        k = (k << _BITS) | s[i : len(s) - ORDER + 1 + i]
-    v = ratio[(index[k].astype(np.int64) << _BITS) | s[ORDER - 1 :]]
+    n = len(s) - ORDER + 1
+    k = (s[:n].astype(np.int32) << 2 * _BITS) | (s[1 : n + 1].astype(np.int32) << _BITS) | s[2 : n + 2]
+    v = ratio[(second[(first[k] << _BITS) | s[3 : n + 3]] << _BITS) | s[4:]]
     run = np.concatenate([[0.0], np.cumsum(v, dtype=np.float64)])
     w = min(WINDOW, len(v))
     return float((run[w:] - run[:-w]).max() / WINDOW), float(run[-1] / len(v)), float(np.log(len(s) + 10))
@@ -152,8 +161,8 @@ def features(text: str | None, index: np.ndarray, ratio: np.ndarray) -> tuple[fl
 def _featured(model):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            index, ratio = _tables(model)
-            f = np.array([features(t.as_py(), index, ratio) for t in batch.column(1)]).reshape(-1, 3)
+            own = _tables(model)
+            f = np.array([features(t.as_py(), *own) for t in batch.column(1)]).reshape(-1, 3)
             yield pa.RecordBatch.from_arrays([batch.column(0), *(pa.array(f[:, i]) for i in range(3))], names=["key", "top", "mean", "log_n"])
 
     return run
@@ -219,8 +228,8 @@ def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _tag(model, w: list[float], at: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            index, ratio = _tables(model)
-            f = np.array([features(t.as_py(), index, ratio) for t in batch.column(at)]).reshape(-1, 3)
+            own = _tables(model)
+            f = np.array([features(t.as_py(), *own) for t in batch.column(at)]).reshape(-1, 3)
             keep = f @ np.array(w[:3]) + w[3] < 0
             yield batch.filter(pa.array(keep))
 
