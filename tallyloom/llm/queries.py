@@ -6,6 +6,7 @@ from tallyloom.llm import fixity, mixing, urls
 from tallyloom.llm.decontaminate import op10_decontaminate
 from tallyloom.llm.fingerprints import op1_fingerprints
 from tallyloom.llm.licences import op7_licences
+from tallyloom.llm.lines import op3_lines
 from tallyloom.llm.simhash import op2_simhash
 from tallyloom.llm.tokens import op4_token_ids
 from tallyloom.llm.toxicity import op8_toxicity
@@ -13,6 +14,7 @@ from tallyloom.llm.toxicity import op8_toxicity
 QUERIES = {
     "op1_fingerprints": op1_fingerprints,
     "op2_simhash": op2_simhash,
+    "op3_lines": op3_lines,
     "op4_token_ids": op4_token_ids,
     "op5_fixity": fixity.op5_fixity,
     "op6_mixing": mixing.op6_mixing,
