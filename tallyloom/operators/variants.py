@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 def prompts(variants: Column, fallback: Column) -> Column:
     """Trimmed variants that aren't blank; if none is left, the one caption."""
-    kept = F.filter(F.transform(F.coalesce(variants, F.array().cast("array<string>")), F.trim), lambda v: v != "")
+    kept = F.filter(F.transform(F.coalesce(variants, F.array().cast("array<string>")), lambda v: F.trim(v)), lambda v: v != "")
     return F.when(F.size(kept) > 0, kept).otherwise(F.array(fallback))
 
 

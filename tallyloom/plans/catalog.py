@@ -394,7 +394,7 @@ def json_permissive(spark, d):
 @query("""SELECT page_id, split_part(kv, '=', 1) AS key, substr(kv, instr(kv, '=') + 1) AS value FROM (SELECT page_id, trim(unnest(string_split(split_part(split_part(url, '?', 2), '#', 1), '&'))) AS kv FROM pages) WHERE kv <> '' AND contains(kv, '=') AND NOT starts_with(kv, '#')""")
 def kv_parse(spark, d):
     tail = F.split_part(F.split_part("url", F.lit("?"), F.lit(2)), F.lit("#"), F.lit(1))
-    rows = t(spark, d, "pages").select("page_id", F.explode(F.transform(F.split(tail, "&"), F.trim)).alias("kv")).where("kv <> '' AND contains(kv, '=') AND NOT startswith(kv, '#')")
+    rows = t(spark, d, "pages").select("page_id", F.explode(F.transform(F.split(tail, "&"), lambda v: F.trim(v))).alias("kv")).where("kv <> '' AND contains(kv, '=') AND NOT startswith(kv, '#')")
     pair = F.split("kv", "=", 2)
     return rows.select("page_id", pair[0].alias("key"), pair[1].alias("value"))
 
