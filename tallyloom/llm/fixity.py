@@ -63,7 +63,7 @@ def audit(mine: tuple, other: tuple) -> DataFrame:
             parents = found.select(F.col("a").alias("pa"), F.col("b").alias("pb"))
             on = (F.col("pa") == (up if key == "a" else F.col("a"))) & (F.col("pb") == (up if key == "b" else F.lit(0).cast("long")))
             a, b = a.join(parents, on, "left_semi"), b.join(parents, on, "left_semi")
-        found = a.join(b, ["a", "b"], "full").where(~F.col("hash").eqNullSafe(F.col("other_hash")))
+        found = stored(a.join(b, ["a", "b"], "full").where(~F.col("hash").eqNullSafe(F.col("other_hash"))), "differing")
     return found.select(F.col("a").alias("file"), F.col("b").alias("place"), "hash", "other_hash")
 
 
