@@ -154,6 +154,32 @@ def test_lines(spark, odd, none):
     assert {r["doc_id"]: r["text"] for r in lines.deduplicated(df).collect()}[2] == "head"
 
 
+def near_lines(rows, met=lambda i, j: True):
+    """Least row of each component of rows (texts) at a Jaccard similarity of 0.8 or more of 5-character shingles, by brute force over the pairs that met allows."""
+    sets = [{x[i : i + 5] for i in range(len(x) - 4)} for x in rows]
+    pairs = [(i, j) for i in range(len(rows)) for j in range(i) if rows[i] == rows[j] or (both := len(sets[i] & sets[j])) and 5 * both >= 4 * len(sets[i] | sets[j]) and met(i, j)]
+    find = union(pairs)
+    return {i for i in range(len(rows)) if find(i) == i}
+
+
+@pytest.mark.parametrize("shared", [8, 12, 14])
+def test_lines_that_share_a_long_passage(spark, shared):
+    rng = random.Random(shared)
+    word = lambda: "".join(rng.choice("etaoinshrdlu") for _ in range(rng.randint(3, 8)))
+    vocabulary, passage, rows = [word() for _ in range(2_000)], [word() for _ in range(shared)], []
+    for _ in range(400):
+        own = [rng.choice(vocabulary) for _ in range(20 - shared)]
+        edited = [*own]
+        edited[rng.randrange(len(own))] = rng.choice(vocabulary)
+        rows += [" ".join(own[:3] + passage + own[3:]), " ".join(edited[:3] + passage + edited[3:])]
+    rng.shuffle(rows)
+    df = spark.createDataFrame(list(enumerate(rows)), "doc_id long, text string")
+    bands = {r["doc_id"]: set(r["bands"]) for r in lines.signed(lines.occurrences(df)).collect()}
+    kept = {r["doc_id"] for r in lines.flagged(df).where("kept").collect()}
+    # every pair that shares a band is found, however large the band; nothing goes that brute force keeps
+    assert near_lines(rows) <= kept <= near_lines(rows, lambda i, j: bool(bands.get(i, set()) & bands.get(j, set())))
+
+
 def test_huffman_round_trip():
     rng = np.random.default_rng(0)
     ids = np.minimum(rng.zipf(1.2, 50_000), 40_000).astype(np.int64)
