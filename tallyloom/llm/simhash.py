@@ -12,9 +12,11 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tallyloom.llm import alike
 from tallyloom.llm.common import stored, table
 from tallyloom.llm.components import connected_components
 from tallyloom.llm.shingles import shingle_hashes
@@ -23,6 +25,8 @@ WIDTH, SEED, RADIUS = 4, 42, 4
 TREES = 3
 #: Fingerprints the shard trees are fitted on, at most; fingerprints a shard aims at; fingerprints that a leaf compares directly.
 SAMPLE, SHARD, LEAF = 65_536, 8_192, 768
+#: Words of a shingle in the pipeline's stage, and documents that tell it how rare shingles are (about); no link depends on the latter.
+WORDS, RARITY = 5, 20_000
 
 
 def simhash(text: str | None) -> int:
@@ -158,7 +162,64 @@ def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return classes(table(spark, sf_dir, "documents")).select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def _set(text: str | None) -> np.ndarray:
+    """The distinct hashes of a text's shingles of WORDS words, ascending."""
+    return np.unique(shingle_hashes(text, WORDS, SEED).astype(np.uint64))
+
+
+def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        sets = [_set(t.as_py()) for t in batch.column(0)]
+        keys = [xxhash.xxh3_128_digest(s.tobytes()) for s in sets]
+        yield pa.RecordBatch.from_arrays([pa.array(keys, pa.binary()), pa.array([s.view(np.int64) for s in sets], pa.list_(pa.int64()))], names=["key", "shingles"])
+
+
+def near_classes(docs: DataFrame) -> DataFrame:
+    """doc_id, component_id of every row of docs: classes() by the exact Jaccard similarity of the sets of 5-word shingles (0.8 or more) in place of fingerprints, which can't tell that similarity in 64 bits.
+
+    Texts with one set of shingles are one class throughout; those without words are one. Candidates come from a prefix filter (alike.py), so no pair is lost. Only the prefixes of all texts are moved, and whole sets of the candidates.
+    """
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    every = max(1, rows.count() // RARITY)
+    some = rows.where(F.pmod(F.xxhash64("doc_id", "text"), F.lit(every)) == 0).select("text")
+    shared = docs.sparkSession.sparkContext.broadcast(np.array(alike.levels(some.mapInArrow(_sets, "key binary, shingles array<long>").select(F.explode("shingles"))), np.int64))
+
+    def prefixes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            keys, sizes, parts = [], [], []
+            for t in batch.column(1):
+                own = _set(t.as_py())
+                signed = own.view(np.int64)
+                order = np.lexsort((signed, shared.value[signed % alike.BUCKETS]))
+                keys.append(xxhash.xxh3_128_digest(own.tobytes()))
+                sizes.append(len(own))
+                parts.append(signed[order[: alike.prefix_size(len(own)) if len(own) else 0]])
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(keys, pa.binary()), pa.array(sizes, pa.int32()), pa.array(parts, pa.list_(pa.int64()))], names=["doc_id", "key", "n", "prefix"])
+
+    prints = stored(rows.mapInArrow(prefixes, "doc_id long, key binary, n int, prefix array<long>"), "prefixes")
+    distinct = stored(prints.groupBy("key").agg(F.min("doc_id").alias("rep"), F.first("n").alias("n"), F.first("prefix").alias("prefix")), "distinct")
+    places = alike.places(distinct)
+    met = places.groupBy("token").agg(F.count("*").alias("c")).where("c > 1").select("token")
+    places = stored(places.join(met, "token"), "places")
+
+    def verified(pairs: DataFrame) -> DataFrame:
+        pairs = stored(pairs, "pairs")
+        keys = pairs.select(F.col("a").alias("key")).unionByName(pairs.select(F.col("b").alias("key"))).distinct()
+        ids = distinct.join(keys, "key", "left_semi").select(F.col("rep").alias("wanted")).distinct()
+        texts = rows.join(ids, F.col("doc_id").eqNullSafe(F.col("wanted")), "left_semi").select("text")
+        sets = stored(texts.mapInArrow(_sets, "key binary, shingles array<long>").dropDuplicates(["key"]), "sets")
+        sides = pairs.join(sets.select(F.col("key").alias("a"), F.col("shingles").alias("x")), "a").join(sets.select(F.col("key").alias("b"), F.col("shingles").alias("y")), "b")
+        n = F.size("x") + F.size("y")
+        return stored(sides.where((5 * F.least(F.size("x"), F.size("y")) >= 4 * F.greatest(F.size("x"), F.size("y"))) & (9 * F.size(F.array_intersect("x", "y")) >= 4 * n)).select("a", "b"), "links")
+
+    first = verified(alike.neighbours(places))
+    edges = first.unionByName(verified(alike.remaining(places, connected_components(first))))
+    of = distinct.join(connected_components(edges).withColumnRenamed("node", "key"), "key", "left").select("key", "rep", F.coalesce("root", "key").alias("root"))
+    least = of.groupBy("root").agg(F.min("rep").alias("component_id"))
+    return prints.select("doc_id", "key").join(of.join(least, "root").select("key", "component_id"), "key").select("doc_id", "component_id")
+
+
 def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pipeline stage: of every class of near copies the document with the smallest doc_id stays, with all its columns. Rows with a null doc_id stay only if their class has no other."""
-    kept = classes(docs).where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select("doc_id").distinct()
+    """Pipeline stage: of every class of near copies (near_classes) the document with the smallest doc_id stays, with all its columns. Rows with a null doc_id stay only if their class has no other."""
+    kept = near_classes(docs).where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select("doc_id").distinct()
     return docs.join(kept, docs["doc_id"].eqNullSafe(kept["doc_id"]), "left_semi").dropDuplicates(["doc_id"]).select(docs.columns)

@@ -154,6 +154,31 @@ def test_lines(spark, odd, none):
     assert {r["doc_id"]: r["text"] for r in lines.deduplicated(df).collect()}[2] == "head"
 
 
+def near_documents(texts):
+    """Least doc_id of each component of texts at a Jaccard similarity of 0.8 or more of 5-word shingles, by brute force."""
+    sets = {d: set(simhash.shingle_hashes(t, 5, 42).tolist()) for d, t in texts.items()}
+    ids = sorted(texts)
+    find = union([(a, b) for i, a in enumerate(ids) for b in ids[:i] if sets[a] == sets[b] or (both := len(sets[a] & sets[b])) and 5 * both >= 4 * len(sets[a] | sets[b])])
+    return {d for d in ids if find(d) == d}
+
+
+def test_near_copies_of_documents(spark, texts, none):
+    rng = random.Random(4)
+    words, passage, made = [f"w{i}" for i in range(3_000)], [f"p{i}" for i in range(40)], {}
+    for n in range(60):  # copies with ever more edits, about the limit; a passage that half of all share; one dense group
+        own = [rng.choice(words) for _ in range(rng.randint(60, 150))] + passage * (n % 2)
+        for k in range(40 if n == 0 else 4):
+            x = [*own]
+            for _ in range(1 if n == 0 else k):
+                x[rng.randrange(len(x))] = rng.choice(words)
+            made[len(made)] = " ".join(x)
+    made |= {len(made) + i: t for i, t in enumerate(["", " \n", "a b c", "A  b c", "a b c d e f", "x y z a b"])}
+    for docs in (made, texts):
+        df = spark.createDataFrame(list(docs.items()), "doc_id long, text string")
+        assert {r["doc_id"] for r in simhash.one_of_each(spark, df, SF).collect()} == near_documents(docs)
+    assert simhash.near_classes(none).count() == 0
+
+
 def near_lines(rows, met=lambda i, j: True):
     """Least row of each component of rows (texts) at a Jaccard similarity of 0.8 or more of 5-character shingles, by brute force over the pairs that met allows."""
     sets = [{x[i : i + 5] for i in range(len(x) - 4)} for x in rows]
