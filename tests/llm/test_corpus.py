@@ -205,6 +205,22 @@ def test_lines_that_share_a_long_passage(spark, shared):
     assert near_lines(rows) <= kept <= near_lines(rows, lambda i, j: bool(bands.get(i, set()) & bands.get(j, set())))
 
 
+def test_lines_at_the_limit_share_a_band(spark):
+    rng = random.Random(100)
+    word = lambda: "".join(rng.choice("etaoinshrdlu") for _ in range(rng.randint(3, 8)))
+    vocabulary, rows = [word() for _ in range(2_000)], []
+    for _ in range(700):
+        own = [rng.choice(vocabulary) for _ in range(20)]
+        edited = [*own]
+        edited[rng.randrange(20)] = rng.choice(vocabulary)
+        rows += [" ".join(own), " ".join(edited)]
+    rng.shuffle(rows)
+    df = spark.createDataFrame(list(enumerate(rows)), "doc_id long, text string")
+    kept = {r["doc_id"] for r in lines.flagged(df).where("kept").collect()}
+    least = near_lines(rows)
+    assert least <= kept and len(kept - least) <= 2
+
+
 def test_huffman_round_trip():
     rng = np.random.default_rng(0)
     ids = np.minimum(rng.zipf(1.2, 50_000), 40_000).astype(np.int64)
