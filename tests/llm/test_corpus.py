@@ -221,6 +221,12 @@ def test_lines_at_the_limit_share_a_band(spark):
     assert least <= kept and len(kept - least) <= 2
 
 
+def test_lines_with_few_shingles(spark):
+    rows = ["abcdefgh", "abcdefghi", "-----", "----------", "=-" * 10, "=-" * 30, "tiny", "tinz", "abcdefgx"]
+    df = spark.createDataFrame(list(enumerate(rows)), "doc_id long, text string")
+    assert {r["doc_id"] for r in lines.flagged(df).where("kept").collect()} == near_lines(rows) == {0, 2, 4, 6, 7, 8}
+
+
 def test_huffman_round_trip():
     rng = np.random.default_rng(0)
     ids = np.minimum(rng.zipf(1.2, 50_000), 40_000).astype(np.int64)
