@@ -6,7 +6,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 #: Raw section label to label, and the weight of each label in a window's score.
-SECTIONS = {"intro": "Intro", "start": "Intro", "outro": "Outro", "end": "Outro", "break": "Break", "bridge": "Break", "inst": "Theme", "solo": "Theme", "verse": "Theme", "chorus": "Drop", "unknown": "Theme"}
+SECTIONS = {"intro": "Intro", "start": "Intro", "outro": "Outro", "end": "Outro", "break": "Break", "bridge": "Break", "inst": "Theme", "solo": "Theme", "verse": "Theme", "chorus": "Drop"}
 WEIGHTS = {"Final Drop": 5.0, "Drop": 4.0, "Build": 2.5, "Theme": 2.0, "Intro": 1.0, "Outro": 1.0, "Break": 1.0}
 
 
@@ -16,8 +16,8 @@ def lookup(values: dict, key: Column, default: object) -> Column:
 
 
 def section_labels(raw: Column) -> Column:
-    """Labels of an array of raw section labels; the last of two or more Drops is the Final Drop."""
-    named = F.transform(raw, lambda r: lookup(SECTIONS, F.lower(r), "Theme"))
+    """Labels of an array of raw section labels (as they are written: case counts; any other is a Theme); the last of two or more Drops is the Final Drop."""
+    named = F.transform(raw, lambda r: lookup(SECTIONS, r, "Theme"))
     drops = F.size(F.filter(named, lambda v: v == "Drop"))
     last = F.size(named) - F.array_position(F.reverse(named), F.lit("Drop"))
     return F.transform(named, lambda v, i: F.when((drops >= 2) & (i == last), "Final Drop").otherwise(v))
@@ -37,8 +37,21 @@ def time_signature(positions: Column, downbeats: Column) -> Column:
 
 def collapse(values: Column) -> Column:
     """Array without elements equal to the one before."""
-    start = F.array().cast("array<string>")
-    return F.aggregate(values, start, lambda a, v: F.when((F.size(a) > 0) & F.try_element_at(a, F.lit(-1)).eqNullSafe(v), a).otherwise(F.concat(a, F.array(v))))
+    before = F.concat(F.array(F.lit(None).cast("string")), values)
+    kept = F.filter(F.transform(values, lambda v, i: F.struct(v.alias("v"), ((i == 0) | ~v.eqNullSafe(F.get(before, i))).alias("new"))), lambda x: x["new"])
+    return F.transform(kept, lambda x: x["v"])
+
+
+def window_labels(sections: Column, start: Column, end: Column, least: float = 1.0) -> Column:
+    """Labels of the sections (array of struct label, start, end) that the window covers by more than least seconds, of those that have a weight, without repeats in a row."""
+    covered = F.filter(sections, lambda x: (F.least(end, x["end"]) - F.greatest(start, x["start"]) > least) & x["label"].isin(*WEIGHTS))
+    return collapse(F.transform(covered, lambda x: x["label"]))
+
+
+def key_above(key: Column, scale: Column, strength: Column, threshold: float) -> Column:
+    """Key and scale as one text if both are known and the estimate is at least as strong as the threshold; else null."""
+    known = (F.coalesce(key, F.lit("")) != "") & (F.coalesce(scale, F.lit("")) != "") & (strength >= threshold)
+    return F.when(known, F.concat_ws(" ", key, scale))
 
 
 def lyrics(labels: Column) -> Column:

@@ -5,14 +5,15 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-#: Phrases that captions may not hold, and the sections of names.
+#: Phrases that captions may not hold, where names are parted, and a tempo in a text.
+HYPE = ("masterpiece", "best song ever", "professional quality", "extremely beautiful", "exactly like", "in the style of", "style of")
 NAME_BREAK = r"(?i)\b(?:feat\.?|ft\.?|and)\b|[&,/+|]"
 BPM = r"\b\d{2,3}\s*bpm\b"
 
 
 def word_count(text: Column) -> Column:
     """Words of letters, digits, marks, _, - and ' of any script."""
-    return F.size(F.regexp_extract_all(text, F.lit(r"(?U)\b[\w'-]+\b"), F.lit(0)))
+    return F.regexp_count(text, F.lit(r"(?U)\b[\w'-]+\b"))
 
 
 def has_phrase(text: Column, phrases: list[str]) -> Column:

@@ -30,13 +30,19 @@ class Rejected(Exception):
         self.code = code
 
 
-def run(command: list[str], timeout: float = 1800) -> tuple[bool, str]:
-    """(whether the command ended well, its output or the last 1000 characters of its error on one line)."""
+def run(command: list[str], timeout: float = 1800, log: bool = False) -> tuple[bool, str]:
+    """(whether the command ended well, its output (with log: what it reported, too) or the last 1000 characters of its error on one line)."""
     try:
-        done = subprocess.run(command, capture_output=True, text=True, timeout=timeout, check=False)
+        done = subprocess.run(command, capture_output=True, text=True, timeout=timeout, check=False, encoding="utf-8", errors="replace")
     except (OSError, subprocess.TimeoutExpired) as e:
         return False, str(e)[-1000:].replace("\n", " ")
-    return (True, done.stdout) if done.returncode == 0 else (False, done.stderr[-1000:].replace("\n", " "))
+    if done.returncode:
+        return False, (done.stderr or done.stdout)[-1000:].replace("\n", " ")
+    return True, f"{done.stderr}\n{done.stdout}" if log else done.stdout
+
+
+def logged(command: list[str], timeout: float = 1800) -> tuple[bool, str]:
+    return run(command, timeout, True)
 
 
 def retried(call: Client, row: dict, attempts: int = 5, sleep: Callable[[float], None] = time.sleep) -> tuple[dict | None, str | None, int]:

@@ -102,3 +102,19 @@ def best_window(duration: Column, downbeats: Column, sections: Column, weight, l
     picked = F.array_max(F.filter(F.transform(starts, window), lambda x: x.isNotNull()))
     whole = F.struct(F.lit(None).cast("double").alias("score"), duration.cast("double").alias("length"), F.lit(0.0).alias("early"), F.lit(0.0).alias("start"), duration.cast("double").alias("end"))
     return F.when(duration <= longest_, whole).when(F.size(beats) > 0, picked)
+
+
+def next_within(df: DataFrame, keys: list[str], at: str, target, reach: float, name: str) -> DataFrame:
+    """df with name: the first time (column at) of a target row (a condition) of the key at or after the row's own and no more than reach later, else null. One window a key; a key's rows are sorted, never collected."""
+    seen = F.min(F.when(target, F.col(at))).over(Window.partitionBy(*keys).orderBy(at).rangeBetween(0, reach))
+    return df.withColumn(name, seen)
+
+
+def ranked(df: DataFrame, keys: list[str], order: list[str], name: str, width: int = 256) -> DataFrame:
+    """df with name: each row's number (from 1) within its key in a total order whose first column is numeric. Numbers are made within steps of width of that column and added to the rows of the steps before, so a hot key is no one task's."""
+    rows = df.withColumn("_step", F.floor(F.col(order[0]) / width))
+    sums = rows.groupBy(*keys, "_step").agg(F.count("*").alias("_n"))
+    before = sums.select(*(F.col(k).alias(f"_k_{k}") for k in keys), F.col("_step").alias("_s"), F.coalesce(F.sum("_n").over(Window.partitionBy(*keys).orderBy("_step").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_before"))
+    on = [F.col(k).eqNullSafe(F.col(f"_k_{k}")) for k in keys] + [F.col("_step").eqNullSafe(F.col("_s"))]
+    own = rows.withColumn("_i", F.row_number().over(Window.partitionBy(*keys, "_step").orderBy(*order)))
+    return own.join(before, on).withColumn(name, (F.col("_before") + F.col("_i")).cast("long")).drop("_step", "_s", "_i", "_before", *(f"_k_{k}" for k in keys))

@@ -5,6 +5,11 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from tallyloom.functions.keys import hash_bucket
+
+#: Buckets a sample and epoch are hashed into before the choice.
+BUCKETS = 97
+
 
 def prompts(variants: Column, fallback: Column) -> Column:
     """Trimmed variants that aren't blank; if none is left, the one caption."""
@@ -13,12 +18,12 @@ def prompts(variants: Column, fallback: Column) -> Column:
 
 
 def chosen(variants: Column, key: Column, epoch: Column, training: bool = True) -> Column:
-    """The variant of a sample in an epoch: by hash in training, always the first in validation. Null without variants."""
-    at = F.pmod(F.xxhash64(key, epoch), F.nullif(F.size(variants), F.lit(0))).cast("int") if training else F.lit(0)
+    """The variant of a sample in an epoch: by a hash of both in training, always the first in validation. Null without variants."""
+    at = F.pmod(hash_bucket(F.concat_ws("|", key.cast("string"), epoch.cast("string")), BUCKETS), F.nullif(F.size(variants), F.lit(0))).cast("int") if training else F.lit(0)
     return F.get(variants, at)
 
 
 def pivoted(pairs: Column, order: tuple[str, ...]) -> Column:
-    """Texts of an array of struct(type, text) in a fixed order of types."""
-    by = F.map_from_entries(F.transform(pairs, lambda p: F.struct(p["type"], p["text"])))
-    return F.array(*(F.try_element_at(by, F.lit(k)) for k in order))
+    """Texts of an array of struct(type, text) in a fixed order of types, the first of each; null where there is none."""
+    first = lambda kind: F.get(F.filter(pairs, lambda p: p["type"] == kind), F.lit(0))["text"]
+    return F.array(*map(first, order))

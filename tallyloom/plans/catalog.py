@@ -3,13 +3,16 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tallyloom.functions import features, keys, nulls, text_rules
-from tallyloom.operators import folds, gates, intervals, resume
+from tallyloom.functions import annotation, features, keys, nulls, text_rules
+from tallyloom.operators import adapters, folds, gates, intervals, resume, variants
+from tallyloom.operators.contained import contained
+from tallyloom.plans import curation, stages
+from tallyloom.session import shared_dir
+from tallyloom.sources import sinks, tables
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -188,7 +191,7 @@ def limit_after_filter(spark, d):
 
 @query("SELECT source, doc_id, row_number() OVER (PARTITION BY source ORDER BY n_chars, doc_id) AS source_rank FROM documents")
 def sorted_rank(spark, d):
-    return t(spark, d, "documents").select("source", "doc_id", F.row_number().over(Window.partitionBy("source").orderBy("n_chars", "doc_id")).cast("long").alias("source_rank"))
+    return intervals.ranked(t(spark, d, "documents").select("source", "doc_id", "n_chars"), ["source"], ["n_chars", "doc_id"], "source_rank").select("source", "doc_id", "source_rank")
 
 
 @query(f"SELECT doc_id, CAST({HASH.format(k='CAST(doc_id AS VARCHAR)', n=7)} AS BIGINT) AS part FROM documents")
@@ -266,10 +269,9 @@ def chunking(spark, d):
 @query("""SELECT a.event_id, coalesce(min(b.at), any_value(a.at)) AS snapped FROM (SELECT event_id, user_id, epoch_us(ts) AS at FROM events WHERE event_type = 'purchase') a
   LEFT JOIN (SELECT user_id, epoch_us(ts) AS at FROM events WHERE event_type = 'view') b ON a.user_id = b.user_id AND b.at BETWEEN a.at AND a.at + 86400000000 GROUP BY a.event_id""")
 def snap_nearest(spark, d):
-    # as-of by one window a user: the next view at or after each purchase
     rows = t(spark, d, "events").where("event_type IN ('purchase', 'view')").select("event_id", "user_id", "event_type", micros("ts").alias("at"))
-    seen = F.min(F.when(F.col("event_type") == "view", F.col("at"))).over(Window.partitionBy("user_id").orderBy("at").rangeBetween(0, 86400000000))
-    return rows.withColumn("next", seen).where("event_type = 'purchase'").select("event_id", F.coalesce("next", "at").alias("snapped"))
+    found = intervals.next_within(rows, ["user_id"], "at", F.col("event_type") == "view", 86400000000, "next")
+    return found.where("event_type = 'purchase'").select("event_id", F.coalesce("next", "at").alias("snapped"))
 
 
 def turns(spark, d) -> DataFrame:
@@ -344,8 +346,7 @@ def word_count(spark, d):
   CASE WHEN regexp_matches(low, '[0-9]{2,3}\s*bpm') THEN 'bpm_leaked' END, CASE WHEN NOT starts_with(low, 'the') THEN 'caption_start' END, CASE WHEN lang NOT IN ('en', 'de') THEN 'invalid_language' END], lambda x: x IS NOT NULL))), 'string_agg', ',') AS errors
   FROM (SELECT doc_id, lang, lower(text) AS low, len(regexp_extract_all(text, '[\p{L}\p{N}\p{M}_''-]+')) AS n FROM documents)""")
 def caption_rules(spark, d):
-    text, low = F.col("text"), F.lower("text")
-    n = text_rules.word_count(text)
+    text, low, n = F.col("text"), F.lower("text"), F.col("n")
     errors = text_rules.error_codes(
         (~n.between(40, 80), F.concat(F.lit("caption_word_count:"), n.cast("string"))),
         (text_rules.has_phrase(text, ["license", "rights reserved"]), "banned_phrase"),
@@ -353,7 +354,8 @@ def caption_rules(spark, d):
         (~low.startswith("the"), "caption_start"),
         (~F.col("lang").isin("en", "de"), "invalid_language"),
     )
-    return t(spark, d, "documents").select("doc_id", F.when(F.size(errors) > 0, F.array_join(errors, ",")).alias("errors"))
+    rows = t(spark, d, "documents").select("doc_id", "text", "lang", text_rules.word_count(text).alias("n"))
+    return rows.select("doc_id", errors.alias("e")).select("doc_id", F.when(F.size("e") > 0, F.array_join("e", ",")).alias("errors"))
 
 
 @query(r"""SELECT p_partkey, array_to_string(list_transform(list_filter(regexp_split_to_array(p_name || ' feat. ' || p_type || ' & ' || p_brand, '(?i)\b(?:feat\.?|ft\.?|and)\b|[&,/+|]'), lambda v: length(trim(v)) >= 4), lambda v: lower(trim(regexp_replace(v, '\s+', ' ', 'g')))), ';') AS names FROM part""")
@@ -364,13 +366,7 @@ def name_split(spark, d):
 
 @query("SELECT doc_id, item_id FROM documents d JOIN benchmark b ON contains(lower(d.text), lower(b.text))")
 def contamination(spark, d):
-    # the benchmark is a stated query set: documents are tested where they lie against blocks of it whose size is checked
-    items = t(spark, d, "benchmark").select("item_id", F.lower("text").alias("item"))
-    docs = t(spark, d, "documents").select("doc_id", F.lower("text").alias("low"))
-    size = items.agg(F.coalesce(F.sum(F.octet_length("item")), F.lit(0))).first()[0]
-    blocks = [items.where(F.pmod(F.xxhash64("item_id"), F.lit(n)) == i) for n in [size // (8 << 20) + 1] for i in range(n)]
-    found = [docs.join(F.broadcast(b), F.contains("low", F.col("item"))).select("doc_id", "item_id") for b in blocks]
-    return reduce(DataFrame.unionByName, found)
+    return contained(t(spark, d, "documents"), t(spark, d, "benchmark"), "doc_id", "item_id")
 
 
 @query("SELECT user_id, list_has_any(list(DISTINCT event_type), ['error', 'signup']) AS outside, CAST(count(DISTINCT event_type) AS INTEGER) AS n_types FROM events GROUP BY 1")
@@ -387,20 +383,16 @@ def consistency_check(spark, d):
 
 @query("SELECT event_id, CASE WHEN event_id % 10 = 0 THEN 'invalid_json' ELSE 'ok' END AS status, CASE WHEN event_id % 10 <> 0 THEN CAST(json_extract(props, '$.k') AS BIGINT) END AS k FROM events")
 def json_permissive(spark, d):
-    props = F.when(F.col("event_id") % 10 == 0, F.concat("props", F.lit("}{"))).otherwise(F.col("props"))
-    props = F.when(F.col("event_id") % 10 == 0, F.concat(F.lit("{"), props)).otherwise(props)
-    parsed = F.from_json(props, "k bigint, _corrupt string", {"columnNameOfCorruptRecord": "_corrupt"})
-    rows = t(spark, d, "events").select("event_id", parsed.alias("p"))
-    bad = F.col("p").isNull() | F.col("p._corrupt").isNotNull()
-    return rows.select("event_id", F.when(bad, "invalid_json").otherwise("ok").alias("status"), F.when(~bad, F.col("p.k")).alias("k"))
+    broken = F.col("event_id") % 10 == 0
+    props = F.when(broken, F.concat(F.lit("{"), "props", F.lit("}{"))).otherwise(F.regexp_replace("props", r"\}$", ', "status": "ok"}'))
+    return tables.parsed_documents(t(spark, d, "events").select("event_id", props.alias("props")), "props", "status string, k bigint", "status")
 
 
 @query("""SELECT page_id, split_part(kv, '=', 1) AS key, substr(kv, instr(kv, '=') + 1) AS value FROM (SELECT page_id, trim(unnest(string_split(split_part(split_part(url, '?', 2), '#', 1), '&'))) AS kv FROM pages) WHERE kv <> '' AND contains(kv, '=') AND NOT starts_with(kv, '#')""")
 def kv_parse(spark, d):
     tail = F.split_part(F.split_part("url", F.lit("?"), F.lit(2)), F.lit("#"), F.lit(1))
-    rows = t(spark, d, "pages").select("page_id", F.explode(F.transform(F.split(tail, "&"), lambda v: F.trim(v))).alias("kv")).where("kv <> '' AND contains(kv, '=') AND NOT startswith(kv, '#')")
-    pair = F.split("kv", "=", 2)
-    return rows.select("page_id", pair[0].alias("key"), pair[1].alias("value"))
+    rows = t(spark, d, "pages").select("page_id", F.explode(tables.settings_of(F.split(tail, "&"))).alias("kv"))
+    return rows.select("page_id", "kv.key", "kv.value")
 
 
 @query("SELECT conv_id, string_agg(CASE WHEN role IN ('user', 'assistant') THEN text END, '' ORDER BY turn) AS content FROM conversations GROUP BY 1")
@@ -413,29 +405,32 @@ def content_join(spark, d):
 
 @query("SELECT conv_id, arg_min(text, turn) FILTER (role = 'system') AS system_text, arg_min(text, turn) FILTER (role = 'user') AS user_text, arg_min(text, turn) FILTER (role = 'assistant') AS assistant_text FROM conversations GROUP BY 1")
 def variant_pivot(spark, d):
-    first = lambda role: F.min(F.when(F.col("role") == role, F.struct("turn", "text")))["text"].alias(f"{role}_text")
-    return t(spark, d, "conversations").groupBy("conv_id").agg(*map(first, ("system", "user", "assistant")))
+    turns = t(spark, d, "conversations").groupBy("conv_id").agg(F.array_sort(F.collect_list(F.struct("turn", F.col("role").alias("type"), "text"))).alias("p"))
+    names = ("system", "user", "assistant")
+    return turns.select("conv_id", variants.pivoted(F.col("p"), names).alias("v")).select("conv_id", *(F.get("v", F.lit(i)).alias(f"{n}_text") for i, n in enumerate(names)))
 
 
 @query(f"SELECT conv_id, v[1 + CAST({HASH.format(k="CAST(conv_id AS VARCHAR) || '|1'", n='97')} AS BIGINT) % len(v)] AS training_text, v[1] AS validation_text FROM (SELECT conv_id, list(trim(text) ORDER BY turn) FILTER (trim(text) <> '') AS v FROM conversations GROUP BY 1)")
 def variant_select(spark, d):
-    listed = t(spark, d, "conversations").groupBy("conv_id").agg(F.array_sort(F.collect_list(F.struct("turn", F.trim("text").alias("text")))).alias("p"))
-    v = F.filter(F.col("p.text"), lambda x: x != "")
-    at = F.pmod(keys.hash_bucket(F.concat(F.col("conv_id").cast("string"), F.lit("|1")), 97), F.nullif(F.size(v), F.lit(0))).cast("int")
-    return listed.select("conv_id", F.get(v, at).alias("training_text"), F.get(v, F.lit(0)).alias("validation_text"))
+    listed = t(spark, d, "conversations").groupBy("conv_id").agg(F.array_sort(F.collect_list(F.struct("turn", F.col("text")))).alias("p"))
+    v = F.filter(F.transform("p", lambda x: F.trim(x["text"])), lambda x: x != "")
+    one = lambda training: variants.chosen(v, F.col("conv_id"), F.lit(1), training)
+    return listed.select("conv_id", one(True).alias("training_text"), one(False).alias("validation_text"))
 
 
 @query("SELECT l_orderkey, count(*) AS n_samples, string_agg(l_linenumber || ':' || l_partkey || ':' || l_suppkey, ',' ORDER BY l_linenumber, l_partkey, l_suppkey) AS samples FROM lineitem GROUP BY 1")
 def nested_index(spark, d):
-    listed = t(spark, d, "lineitem").groupBy("l_orderkey").agg(F.array_sort(F.collect_list(F.struct("l_linenumber", "l_partkey", "l_suppkey"))).alias("s"))
-    text = F.transform("s", lambda x: F.concat_ws(":", x["l_linenumber"], x["l_partkey"], x["l_suppkey"]))
-    return listed.select("l_orderkey", F.size("s").cast("long").alias("n_samples"), F.array_join(text, ",").alias("samples"))
+    rows = t(spark, d, "lineitem").select(F.col("l_orderkey").alias("part"), "l_linenumber", "l_partkey", "l_suppkey")
+    index = sinks.dataset_index(rows, "l_linenumber", ["l_partkey", "l_suppkey"])
+    samples = F.from_json("document", "samples array<struct<l_linenumber:bigint,l_partkey:bigint,l_suppkey:bigint>>")["samples"]
+    text = F.transform(samples, lambda x: F.concat_ws(":", x["l_linenumber"], x["l_partkey"], x["l_suppkey"]))
+    return index.select(F.col("part").alias("l_orderkey"), F.col("n_samples").cast("long").alias("n_samples"), F.array_join(text, ",").alias("samples"))
 
 
 @query(f"SELECT CAST(doc_id AS VARCHAR) AS sample_id, coalesce(source, '') AS artist, coalesce(reject_reason, '') AS review_reason FROM ({GATED}) WHERE reject_reason IN ('toxic', 'low_quality', 'language')")
 def manual_review(spark, d):
     rows = gated(spark, d).where(nulls.is_in(F.col("reject_reason"), "toxic", "low_quality", "language"))
-    return rows.select(F.col("doc_id").cast("string").alias("sample_id"), F.col("source").alias("artist"), F.col("reject_reason").alias("review_reason")).na.fill("")
+    return sinks.csv_rows(rows.select(F.col("doc_id").alias("sample_id"), F.col("source").alias("artist"), F.col("reject_reason").alias("review_reason")), ["sample_id", "artist", "review_reason"])
 
 
 @query("SELECT doc_id, base64(encode(text)) AS encoded FROM documents")
@@ -499,3 +494,168 @@ def flagship(spark, d):
     rows = gated(spark, d).select("doc_id", "reject_reason", F.length("text").alias("n"), F.sha2("text", 256).alias("shared"))
     split = folds.group_split(rows, "shared", 0.15)
     return split.groupBy("split", F.coalesce("reject_reason", F.lit("accepted")).alias("status")).agg(F.count("*").alias("n_rows"), F.sum("n").alias("n_chars"))
+
+
+TAXONOMY = {"primary_genres": ["en", "de", "src0", "src3"], "style_families": ["en", "fr"], "moods": ["calm"], "instruments": ["piano", "unknown"], "instrument_roles": ["lead"]}
+
+
+@query(r"""WITH r AS (SELECT doc_id, lang, source, doc_id % 12 / 10.0 AS sure, trim(CASE WHEN doc_id % 4 = 0 THEN 'Instrumental ' ELSE '' END || substr(text, 1, 300)) AS caption, split_part(text, ' ', 2) || ' feat. ' || source AS artist FROM documents),
+  v AS (SELECT *, CASE WHEN doc_id % 7 = 0 THEN 'another' ELSE caption END AS whole, lower(caption || chr(10) || CASE WHEN doc_id % 7 = 0 THEN 'another' ELSE caption END || chr(10) || 'a' || chr(10) || 'b 90 bpm' || chr(10) || 'c') AS every, len(regexp_extract_all(caption, '[\p{L}\p{N}\p{M}_''-]+')) AS n,
+    list_transform(list_filter(regexp_split_to_array(artist, '(?i)\b(?:feat\.?|ft\.?|and)\b|[&,/+|]'), lambda x: length(trim(x)) >= 4), lambda x: lower(trim(regexp_replace(x, '\s+', ' ', 'g')))) AS names FROM r)
+  SELECT doc_id, sure >= 0.7 AND len(e) = 0 AS accepted, array_to_string(e, ',') AS errors FROM (SELECT doc_id, sure, list_sort(list_distinct(list_filter([
+    CASE WHEN NOT coalesce(lang IN ('en', 'de', 'src0', 'src3'), false) THEN 'invalid_primary_genre' END, CASE WHEN source NOT IN ('en', 'de', 'src0', 'src3') THEN 'invalid_secondary_genres' END, CASE WHEN lang NOT IN ('en', 'fr') THEN 'invalid_style_families' END,
+    CASE WHEN doc_id % 6 = 1 THEN 'invalid_instrument' END, CASE WHEN doc_id % 3 <> 0 AND doc_id % 10 / 10.0 < 0.55 THEN 'low_confidence_instrument' END, CASE WHEN NOT n BETWEEN 40 AND 80 THEN 'canonical_caption_word_count:' || n END,
+    CASE WHEN doc_id % 5 = 0 THEN 'caption_variant_types' END, CASE WHEN doc_id % 7 = 0 THEN 'full_variant_must_equal_canonical' END, 'bpm_leaked_into_caption', CASE WHEN len(list_filter(names, lambda x: contains(every, x))) > 0 THEN 'artist_name_in_caption' END,
+    CASE WHEN NOT starts_with(lower(caption), 'instrumental') THEN 'canonical_caption_not_instrumental' END, CASE WHEN NOT sure BETWEEN 0 AND 1 THEN 'invalid_annotation_confidence' END], lambda x: x IS NOT NULL))) AS e FROM v)""")
+def annotation_rules(spark, d):
+    i = F.col("doc_id")
+    caption = F.trim(F.concat(F.when(i % 4 == 0, "Instrumental ").otherwise(""), F.substring("text", 1, 300)))
+    rows = t(spark, d, "documents").select("doc_id", "lang", "source", caption.alias("caption"), F.concat(F.split_part("text", F.lit(" "), F.lit(2)), F.lit(" feat. "), "source").alias("artist"))
+    instrument = F.struct(F.when(i % 6 == 1, "kazoo").when(i % 3 == 0, "unknown").otherwise("piano").alias("name"), F.lit("lead").alias("role"), (i % 10 / 10.0).alias("confidence"))
+    variant = lambda kind, text: F.struct(kind.alias("type"), text.alias("text"))
+    texts = F.array(variant(F.lit("full"), F.when(i % 7 == 0, "another").otherwise(F.col("caption"))), variant(F.lit("composition"), F.lit("a")), variant(F.lit("production"), F.lit("b 90 BPM")), variant(F.when(i % 5 == 0, "full").otherwise("tags"), F.lit("c")))
+    result = F.struct(F.col("lang").alias("primary_genre"), F.array("source").alias("secondary_genres"), F.array("lang").alias("style_families"), F.lit(None).cast("array<string>").alias("moods"), F.array(instrument).alias("main_instruments"), F.col("caption").alias("canonical_caption"), texts.alias("caption_variants"), (i % 12 / 10.0).alias("annotation_confidence"))
+    checked = rows.select("doc_id", "artist", result.alias("r")).select("doc_id", "r", annotation.errors(F.col("r"), F.col("artist"), TAXONOMY).alias("e"))
+    return checked.select("doc_id", annotation.accepted(F.col("r"), F.col("e")).alias("accepted"), F.array_join("e", ",").alias("errors"))
+
+
+@query("""WITH v AS (SELECT doc_id, CASE lang WHEN 'en' THEN 'instrumental' WHEN 'de' THEN 'vocal_chops' ELSE 'lyrics' END AS vocal, n_chars FROM documents),
+  f AS (SELECT doc_id, quality = 1 AS done, CASE WHEN quality = 1 THEN CASE WHEN toxic = 1 THEN 'lyrics' ELSE 'instrumental' END END AS vocal FROM labels), c AS (SELECT doc_id, CASE WHEN doc_id % 4 = 0 THEN 'lyrics' ELSE 'vocal_chops' END AS vocal FROM labels WHERE doc_id % 2 = 0),
+  s AS (SELECT vec_id AS doc_id, CASE WHEN label < 5 THEN 'accepted' ELSE 'rejected' END AS status FROM embeddings),
+  a AS (SELECT v.doc_id, v.n_chars, v.vocal = 'lyrics' AS lyric, f.doc_id IS NOT NULL AS hit, CASE WHEN v.vocal <> 'lyrics' THEN 'original' WHEN coalesce(f.done AND f.vocal = 'instrumental', false) THEN 'separated_full' WHEN coalesce(c.vocal = 'vocal_chops', false) THEN 'separated_clean'
+    WHEN coalesce(s.status = 'accepted', false) THEN 'clean_section' WHEN coalesce(c.vocal = 'lyrics' AND s.status = 'rejected', false) THEN 'rejected' ELSE 'pending' END AS source, CASE WHEN v.vocal <> 'lyrics' THEN v.vocal END AS original, f.vocal AS full_recheck_status, c.vocal AS clean_recheck_status
+    FROM v LEFT JOIN f ON v.doc_id = f.doc_id LEFT JOIN c ON v.doc_id = c.doc_id LEFT JOIN s ON v.doc_id = s.doc_id)
+  SELECT doc_id, source AS audio_source, CASE WHEN source IN ('pending', 'rejected') THEN source WHEN doc_id % 11 = 0 THEN 'pending' ELSE 'accepted' END AS quality_status, CASE WHEN source = 'pending' THEN CASE WHEN lyric AND hit THEN 'needs_clean_separation' ELSE 'vocal_check_incomplete' END WHEN source <> 'rejected' AND doc_id % 11 = 0 THEN 'selected_source_missing' END AS pending_reason,
+    CASE source WHEN 'original' THEN original WHEN 'separated_full' THEN 'instrumental' WHEN 'separated_clean' THEN 'vocal_chops' WHEN 'clean_section' THEN 'instrumental' END AS vocal_status_after_processing, CASE source WHEN 'separated_full' THEN 'instrumental_full' WHEN 'separated_clean' THEN 'instrumental_clean' WHEN 'clean_section' THEN 'instrumental_clean+checked_section' END AS separator_preset,
+    CASE source WHEN 'clean_section' THEN 60.5 ELSE CAST(n_chars AS DOUBLE) END AS duration, source = 'pending' AND lyric AS clean_target, CASE WHEN source = 'rejected' THEN 'lyrics_remain_and_no_checked_clean_section' END AS reject_reason, full_recheck_status, clean_recheck_status FROM a""")
+def select_training(spark, d):
+    sid, done = F.col("doc_id").cast("string").alias("sample_id"), F.lit("complete").alias("classification_status")
+    path = lambda kind: F.concat(F.lit(f"/{kind}/"), F.col("doc_id").cast("string")).alias("canonical_path")
+    docs, labels = t(spark, d, "documents").select("doc_id", "lang", "n_chars"), t(spark, d, "labels")
+    vocal = docs.select(sid, "doc_id", F.when(F.col("lang") == "en", "instrumental").when(F.col("lang") == "de", "vocal_chops").otherwise("lyrics").alias("vocal_status"), path("a"), F.col("n_chars").cast("double").alias("duration"))
+    full = labels.select(sid, F.when(F.col("quality") == 1, "complete").otherwise("failed").alias("classification_status"), F.when(F.col("quality") == 1, F.when(F.col("toxic") == 1, "lyrics").otherwise("instrumental")).alias("vocal_status"), path("f"))
+    clean = labels.where("doc_id % 2 = 0").select(sid, done, F.when(F.col("doc_id") % 4 == 0, "lyrics").otherwise("vocal_chops").alias("vocal_status"), path("c"))
+    search = t(spark, d, "embeddings").withColumn("doc_id", F.col("vec_id")).select(sid, F.when(F.col("label") < 5, "accepted").otherwise("rejected").alias("search_status"), F.lit(10.0).alias("section_start"), F.lit(70.5).alias("section_end"), path("s"), F.lit("instrumental").alias("vocal_status"))
+    files = docs.where("doc_id % 11 <> 0").select(F.explode(F.array(*(path(k) for k in "afcs"))).alias("path"))
+    out = curation.select(vocal, full, clean, search, files)
+    return out.select("doc_id", "audio_source", "quality_status", "pending_reason", "vocal_status_after_processing", "separator_preset", "duration", "clean_target", "reject_reason", "full_recheck_status", "clean_recheck_status")
+
+
+def listed_counts(value: str, source: str) -> str:
+    return f"(SELECT string_agg(k || '=' || n, ',' ORDER BY k) FROM (SELECT coalesce({value}, '') AS k, count(*) AS n FROM {source} GROUP BY 1))"
+
+
+@query(f"""SELECT (SELECT count(*) FROM documents) AS audio_records, (SELECT count(*) FROM documents WHERE n_chars >= 500) AS audio_valid, (SELECT count(*) FROM documents WHERE NOT coalesce(n_chars >= 500, false)) AS audio_rejected, false AS deduplication_performed, (SELECT count(*) FROM documents) AS vocal_records, {listed_counts("lang", "documents")} AS vocal_status,
+  (SELECT count(*) FROM conversations) AS training_records, {listed_counts("role", "conversations")} AS training_sources, (SELECT count(*) FROM labels WHERE quality = 0) AS training_rejected, (SELECT count(*) FROM events) AS mir_files, {listed_counts("event_type", "events")} AS mir_status,
+  (SELECT count(*) FROM labels) AS annotation_state_records, {listed_counts("CAST(quality AS VARCHAR)", "labels")} AS annotation_status, (SELECT count(*) FROM pages) AS annotation_files, (SELECT count(*) FROM part) AS final_audio, (SELECT count(*) FROM supplier) AS tensors""")
+def stage_status(spark, d):
+    docs, labels = t(spark, d, "documents").select("lang", (F.col("n_chars") >= 500).alias("audio_valid")), t(spark, d, "labels")
+    out = stages.status(
+        docs, docs.select(F.col("lang").alias("vocal_status")), t(spark, d, "conversations").select(F.col("role").alias("audio_source")), labels.where("quality = 0"), t(spark, d, "events").select(F.col("event_type").alias("analysis_status")),
+        labels.select(F.col("quality").cast("string").alias("annotation_status")), t(spark, d, "pages").select("page_id"), t(spark, d, "part").select("p_partkey"), t(spark, d, "supplier").select("s_suppkey"),
+    )
+    text = lambda c: F.array_join(F.transform(F.map_entries(c), lambda e: F.concat(e["key"], F.lit("="), e["value"].cast("string"))), ",")
+    return out.withColumns({c: text(c) for c in ("vocal_status", "training_sources", "mir_status", "annotation_status")})
+
+
+MERGED = """WITH e AS (SELECT DISTINCT l_orderkey AS stem, 0 AS part FROM lineitem WHERE l_linenumber = 1 AND l_orderkey % 2 = 0 UNION SELECT DISTINCT l_orderkey, 1 FROM lineitem WHERE l_linenumber = 2 AND l_orderkey % 3 = 0),
+  a AS (SELECT o_orderkey AS stem, 0 AS part FROM orders WHERE o_orderkey % 2 = 0 UNION ALL SELECT o_orderkey, 1 FROM orders WHERE o_orderkey % 3 = 0 AND o_orderstatus <> 'P'),
+  m AS (SELECT coalesce(e.part, a.part) AS part, CAST(coalesce(e.stem, a.stem) AS VARCHAR) AS stem, CASE WHEN a.stem IS NULL THEN 'missing' ELSE 'extra' END AS status FROM e FULL JOIN a ON e.stem = a.stem AND e.part = a.part WHERE e.stem IS NULL OR a.stem IS NULL
+    UNION ALL SELECT min(part), CAST(stem AS VARCHAR), 'collision' FROM e GROUP BY stem HAVING count(*) > 1)"""
+
+
+def merged(spark, d):
+    stem = lambda df, c: df.select(F.col(c).cast("string").alias("stem"))
+    items, orders = t(spark, d, "lineitem"), t(spark, d, "orders")
+    expected = {0: stem(items.where("l_linenumber = 1 AND l_orderkey % 2 = 0"), "l_orderkey"), 1: stem(items.where("l_linenumber = 2 AND l_orderkey % 3 = 0"), "l_orderkey")}
+    actual = {0: stem(orders.where("o_orderkey % 2 = 0"), "o_orderkey"), 1: stem(orders.where("o_orderkey % 3 = 0 AND o_orderstatus <> 'P'"), "o_orderkey")}
+    return stages.merge(expected, actual)
+
+
+@query(f"{MERGED} SELECT part, stem, status FROM m")
+def merge_differences(spark, d):
+    return merged(spark, d)[0]
+
+
+@query(f"""{MERGED} SELECT (SELECT count(*) FROM e WHERE part = 0) AS part0_expected, (SELECT count(*) FROM e WHERE part = 1) AS part1_expected, (SELECT count(DISTINCT stem) FROM e) AS train_expected, (SELECT count(DISTINCT stem) FROM a) AS merged_tensors, (SELECT count(*) FROM m) AS n_errors,
+  CASE WHEN (SELECT count(*) FROM m) = 0 THEN 'pass' ELSE 'failed' END AS status, false AS deduplication_performed""")
+def merge_report(spark, d):
+    return merged(spark, d)[1]
+
+
+@query(SQL["q_early_stopping"])
+def tracker_resume(spark, d):
+    # the second half goes on from the state that the first one ended with
+    step = (F.year("o_orderdate") * 12 + F.month("o_orderdate") - 1).cast("long")
+    monthly = t(spark, d, "orders").groupBy(F.col("o_orderpriority").alias("run"), step.alias("step")).agg((F.sum(F.round(F.col("o_totalprice") * 100).cast("bigint")).cast("double") / F.count("*")).alias("loss"))
+    track = lambda rows, state=None: folds.tracked(rows, ["run"], "step", "loss", every=3, patience=4, state=state)
+    first = track(monthly.where("step < 23950"))
+    out = first.unionByName(track(monthly.where("step >= 23950"), resume.latest(first, ["run"], F.col("step"))))
+    return out.withColumns({c: F.round(c, 6) for c in ("loss", "best_loss")})
+
+
+@query(f"""WITH s AS (SELECT conv_id, turn, CASE role WHEN 'user' THEN 'Drop' WHEN 'assistant' THEN 'Theme' END AS label FROM ({TURNS}) WHERE role IN ('user', 'assistant') AND least(400, "end") - greatest(100, start) > 1),
+  k AS (SELECT conv_id, turn, label FROM (SELECT *, lag(label) OVER (PARTITION BY conv_id ORDER BY turn) AS before FROM s) WHERE label IS DISTINCT FROM before)
+  SELECT c.conv_id, coalesce(string_agg(label, '>' ORDER BY turn), '') AS labels FROM (SELECT DISTINCT conv_id FROM conversations) c LEFT JOIN k ON c.conv_id = k.conv_id GROUP BY 1""")
+def window_labels(spark, d):
+    label = features.lookup({"user": "Drop", "assistant": "Theme"}, F.col("role"), "Noise")
+    listed = turns(spark, d).groupBy("conv_id").agg(F.array_sort(F.collect_list(F.struct("turn", label.alias("label"), "start", "end"))).alias("s"))
+    return listed.select("conv_id", F.array_join(features.window_labels(F.col("s"), F.lit(100), F.lit(400)), ">").alias("labels"))
+
+
+@query("SELECT c_custkey, CASE WHEN c_mktsegment <> '' AND c_nationkey % 5 <> 0 AND c_acctbal / 10000 >= 0.65 THEN c_mktsegment || ' ' || CASE WHEN c_nationkey % 2 = 0 THEN 'major' ELSE 'minor' END END AS keyscale FROM customer")
+def key_threshold(spark, d):
+    scale = F.when(F.col("c_nationkey") % 5 == 0, "").when(F.col("c_nationkey") % 2 == 0, "major").otherwise("minor")
+    return t(spark, d, "customer").select("c_custkey", features.key_above(F.col("c_mktsegment"), scale, F.col("c_acctbal") / 10000, 0.65).alias("keyscale"))
+
+
+class Answers:
+    """A classifier that answers by the sample's number: every third of five inconsistently, every fourth never."""
+
+    def __call__(self, row: dict) -> dict:
+        n = int(row["sample_id"]) % 5
+        if n == 3:
+            raise adapters.Rejected(400, "bad request")
+        return {"vocal_status": "lyrics" if n else "instrumental", "recommended_action": "separate_vocals" if n == 1 else "keep_original", "lyrics_prominence": 0.5, "reason": "heard"}
+
+
+@query("""SELECT doc_id, CASE WHEN doc_id % 5 IN (0, 1) THEN 'complete' ELSE 'failed' END AS status, CASE doc_id % 5 WHEN 0 THEN 'instrumental' WHEN 1 THEN 'lyrics' END AS vocal_status, CASE WHEN doc_id % 5 IN (2, 4) THEN 'validation:inconsistent_action' WHEN doc_id % 5 = 3 THEN '400 bad request' END AS error, CASE WHEN doc_id % 5 IN (2, 4) THEN 2 ELSE 1 END AS attempts
+  FROM documents WHERE n_chars >= 200""")
+def classify_stage(spark, d):
+    audio = t(spark, d, "documents").select("doc_id", F.col("doc_id").cast("string").alias("sample_id"), (F.col("n_chars") >= 200).alias("audio_valid"))
+    out = stages.classify(audio, Answers, f"{shared_dir(spark)}/classified", attempts=2, sleep=lambda seconds: None)
+    return out.select("doc_id", F.col("classification_status").alias("status"), "vocal_status", F.col("classification_error").alias("error"), F.col("classification_attempts").alias("attempts"))
+
+
+class Cutter:
+    """A renderer that gives what was asked for, in mono for every seventh sample."""
+
+    def __call__(self, row: dict) -> dict:
+        return {"duration": row["trim_end"] - row["trim_start"], "sample_rate": 48000, "channels": 1 if int(row["sample_id"]) % 7 == 0 else 2}
+
+
+BUILT = """WITH s AS (SELECT doc_id, n_chars / 10.0 AS duration, md5(text) AS raw_path FROM documents WHERE n_chars >= 300), g AS (SELECT raw_path AS g, count(*) AS n FROM s GROUP BY 1),
+  o AS (SELECT g, coalesce(sum(n) OVER (ORDER BY sha256('42|' || g), g ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before FROM g),
+  r AS (SELECT doc_id, duration, CASE WHEN before < (SELECT round_even(count(*) * 0.15, 0) FROM s) THEN 'validation' ELSE 'train' END AS split, CASE WHEN duration > 240 THEN 'overlength_audio_has_no_downbeats' WHEN doc_id % 7 = 0 THEN 'output_format_mismatch' END AS reason FROM s JOIN o ON raw_path = g)"""
+
+
+def built(spark, d) -> stages.Build:
+    sid = F.col("doc_id").cast("string").alias("sample_id")
+    docs = t(spark, d, "documents").where("n_chars >= 300")
+    training = docs.select(sid, sid.alias("record_key"), (F.col("n_chars") / 10.0).alias("duration"), F.md5("text").alias("raw_path"), F.lit("accepted").alias("quality_status"))
+    texts = F.array(*(F.struct(F.lit(k).alias("type"), F.lit(k).alias("text")) for k in annotation.VARIANTS))
+    annotated = docs.select(sid, F.lit("accepted").alias("annotation_status"), F.struct(F.lit("full").alias("canonical_caption"), texts.alias("caption_variants")).alias("annotation"))
+    sections = F.array(F.struct(F.lit("Intro").alias("label"), F.lit("intro").alias("raw_label"), F.lit(0.0).alias("start"), F.lit(20.0).alias("end")))
+    mir = docs.select(sid, F.lit("complete").alias("analysis_status"), F.lit(120).alias("bpm"), F.lit("").alias("keyscale"), F.lit(None).cast("string").alias("timesignature"), F.array().cast("array<double>").alias("downbeats"), sections.alias("sections"))
+    return stages.build(training, annotated, mir, Cutter, f"{shared_dir(spark)}/built")
+
+
+@query(f"""{BUILT} SELECT doc_id, split, duration AS final_duration, false AS trimmed, '[Intro]' || chr(10) || '[Instrumental]' || chr(10) AS lyrics FROM r WHERE reason IS NULL""")
+def build_records(spark, d):
+    return built(spark, d).records.select(F.col("sample_id").cast("long").alias("doc_id"), "split", "final_duration", "trimmed", "lyrics")
+
+
+@query(f"""{BUILT} SELECT count(*) AS input_records, count(*) FILTER (reason IS NULL) AS validated_records, count(*) FILTER (reason IS NULL AND split = 'train') AS train_records, count(*) FILTER (reason IS NULL AND split = 'validation') AS validation_records, count(*) FILTER (reason IS NOT NULL) AS n_errors,
+  CASE WHEN count(*) FILTER (reason IS NOT NULL) = 0 THEN 'pass' ELSE 'failed' END AS status, (SELECT CAST(sum(n - 1) AS BIGINT) FROM g) AS shared_audio_records_preserved, false AS deduplication_performed FROM r""")
+def build_report(spark, d):
+    return built(spark, d).report.select("input_records", "validated_records", "train_records", "validation_records", "n_errors", "status", "shared_audio_records_preserved", "deduplication_performed")

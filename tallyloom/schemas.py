@@ -16,6 +16,7 @@ SEARCH = "sample_id string, section_start double, section_end double, search_sta
 MIR = "sample_id string, analysis_status string, bpm int, keyscale string, key_confidence double, timesignature string, beats array<double>, downbeats array<double>, beat_positions array<int>, sections array<struct<label:string,raw_label:string,start:double,end:double>>"
 TRACKER = "best_loss double, best_epoch int, stale_checks int, latest_loss double"
 
-#: Vocal status to the action it asks for, and statuses of finished downloads.
+#: Vocal status to the action it asks for, statuses of finished downloads, and what a reason says where a user decided on the identity.
 ACTIONS = {"instrumental": "keep_original", "vocal_chops": "keep_original", "lyrics": "separate_vocals", "uncertain": "manual_check"}
 DOWNLOADED = ("COMPLETE", "REUSED_DUPLICATE")
+OVERRIDE = "user_override_identity:"

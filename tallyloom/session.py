@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import re
+import tempfile
+
 from pyspark.sql import SparkSession
 
 
@@ -24,3 +27,14 @@ def session(name: str = "tallyloom", master: str | None = None, conf: dict[str,
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     return spark
+
+
+def shared_dir(spark: SparkSession) -> str:
+    """The folder all executors share, as the cluster names it in spark.checkpoint.dir. A session of one machine (local) may use a temporary folder instead; anywhere else an unset folder is an error, since each executor would write to its own disk."""
+    at = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
+    if not at:
+        if not re.fullmatch(r"local(\[[^\]]*\])?", spark.sparkContext.master):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
+        at = "file://" + tempfile.mkdtemp(prefix="tallyloom-")
+        spark.conf.set("spark.checkpoint.dir", at)
+    return at.rstrip("/")

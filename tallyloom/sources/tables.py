@@ -6,10 +6,12 @@ import json
 import os
 from collections.abc import Mapping
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tallyloom.functions import keys
+
 
 def exists(spark: SparkSession, path: str) -> bool:
     """Whether the path or glob matches anything in its file system."""
@@ -46,24 +48,38 @@ def read_documents(spark: SparkSession, folder: str, schema: str, status: str =
     if not exists(spark, f"{folder}/*.json"):
         return spark.createDataFrame([], f"stem string, {schema}")
     text = spark.read.option("wholetext", True).text(f"{folder}/*.json").select("value", F.col("_metadata.file_name").alias("file"))
-    parsed = text.select(F.regexp_replace("file", r"\.json$", "").alias("stem"), F.from_json("value", f"{schema}, _corrupt string", {"columnNameOfCorruptRecord": "_corrupt"}).alias("p"))
+    return parsed_documents(text.select(F.regexp_replace("file", r"\.json$", "").alias("stem"), "value"), "value", schema, status)
+
+
+def parsed_documents(rows: DataFrame, column: str, schema: str, status: str) -> DataFrame:
+    """rows with the fields of the JSON text in the column in its place; text that is no JSON has status invalid_json and no fields."""
+    others = [c for c in rows.columns if c != column]
+    parsed = rows.select(*others, F.from_json(column, f"{schema}, _corrupt string", {"columnNameOfCorruptRecord": "_corrupt"}).alias("_p"))
     fields = [f.name for f in T.StructType.fromDDL(schema)]
-    bad = F.col("p").isNull() | F.col("p._corrupt").isNotNull()
-    return parsed.select("stem", *((F.when(bad, "invalid_json").otherwise(F.col(f"p.{c}")) if c == status else F.when(~bad, F.col(f"p.{c}"))).alias(c) for c in fields))
+    bad = F.col("_p").isNull() | F.col("_p._corrupt").isNotNull()
+    return parsed.select(*others, *((F.when(bad, "invalid_json").otherwise(F.col(f"_p.{c}")) if c == status else F.when(~bad, F.col(f"_p.{c}"))).alias(c) for c in fields))
+
+
+def settings_of(lines: Column) -> Column:
+    """struct(key, value) of each KEY=VALUE line of an array; blanks, comments and lines without = are passed over."""
+    bare = F.filter(F.transform(lines, lambda v: F.trim(v)), lambda v: ~v.startswith("#") & F.contains(v, F.lit("=")))
+    return F.transform(bare, lambda v: F.struct(F.trim(F.substring_index(v, "=", 1)).alias("key"), F.trim(F.substring(v, F.locate("=", v) + 1, F.length(v))).alias("value")))
 
 
 def read_settings(path: str, into: dict[str, str] | None = None) -> dict[str, str]:
-    """KEY=VALUE lines; blanks, comments and lines without = are passed over; keys that are set stay."""
+    """KEY=VALUE lines; blanks, comments and lines without = are passed over; keys that are set stay; no file sets nothing."""
     out = {} if into is None else into
-    with open(path, encoding="utf-8") as f:
-        for line in map(str.strip, f):
-            if line and not line.startswith("#") and "=" in line:
-                key, value = line.split("=", 1)
-                out.setdefault(key.strip(), value.strip())
+    if os.path.exists(path):
+        with open(path, encoding="utf-8") as f:
+            for line in map(str.strip, f):
+                if line and not line.startswith("#") and "=" in line:
+                    key, value = line.split("=", 1)
+                    out.setdefault(key.strip(), value.strip())
     return out
 
 
 def read_config(path: str) -> Mapping:
+    """A JSON document of settings."""
     with open(path, encoding="utf-8") as f:
         return json.load(f)
 
@@ -77,8 +93,4 @@ def listing(spark: SparkSession, glob: str) -> DataFrame:
 
 def expected_stems(index: DataFrame) -> DataFrame:
     """Stems of the file names in a dataset index (samples: array of struct filename, ...)."""
-    return index.select(F.explode("samples.filename").alias("f")).select(F.regexp_replace("f", r"\.[^.]*$", "").alias("stem")).distinct()
-
-
-def local_files(folder: str) -> set[str]:
-    return set(os.listdir(folder)) if os.path.isdir(folder) else set()
+    return index.select(F.explode("samples.filename").alias("f")).select(keys.name_without_suffix(F.col("f")).alias("stem")).distinct()
