@@ -66,19 +66,27 @@ def decode_table(lengths: np.ndarray) -> tuple[int, np.ndarray, np.ndarray]:
 
 def encode(ids: np.ndarray, codes: np.ndarray, lengths: np.ndarray) -> tuple[bytes, np.ndarray]:
     """(bit stream, padded to whole bytes; bit offset of each symbol)."""
+    stream, _, starts = encode_each(ids, np.array([len(ids)]), codes, lengths)
+    return stream, starts
+
+
+def encode_each(ids: np.ndarray, n: np.ndarray, codes: np.ndarray, lengths: np.ndarray) -> tuple[bytes, np.ndarray, np.ndarray]:
+    """(bit streams of documents one after the other, each padded to whole bytes; the byte at which each ends; bit offset of each symbol in all). n: symbols of each document, whose ids lie one after the other."""
     if not len(ids):
-        return b"", np.empty(0, np.int64)
+        return b"", np.zeros(len(n), np.int64), np.empty(0, np.int64)
     size = lengths[ids].astype(np.int64)
-    ends = np.cumsum(size)
-    starts = ends - size
-    total = int(ends[-1])
+    upto = np.concatenate([[0], np.cumsum(size)])
+    last = np.cumsum(n)
+    own = (upto[last] - upto[last - n] + 7) // 8  # bytes of each document
+    ends = np.cumsum(own)
+    starts = upto[:-1] + np.repeat(8 * (ends - own) - upto[last - n], n)
     # Each code is put at its place in a window of 4 bytes; windows never share a bit, so bytes are sums.
     window = codes[ids].astype(np.int64) << (32 - size - (starts & 7))
-    at, n = starts >> 3, (total + 7) // 8 + 4
-    out = np.zeros(n, np.float64)
+    at, total = starts >> 3, int(ends[-1])
+    out = np.zeros(total + 4, np.float64)
     for k in range(4):
-        out += np.bincount(at + k, (window >> (24 - 8 * k)) & 255, n)
-    return out[: (total + 7) // 8].astype(np.uint8).tobytes(), starts
+        out += np.bincount(at + k, (window >> (24 - 8 * k)) & 255, total + 4)
+    return out[:total].astype(np.uint8).tobytes(), ends, starts
 
 
 def decode(stream: bytes, offsets: np.ndarray, counts: np.ndarray, table: tuple[int, np.ndarray, np.ndarray]) -> np.ndarray:

@@ -7,7 +7,6 @@ from __future__ import annotations
 
 import uuid
 import zlib
-from array import array
 from collections.abc import Iterator
 from functools import cache
 
@@ -18,18 +17,19 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyloom.llm.common import parts, shared_dir, stored, table
-from tallyloom.llm.huffman import STRIDE, canonical, code_lengths, decode, decode_table, encode
+from tallyloom.llm.huffman import STRIDE, canonical, code_lengths, decode, decode_table, encode_each
 from tallyloom.llm.ordering import bounds, in_ranges, order_key
 
 END_ID = 0
 #: Bytes of a block's bit stream at which it is closed; words whose ids a worker remembers.
-BLOCK, WORDS = 1 << 18, 600_000
-#: Bytes of text that are encoded at once.
-STEP = 4 << 20
-#: Where one white space next to another could make a token that spans the cut between two words.
-_WIDE = r"[\s\x0b\x1c-\x1f\x85\p{Z}] | [\s\x0b\x1c-\x1f\x85\p{Z}]"
-#: Marks that are a piece of their own after a word, if nothing follows them; byte-level BPE's letters for bytes that are no visible character.
-_MARKS = ("", ".", ",", "!", "?", ";", ":")
+BLOCK, WORDS = 1 << 18, 1_500_000
+#: Bytes of text, and ids, that are worked on at once.
+STEP, IDS = 6 << 20, 1 << 20
+#: White space next to white space could make a token that spans the cut between two words.
+_WIDE = r"[\s\x0b\x1c-\x1f\x85\p{Z}][\s\x0b\x1c-\x1f\x85\p{Z}]"
+#: Marks that are a piece of their own after a word, if nothing follows them; how byte-level BPE writes a space, a line feed, and bytes that are no visible character.
+_MARKS = (".", ",", "!", "?", ";", ":")
+_SPACE, _FEED = "\u0120", "\u010a"
 _BYTES = dict(zip([b for b in range(256) if not (33 <= b <= 126 or 161 <= b <= 172 or b >= 174)], range(256, 512)))
 
 
@@ -46,64 +46,140 @@ def _tokenizer(path: str):
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
     from tokenizers import Tokenizer
 
-    tok = Tokenizer.from_file(path)
-    tok.encode_special_tokens = True  # their strings in a text are ordinary text
-    return tok
+    return Tokenizer.from_file(path)
+
+
+class _Words:
+    """Ids of words as the tokenizer gives them, for one worker: the known words and, by their number, each one's stretch of a pool of ids. A word that begins with a line feed stands at the start of a line, any other has a space before it. Beyond WORDS words those that came once are forgotten, or all if that isn't enough."""
+
+    def __init__(self, path: str):
+        self.tok = _tokenizer(path)
+        vocabulary = self.tok.get_vocab(with_added_tokens=True)
+        self.opens = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.opens[[i for token, i in vocabulary.items() if token.startswith(_SPACE)]] = True
+        self.marks = {m: self.tok.token_to_id(m) for m in _MARKS}
+        self.feed = [self.tok.token_to_id(_FEED)]
+        self.clear()
+
+    def clear(self) -> None:
+        self.known, self.pool = pa.array([], pa.string()), np.empty(0, np.uint32)
+        self.at, self.size, self.came = (np.empty(0, np.int32) for _ in range(3))
+
+    def find(self, words: pa.Array) -> np.ndarray:
+        """Numbers of distinct words; new ones are learnt."""
+        found = pc.fill_null(pc.index_in(words, value_set=self.known), -1).to_numpy().copy()
+        missing = np.flatnonzero(found < 0)
+        if len(missing) and len(self.known) and len(self.known) + len(missing) > WORDS:
+            self.came[found[found >= 0]] += 1
+            self._forget(len(missing))
+            return self.find(words)
+        if len(missing):
+            order = self._learn(words.take(pa.array(missing)))
+            found[missing[order]] = np.arange(len(self.known) - len(missing), len(self.known))
+        self.came[found] += 1
+        return found
+
+    def _forget(self, coming: int) -> None:
+        stay = np.flatnonzero(self.came > 1)
+        known, at, size, pool = self.known, self.at[stay], self.size[stay], self.pool
+        self.clear()
+        if len(stay) and len(stay) + coming <= WORDS:
+            ends = np.cumsum(size)
+            self._keep(known.take(pa.array(stay)), pool[np.repeat(at - ends + size, size) + np.arange(ends[-1])], size)
+            self.came[:] = 1
+
+    def _learn(self, words: pa.Array) -> np.ndarray:
+        """Learn words and give their places in the order in which they were numbered. Letters are one piece for the tokenizer's model, and one mark after them another; other words go through the whole tokenizer."""
+        new = words.to_pylist()
+        tokenize, marks, flat, sizes, plain, rest = self.tok.model.tokenize, self.marks, [], [], [], []
+        quick = [i for i, w in enumerate(new) if w.isascii() and w.isalpha()]
+        pieces = [tokenize(_SPACE + new[i]) for i in quick]
+        sizes += map(len, pieces)
+        flat += [t.id for p in pieces for t in p]
+        del pieces
+        others = np.ones(len(new), bool)
+        others[quick] = False
+        for i in np.flatnonzero(others).tolist():
+            core, before, ids, mark = new[i], _SPACE, [], None
+            if core[:1] == "\n":
+                core, before, ids = core[1:], "", self.feed
+            if not core.isalpha():
+                core, mark = core[:-1], marks.get(core[-1:])
+                if mark is None or not core.isalpha():
+                    rest.append(i)
+                    continue
+            ids = ids + [t.id for t in tokenize(before + (core if core.isascii() else core.encode().decode("latin-1").translate(_BYTES)))]
+            if mark is not None:
+                ids.append(mark)
+            plain.append(i)
+            flat += ids
+            sizes.append(len(ids))
+        lines = [i for i in rest if new[i][:1] == "\n"]
+        for e in self.tok.encode_batch_fast([new[i] for i in lines], add_special_tokens=False):
+            flat += e.ids
+            sizes.append(len(e.ids))
+        spaced = [i for i in rest if new[i][:1] != "\n"]
+        ids, n = self._whole([new[i] for i in spaced])
+        order = np.array(quick + plain + lines + spaced, np.int64)
+        self._keep(words.take(pa.array(order)), np.concatenate([np.array(flat, np.uint32), ids]), np.concatenate([np.array(sizes, np.int64), n]))
+        return order
+
+    def _whole(self, new: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """(ids, number of each). Words hold no space, so in a text of all of them each space opens a word, and so does each token that begins with one."""
+        if not new:
+            return np.empty(0, np.uint32), np.empty(0, np.int64)
+        ids = np.array(self.tok.encode_batch_fast([" " + " ".join(new)], add_special_tokens=False)[0].ids, np.uint32)
+        starts = np.flatnonzero(self.opens[ids])
+        if len(starts) == len(new) and starts[0] == 0:
+            return ids, np.diff(starts, append=len(ids))
+        every = [e.ids for e in self.tok.encode_batch_fast([" " + w for w in new], add_special_tokens=False)]
+        return np.array([i for own in every for i in own], np.uint32), np.array([len(own) for own in every], np.int64)
+
+    def _keep(self, words: pa.Array, ids: np.ndarray, sizes: np.ndarray) -> None:
+        starts = len(self.pool) + np.cumsum(sizes) - sizes
+        self.known = pa.concat_arrays([self.known, words])
+        self.pool = np.concatenate([self.pool, ids.astype(np.uint32)])
+        self.at, self.size, self.came = (np.concatenate([x, y.astype(np.int32)]) for x, y in ((self.at, starts), (self.size, sizes), (self.came, np.zeros(len(sizes)))))
 
 
 @cache
-def _known(path: str) -> dict[str, bytes]:
-    """Ids of words with the space before them, as the tokenizer gives them. Byte-level BPE cuts a text before each single space, so a text's ids are those of its words; texts with wider white space are encoded whole."""
-    return {}
+def _words(path: str) -> _Words:
+    return _Words(path)
 
 
 def encode_texts(texts: pa.Array, path: str) -> tuple[np.ndarray, np.ndarray]:
-    """(ids of all texts, one after the other; number of ids of each). The end id is appended to each text; null counts as empty."""
-    tok, known = _tokenizer(path), _known(path)
+    """(ids of all texts, one after the other; number of ids of each). The end id is appended to each text; null counts as empty.
+
+    Byte-level BPE cuts a text before each single space and around each single line feed, so a text's ids are those of its words, and each distinct word is encoded once; texts with white space next to white space are encoded whole. What the tokenizer itself takes for a special token's string is one here, too.
+    """
+    known = _words(path)
     texts = pc.fill_null(texts, "")
     wide = pc.match_substring_regex(texts, _WIDE)
-    lists = pc.split_pattern(pc.if_else(wide, "", texts), " ")
+    lists = pc.split_pattern(pc.replace_substring(pc.if_else(wide, "", texts), "\n", " \n"), " ")
     starts = lists.offsets.to_numpy()
     words = lists.values.slice(starts[0], starts[-1] - starts[0]).dictionary_encode()
     starts = starts - starts[0]
-    distinct = words.dictionary.to_pylist()
-    new = [w for w in distinct if w not in known]
-    if len(known) + len(new) > WORDS:
-        known.clear()
-        new = distinct
-    _learn(new, tok, known)
-    # Entries: the distinct words; the first word of each text, which no space precedes (a wide text: all of it); the end id.
-    first = words.indices.to_numpy()[starts[:-1]]
-    heads = pc.if_else(wide, texts, words.dictionary.take(pa.array(first))).to_pylist()
-    entries = [known[w] for w in distinct] + [np.array(e.ids, "<u4").tobytes() for e in tok.encode_batch_fast(heads, add_special_tokens=False)] + [np.array([END_ID], "<u4").tobytes()]
-    size = np.fromiter(map(len, entries), np.int64, len(entries)) // 4
-    flat = np.frombuffer(b"".join(entries), "<u4")
-    at = np.cumsum(size) - size
-    which = words.indices.to_numpy().astype(np.int64)
-    which[starts[:-1]] = len(distinct) + np.arange(len(texts))
-    which = np.insert(which, starts[1:], len(entries) - 1)
-    n = size[which]
-    ends = np.cumsum(n)
-    return flat[np.repeat(at[which] - ends + n, n) + np.arange(ends[-1] if len(n) else 0)], np.diff(ends[starts[1:] + np.arange(len(texts))], prepend=0)
-
-
-def _learn(new: list[str], tok, known: dict[str, bytes]) -> None:
-    """Add the ids of new words. A word of letters is one piece for the tokenizer's model, and one mark after it another; other words go through the whole tokenizer."""
-    model, rest = tok.model, []
-    for word in new:
-        core, mark = (word, "") if word.isalpha() else (word[:-1], word[-1:])
-        if not core.isalpha() or mark not in _MARKS:
-            rest.append(word)
-            continue
-        ids = known.get(core)
-        if ids is None:
-            piece = "\u0120" + (core if core.isascii() else core.encode().decode("latin-1").translate(_BYTES))
-            ids = known[core] = array("I", [t.id for t in model.tokenize(piece)]).tobytes()
-        if mark:
-            known[word] = ids + array("I", [model.token_to_id(mark)]).tobytes()
-    for i in range(0, len(rest), 20_000):
-        some = rest[i : i + 20_000]
-        known.update(zip(some, (np.array(e.ids, "<u4").tobytes() for e in tok.encode_batch_fast([" " + w for w in some], add_special_tokens=False)), strict=True))
+    which = words.indices.to_numpy()
+    number = known.find(words.dictionary)
+    # The first word of each text, which no space precedes (a wide text: all of it), and the end id come after the pool's.
+    heads = pc.if_else(wide, texts, words.dictionary.take(pa.array(which[starts[:-1]]))).to_pylist()
+    heads = [e.ids for e in known.tok.encode_batch_fast(heads, add_special_tokens=False)]
+    sizes = np.array([len(h) for h in heads], np.int32)
+    flat = np.concatenate([known.pool, np.array([i for h in heads for i in h], np.uint32), np.array([END_ID], np.uint32)])
+    # Stretches of the ids in order: the words, an end after each text's.
+    at, n = np.full(len(which) + len(texts), len(flat) - 1, np.int32), np.ones(len(which) + len(texts), np.int32)
+    place = np.arange(len(which)) + np.repeat(np.arange(len(texts)), np.diff(starts))
+    at[place], n[place] = known.at[number][which], known.size[number][which]
+    first = starts[:-1] + np.arange(len(texts))
+    at[first], n[first] = len(known.pool) + np.cumsum(sizes) - sizes, sizes
+    ends = np.cumsum(n, dtype=np.int32)
+    if not len(ends):
+        return np.empty(0, np.uint32), np.empty(0, np.int64)
+    some = n > 0
+    own, last = at[some], (at + n - 1)[some]
+    steps = np.ones(ends[-1], np.int32)
+    steps[(ends - n)[some]] = own - np.concatenate([[0], last[:-1]])
+    return flat[np.cumsum(steps, dtype=np.int32)], np.diff(ends[starts[1:] + np.arange(len(texts))].astype(np.int64), prepend=0)
 
 
 def _token_rows(path: str):
@@ -128,14 +204,27 @@ def _ids(raw: bytes) -> np.ndarray:
     return np.frombuffer(raw, "<u4", offset=1) if len(raw) % 2 else np.frombuffer(raw, "<u2")
 
 
+def _joined(batch: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """(ids, number of each document's) of some documents at a time, IDS ids or one document."""
+    held, size = [], 0
+    for raw in batch:
+        own = _ids(raw.as_py())
+        if held and size + len(own) > IDS:
+            yield np.concatenate(held), np.array([len(h) for h in held], np.int64)
+            held, size = [], 0
+        held.append(own)
+        size += len(own)
+    if held:
+        yield np.concatenate(held), np.array([len(h) for h in held], np.int64)
+
+
 def _histogram(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     total = np.zeros(0, np.int64)
     for batch in batches:
-        for raw in batch.column(0):
-            own = np.bincount(_ids(raw.as_py()))
-            if len(own) > len(total):
-                total = np.concatenate([total, np.zeros(len(own) - len(total), np.int64)])
-            total[: len(own)] += own
+        for ids, _ in _joined(batch.column(0)):
+            own = np.bincount(ids, minlength=len(total))
+            own[: len(total)] += total
+            total = own
     used = np.flatnonzero(total)
     yield pa.RecordBatch.from_arrays([pa.array(used), pa.array(total[used])], names=["id", "n"])
 
@@ -145,13 +234,15 @@ def _encoder(lengths):
         own = lengths.value
         codes, _ = canonical(own)
         for batch in batches:
-            rows = []
-            for raw in batch.column(1):
-                ids = _ids(raw.as_py())
-                bits, starts = encode(ids, codes, own)
-                rows.append((len(ids), bits, starts[::STRIDE].astype("<i8").tobytes()))
-            n, bits, marks = zip(*rows) if rows else ((), (), ())
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n, pa.int64()), pa.array(bits, pa.binary()), pa.array(marks, pa.binary())], names=["k", "n", "bits", "marks"])
+            number, bits, marks = [], [], []
+            for ids, n in _joined(batch.column(1)):
+                stream, ends, starts = encode_each(ids, n, codes, own)
+                before = np.concatenate([[0], ends[:-1]])
+                firsts = np.cumsum(n) - n
+                number.append(n)
+                bits += [stream[a:b] for a, b in zip(before.tolist(), ends.tolist(), strict=True)]
+                marks += [(starts[a : a + k : STRIDE] - 8 * b).astype("<i8").tobytes() for a, k, b in zip(firsts.tolist(), n.tolist(), before.tolist(), strict=True)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(np.concatenate([*number, np.empty(0, np.int64)])), pa.array(bits, pa.binary()), pa.array(marks, pa.binary())], names=["k", "n", "bits", "marks"])
 
     return run
 
