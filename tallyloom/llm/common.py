@@ -2,26 +2,18 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tallyloom.session import shared_dir
+
 #: White space as the contracts define it: code points 0x20 and 0x09 to 0x0D.
 SPACE_CLASS = r"[\x20\x09-\x0D]"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder all executors share, as the cluster names it in spark.checkpoint.dir; a temporary one only where that is unset (tests)."""
-    at = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
-    if not at:
-        at = "file://" + tempfile.mkdtemp(prefix="tallyloom-")
-        spark.conf.set("spark.checkpoint.dir", at)
-    return at.rstrip("/")
-
-
 def stored(df: DataFrame, name: str, **options: str) -> DataFrame:
     """Write df as Parquet into the shared folder and read it back: lineage ends there, lost executors cost nothing, and branches read it once each."""
     path = f"{shared_dir(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
@@ -38,6 +30,20 @@ def ascii_lower(text: Column) -> Column:
     return F.translate(text, UPPER, LOWER)
 
 
+#: Keys that are broadcast to find rows where they lie, at most; beyond it both sides are shuffled.
+FEW_KEYS = 1_000_000
+
+
+def among(rows: DataFrame, keys: DataFrame, on: list[str], how: str = "left_semi") -> DataFrame:
+    """The rows whose columns on (nulls are equal) are among keys, or with how="left_anti" the others. Rows stay where they are while the keys are few enough to be broadcast."""
+    keys = keys.select(*(F.col(c).alias(f"_{i}_key") for i, c in enumerate(on)))
+    same = [F.col(c).eqNullSafe(F.col(f"_{i}_key")) for i, c in enumerate(on)]
+    both = same[0]
+    for c in same[1:]:
+        both = both & c
+    return rows.join(F.broadcast(keys) if keys.count() <= FEW_KEYS else keys, both, how)
+
+
 def parts(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

@@ -15,9 +15,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyloom.llm.common import table
+from tallyloom.llm.common import stored, table
 
 Q, BUDGET, BLOCK = 8, 0.1, 4_000_000
+#: Postings that are counted at once.
+MOST = 1 << 21
 _BASE = 0x9E3779B97F4A7C15 | 1
 _FILTER = 22
 _GAPS = re.compile(r"[\W_]+")
@@ -62,6 +64,18 @@ class Index:
         self.seen = np.zeros(1 << _FILTER, bool)
         self.seen[(self.grams >> np.uint64(64 - _FILTER)).astype(np.int64)] = True
 
+    def _shared(self, at: np.ndarray, i: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+        """(item, place in the item, place in the text) of q-grams i of the index at places at of the text, MOST postings or one q-gram's at a time."""
+        n = self.number[i]
+        ends = np.cumsum(n)
+        first = 0
+        while first < len(i):
+            last = max(first + 1, int(np.searchsorted(ends, (ends[first - 1] if first else 0) + MOST, "right")))
+            k, own = n[first:last], i[first:last]
+            post = np.repeat(self.first[own] - np.cumsum(k) + k, k) + np.arange(k.sum())
+            yield self.item[post], self.place[post], np.repeat(at[first:last], k)
+            first = last
+
     def candidates(self, p: np.ndarray) -> list[tuple[int, int]]:
         """(item, band) of all bands that reach the item's bound."""
         h = gram_hashes(p)
@@ -71,18 +85,18 @@ class Index:
         i = np.minimum(np.searchsorted(self.grams, h[at]), len(self.grams) - 1)
         real = self.grams[i] == h[at]
         at, i = at[real], i[real]
-        n = self.number[i]
-        if n.sum() < self.bound.min():
+        if self.number[i].sum() < self.bound.min():
             return []
-        post = np.repeat(self.first[i] - np.cumsum(n) + n, n) + np.arange(n.sum())
-        item = self.item[post]
-        shift = np.repeat(at, n) - self.place[post]
         # items with too few shared q-grams in the whole text can't reach the bound in a band
-        rich = np.bincount(item, minlength=len(self.ids)) >= self.bound
-        rich = rich[item]
-        item, shift = item[rich], shift[rich]
-        band = shift // (self.budget[item] + 1)
-        place = self.place[post][rich]
+        total = np.zeros(len(self.ids), np.int64)
+        for item, _, _ in self._shared(at, i):
+            total += np.bincount(item, minlength=len(total))
+        rich = total >= self.bound
+        held = [[x[rich[item]] for x in (item, place, where)] for item, place, where in self._shared(at, i) if rich[item].any()]
+        if not held:
+            return []
+        item, place, where = (np.concatenate(x) for x in zip(*held))
+        band = (where - place) // (self.budget[item] + 1)
         key = np.concatenate([item << 32 | (band + (1 << 30)), item << 32 | (band - 1 + (1 << 30))])
         full, count = np.unique(key, return_counts=True)
         full = full[count >= self.bound[full >> 32]]
@@ -161,9 +175,11 @@ def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
     docs: doc_id, text; benchmark: item_id, text; other columns are ignored. Null and empty texts hold nothing; repeated rows give repeated results; empty tables none. Documents are read where they lie; nothing is shuffled.
     """
-    spark, out = docs.sparkSession, None
+    spark, out, left = docs.sparkSession, None, None
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     for block in blocks(benchmark):
+        if left is not None:  # more than one block: each index goes before the next comes
+            out = _given_up(*left, out)
         index = spark.sparkContext.broadcast(Index(block))
 
         def run(batches: Iterator[pa.RecordBatch], index=index) -> Iterator[pa.RecordBatch]:
@@ -173,20 +189,31 @@ def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
                 columns = list(zip(*found)) or [()] * 6
                 yield pa.RecordBatch.from_arrays([*(pa.array(c, pa.int64()) for c in columns[:5]), pa.array(columns[5], pa.float64())], names=["doc_id", "item_id", "start", "end", "edits", "similarity"])
 
-        found = rows.mapInArrow(run, HITS)
-        out = found if out is None else out.unionByName(found)
-    return spark.createDataFrame([], HITS) if out is None else out
+        left = rows.mapInArrow(run, HITS), index
+    if left is None:
+        return spark.createDataFrame([], HITS)
+    return left[0] if out is None else _given_up(*left, out)
+
+
+def _given_up(found: DataFrame, index, out: DataFrame | None) -> DataFrame:
+    found = stored(found, "hits")
+    index.unpersist()
+    return found if out is None else out.unionByName(found)
 
 
 def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """doc_id, item_id, start, end, edits, similarity of the best passage of each benchmark item in each document that has one; see contaminated() for nulls, empty texts and repeated rows."""
     return contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
 def clean_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pipeline stage: documents without a benchmark passage, all columns as they are. Each document is judged where it lies."""
-    at = docs.columns.index("text")
+    """Pipeline stage: documents without a benchmark passage, all columns as they are. Each document is judged where it lies; with more than one block of the benchmark what one block leaves is written before the next."""
+    at, left = docs.columns.index("text"), None
     for block in blocks(table(spark, sf_dir, "benchmark")):
-        index = spark.sparkContext.broadcast(Index(block))
+        if left is not None:
+            docs = stored(docs, "clean")
+            left.unpersist()
+        left = index = spark.sparkContext.broadcast(Index(block))
 
         def keep(batches: Iterator[pa.RecordBatch], index=index) -> Iterator[pa.RecordBatch]:
             for batch in batches:

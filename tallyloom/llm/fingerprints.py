@@ -100,4 +100,5 @@ def fingerprinted(docs: DataFrame) -> DataFrame:
 
 
 def op1_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited, near_next of every document; see fingerprinted() for nulls, empty texts and repeated rows."""
     return fingerprinted(table(spark, sf_dir, "documents"))

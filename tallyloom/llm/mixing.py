@@ -1,6 +1,6 @@
 """Mixing sources to target weights by weighted fair queueing, with DataFrame operations only.
 
-Every source's documents are shuffled by a hash. A document's virtual finish time is the source's tokens up to and with it, divided by the source's target; a source that repeats goes on counting through its passes. Copies of all sources are ordered by finish time, and the mix ends at the virtual time (1) at which the total budget, the sum of targets, is spent; a document in service just then is cut there, so each source gives its target to within a word.
+Every source's documents are shuffled by a hash. A document's virtual finish time is the source's tokens up to and with it, divided by the source's target; a source that repeats goes on counting through its passes. A copy that is in service at virtual time 1 is two pieces, the words up to then and the rest, so that no source is held up by a long document. The pieces of all sources are put into ranges of finish time and sorted there, their running sum is taken over the ranges in order, and the mix ends where it reaches the total budget, the sum of the targets in whole words.
 """
 
 from __future__ import annotations
@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tallyloom.llm.common import parts, stored, table
+from tallyloom.llm.ordering import range_of
 
 WEIGHTS, MOST_PASSES, SEED = (5, 2, 1), 3, "mix"
 #: Rows of one source that a bucket of the shuffled order aims at.
@@ -37,36 +38,60 @@ def targets(sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: float =
     return run.select("source", "source_size", F.coalesce(F.least(F.col("cap"), level * F.col("w")), F.col("cap")).alias("target"))
 
 
-def served(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: float = 1.0, most: int = MOST_PASSES) -> DataFrame:
-    """docs (doc_id, source, size, and whatever else it carries) with source_size, target and passes: for each pass the virtual times start and finish and the words taken.
+def served(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: float = 1.0, most: int = MOST_PASSES) -> tuple[DataFrame, int]:
+    """(docs with source_size, target, queue, begin and pieces; the total budget). docs: doc_id, source, size, and whatever else it carries.
 
-    Null sources are one source of their own; null sizes count as 0; equal ids are ordered by size. A document without words has taken 0 in each pass. The running sum of a source is taken in buckets of its hash order, whose starts come from the sums of buckets, so no task holds a hot source. The input is read three times and shuffled once. Columns named like those added are replaced.
+    queue is the source as a key and begin the words of its queue before the document, so (queue, begin) names a document that has words. pieces: number of the pass, finish (virtual time) and words of each piece, up to two a pass; none without words. Null sources are one source of their own; null sizes count as 0; equal ids are ordered by size. The running sum of a source is taken in buckets of its hash order, whose starts come from the sums of buckets, so no task holds a hot source. The input is read three times and shuffled once. Columns named like those added are replaced.
     """
     bits = max(0, (docs.count() // BUCKET).bit_length())
     h = F.md5(F.concat(F.lit(SEED + "|"), F.coalesce(F.col("doc_id").cast("string"), F.lit(""))))
-    rows = docs.withColumns({"size": F.coalesce("size", F.lit(0)).cast("long"), "_h": h, "_s": F.coalesce(F.concat(F.lit("s"), F.col("source")), F.lit("n"))})
+    rows = docs.withColumns({"size": F.coalesce("size", F.lit(0)).cast("long"), "_h": h, "queue": F.coalesce(F.concat(F.lit("s"), F.col("source")), F.lit("n"))})
     rows = rows.withColumn("_b", F.shiftright(F.conv(F.substring("_h", 1, 8), 16, 10).cast("long"), 32 - bits).cast("int"))
-    own = stored(rows.groupBy("_s", "_b").agg(F.first("source").alias("source"), F.sum("size").alias("own")), "buckets")
-    goal = targets(own.groupBy("_s").agg(F.first("source").alias("source"), F.sum("own").alias("source_size")).select("source", "source_size"), weights, share, most)
-    goal = goal.select(F.coalesce(F.concat(F.lit("s"), F.col("source")), F.lit("n")).alias("_s"), "source_size", "target")
-    starts = own.select("_s", "_b", F.coalesce(F.sum("own").over(Window.partitionBy("_s").orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_before")).join(goal, "_s")
-    inner = Window.partitionBy("_s", "_b").orderBy("_h", "doc_id", "size").rowsBetween(Window.unboundedPreceding, 0)
-    rows = rows.drop("source_size", "target", "passes").withColumn("_upto", F.sum("size").over(inner)).join(starts, ["_s", "_b"])
-
-    def one(i: int) -> Column:
-        end = F.col("_before") + F.col("_upto") + i * F.col("source_size")
-        begin = end - F.col("size")
-        taken = F.greatest(F.lit(0), F.least(F.col("size"), F.floor("target").cast("long") - begin))
-        return F.struct(F.try_divide(begin, F.col("target")).alias("start"), F.try_divide(end, F.col("target")).alias("finish"), taken.alias("taken"))
-
-    return rows.withColumn("passes", F.array(*map(one, range(most)))).drop("_s", "_b", "_h", "_upto", "_before")
+    own = stored(rows.groupBy("queue", "_b").agg(F.first("source").alias("source"), F.sum("size").alias("own")), "buckets")
+    goal = targets(own.groupBy("queue").agg(F.first("source").alias("source"), F.sum("own").alias("source_size")).select("source", "source_size"), weights, share, most)
+    goal = stored(goal.select(F.coalesce(F.concat(F.lit("s"), F.col("source")), F.lit("n")).alias("queue"), "source_size", "target"), "targets")
+    starts = own.select("queue", "_b", F.coalesce(F.sum("own").over(Window.partitionBy("queue").orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_before")).join(goal, "queue")
+    inner = Window.partitionBy("queue", "_b").orderBy("_h", "doc_id", "size").rowsBetween(Window.unboundedPreceding, 0)
+    rows = rows.drop("source_size", "target", "begin", "pieces", "_upto", "_before").withColumn("_upto", F.sum("size").over(inner)).join(starts, ["queue", "_b"])
+    rows = rows.withColumn("begin", F.col("_before") + F.col("_upto") - F.col("size"))
+    cut = F.floor("target").cast("long")
+
+    def two(i: int) -> list[Column]:
+        begin = F.col("begin") + i * F.col("source_size")
+        end, words = begin + F.col("size"), F.greatest(F.lit(0), F.least(F.col("size"), cut - begin))
+        return [F.struct(F.lit(i).alias("pass"), F.try_divide(stop, F.col("target")).alias("finish"), n.cast("long").alias("words")) for stop, n in ((F.least(end, cut), words), (end, F.col("size") - words))]
+
+    pieces = F.filter(F.array(*(p for i in range(most) for p in two(i))), lambda p: p["words"] > 0)
+    budget = goal.agg(F.sum(F.floor("target"))).first()[0]
+    return rows.withColumn("pieces", pieces).drop("_b", "_h", "_upto", "_before"), int(budget or 0)
+
+
+ORDER = ["finish", "queue", "begin"]
+
+
+def truncated(rows: DataFrame, budget: int) -> DataFrame:
+    """The pieces of served() rows (their other columns with them) in the global order of finish, queue and begin, with taken: the words of each that the budget still pays for. Ranges of finish time are quantiles, written into the plan; only a sum a range is summed up in one task."""
+    every = stored(rows.select(*(c for c in rows.columns if c != "pieces"), F.explode("pieces").alias("_p")).select("*", "_p.pass", "_p.finish", "_p.words").drop("_p"), "pieces")
+    n = parts(rows.sparkSession)
+    cuts = every.agg(F.percentile_approx("finish", [i / n for i in range(1, n)], max(10_000, 50 * n)).alias("cuts")).first()["cuts"] if n > 1 else []
+    every = every.withColumn("_range", range_of(F.col("finish"), sorted(set(cuts or []))).cast("int"))
+    sums = every.groupBy("_range").agg(F.sum("words").alias("_sum"))
+    before = sums.select("_range", F.coalesce(F.sum("_sum").over(Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_start"))
+    upto = F.sum("words").over(Window.partitionBy("_range").orderBy(*ORDER).rowsBetween(Window.unboundedPreceding, 0))
+    run = every.withColumn("_upto", upto).join(before, "_range")
+    left = F.lit(budget) - F.col("_start") - F.col("_upto") + F.col("words")
+    return run.withColumn("taken", F.greatest(F.lit(0), F.least(F.col("words"), left)).cast("long")).drop("_range", "_start", "_upto")
 
 
 def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """doc_id, size, source_size, target, taken of every document."""
-    sized = table(spark, sf_dir, "documents").select("doc_id", "source", word_count(F.col("text")).alias("size"))
-    taken = F.aggregate(F.col("passes.taken"), F.lit(0).cast("long"), lambda a, b: a + b)
-    return served(sized).select("doc_id", "size", "source_size", "target", taken.alias("taken"))
+    sized = stored(table(spark, sf_dir, "documents").select("doc_id", "source", word_count(F.col("text")).alias("size")), "sizes")
+    rows, budget = served(sized)
+    rows = stored(rows, "served")
+    taken = truncated(rows.select("doc_id", "size", "source_size", "target", "queue", "begin", "pieces"), budget)
+    own = taken.groupBy("queue", "begin").agg(*(F.first(c).alias(c) for c in ("doc_id", "size", "source_size", "target")), F.sum("taken").alias("taken"))
+    columns = ["doc_id", "size", "source_size", "target", "taken"]
+    return own.select(columns).unionByName(rows.where("size = 0").withColumn("taken", F.lit(0).cast("long")).select(columns))
 
 
 OP6_SQL = r"""
@@ -86,12 +111,22 @@ FROM e
 
 
 def mix_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pipeline stage: the mix of docs in the order of finish times, with the columns of docs; a document taken in several passes is there as often, and one that the end of the budget cuts keeps its first words (n_chars follows). Documents that the mix has no room for go."""
-    rows = docs.select("doc_id", "source", word_count(F.col("text")).alias("size"), F.struct(*(docs[c] for c in docs.columns)).alias("row"))
-    copies = served(rows).select("size", "row", F.explode("passes").alias("pass")).where("pass.taken > 0")
-    taken, cut, text = F.col("pass.taken"), F.col("pass.taken") < F.col("size"), F.col("row.text")
-    pieces = F.split(F.ltrim(text), r"(?<=[\x20\x09-\x0D])(?=[^\x20\x09-\x0D])")
-    copies = copies.withColumn("head", F.when(cut, F.rtrim(F.array_join(F.slice(pieces, 1, taken.cast("int")), ""))))
-    in_order = copies.repartitionByRange(parts(docs.sparkSession), "pass.finish", "row.doc_id").sortWithinPartitions("pass.finish", "row.doc_id")
+    """Pipeline stage: the mix of docs in the order of finish times, with the columns of docs; a document taken in several passes is there as often, and one that the end of the budget cuts keeps its first words (n_chars follows). Documents that the mix has no room for go, and so do those without words.
+
+    The end of the mix is found on narrow rows; texts move to their queue's buckets and then into the order.
+    """
+    sized = docs.select("doc_id", "source", word_count(F.col("text")).alias("size"))
+    narrow, budget = served(stored(sized, "sizes"))
+    last = truncated(narrow.select("queue", "begin", "pieces"), budget).where("taken > 0").agg(F.max(F.struct(*ORDER, "taken")).alias("last")).first()["last"]
+    rows, _ = served(sized.select("doc_id", "source", "size").limit(0) if last is None else docs.select("doc_id", "source", word_count(F.col("text")).alias("size"), F.struct(*(docs[c] for c in docs.columns)).alias("row")))
+    if last is None:
+        return docs.limit(0)
+    pieces = rows.select("size", "row", "queue", "begin", F.explode("pieces").alias("_p")).select("*", "_p.*")
+    here, end = F.struct(*ORDER), F.struct(F.lit(last["finish"]).alias("finish"), F.lit(last["queue"]).alias("queue"), F.lit(last["begin"]).alias("begin"))
+    pieces = pieces.where(here <= end).withColumn("words", F.when(here == end, F.lit(last["taken"])).otherwise(F.col("words")))
+    cut, text = F.col("words") < F.col("size"), F.col("row.text")
+    split = F.split(F.ltrim(text), r"(?<=[\x20\x09-\x0D])(?=[^\x20\x09-\x0D])")
+    copies = pieces.withColumn("head", F.when(cut, F.rtrim(F.array_join(F.slice(split, 1, F.col("words").cast("int")), ""))))
+    in_order = copies.repartitionByRange(parts(spark), *ORDER).sortWithinPartitions(*ORDER)
     changed = {"text": F.coalesce("head", text), "n_chars": F.coalesce(F.length("head").cast("long"), F.col("row.n_chars")) if "n_chars" in docs.columns else None}
     return in_order.select(*(changed.get(c, F.col(f"row.{c}")).alias(c) for c in docs.columns))

@@ -1,12 +1,13 @@
 """Toxicity by class-conditional Kneser-Ney models of characters.
 
-Texts become symbols: letters a-z and the Latin-1 letters (case folded), one symbol for every other letter and one for gaps, runs of gaps being one. Two models of order 5 with absolute discounts, one of toxic and one of ordinary texts, back off to one shared model of order 4, whose Kneser-Ney counts come from the whole corpus; rare expressions thus differ between the classes only as far as the labelled texts show it. The log-likelihood of a symbol under the toxic model, less that under the ordinary one, is averaged over windows of WINDOW symbols (length-normalised); a text's features are its highest window, its own mean and its log length. A logistic function of these, fitted on labelled texts that the models have not seen, is the score.
+Texts become symbols: letters a-z, the Latin-1 letters, digits, letters and marks of other scripts (case folded, in OTHER groups by code point) and gaps, runs of gaps being one. Two Kneser-Ney models of order 5, one of toxic and one of ordinary texts, back off over their own continuation counts of order 4 (the different symbols before a gram) to one shared model of order 3, which backs off over order 2 to single symbols, all by continuation counts of the whole corpus. Rare expressions thus differ between the classes only as far as the labelled texts show it. Each order's absolute discount comes from its counts of counts. The log-likelihood of a symbol under the toxic model, less that under the ordinary one, is averaged over windows of WINDOW symbols (length-normalised); a text's features are its highest window and its own mean. A logistic function of these, fitted on labelled texts that the models have not seen, is the score.
 
-The classes are learnt from a bounded sample: at most SAMPLE labelled texts of each class, those with the lowest hash of doc_id; two thirds of them feed the models and one third the logistic function. Held-out rows (crc32 of doc_id as text divisible by 5) are never among them.
+What is counted in the corpus are its grams of 5 symbols, a table that grows with it and stays distributed; of the continuation counts made from it only those whose contexts the labelled texts hold reach the driver. The classes are learnt from a bounded sample: at most SAMPLE labelled texts of each class, those with the lowest hash of doc_id; two thirds of them feed the models and one third the logistic function. Held-out rows (crc32 of doc_id as text divisible by 5) are never among them.
 """
 
 from __future__ import annotations
 
+import unicodedata
 import uuid
 import zlib
 from collections.abc import Iterator
@@ -18,31 +19,41 @@ from pyspark.sql import functions as F
 
 from tallyloom.llm.common import stored, table
 
-ORDER, WINDOW, DISCOUNT, SAMPLE = 5, 8, 0.95, 4_000
-_BITS = 6
-_SHARED = 1 << (_BITS * (ORDER - 1))
+ORDER, SHARED, WINDOW, SAMPLE = 5, 3, 8, 4_000
+_BITS = 7
+_ALL = 1 << _BITS
+#: Symbols: 0 a gap, then 26 letters, 32 Latin-1 letters, 10 digits, OTHER groups of other letters.
+_LATIN, _DIGITS, _OTHERS = 27, 59, 69
+OTHER = _ALL - 1 - _OTHERS
+#: Symbols of text that are counted at once.
+CHUNK = 1 << 23
 
 
-def _symbols() -> np.ndarray:
-    out = np.full(0x400, 59, np.uint8)
-    out[:0xC0] = 0
-    for i in range(26):
-        out[97 + i] = out[65 + i] = 1 + i
-    for c in range(0xC0, 0x100):
-        low = chr(c).lower()
-        out[c] = 27 + (ord(low) - 0xE0 if ord(low) >= 0xE0 else 31)
-    out[[0xD7, 0xF7]] = 0
-    return out
+def _symbol(c: int) -> int:
+    char = chr(c)
+    low = char.lower()
+    code = ord(low) if len(low) == 1 else c
+    if 97 <= code <= 122:
+        return code - 96
+    if char.isdigit() and unicodedata.digit(char, None) is not None:
+        return _DIGITS + unicodedata.digit(char)
+    if not (char.isalpha() or unicodedata.category(char)[0] == "M"):
+        return 0
+    return _LATIN + code - 0xE0 if 0xDF < code < 0x100 else _LATIN + 31 if code < 0xE0 else _OTHERS + code % OTHER
 
 
-_MAP = _symbols()
+#: Symbols of the code points of the basic plane; those above are letters of other scripts.
+_MAP = np.array([_symbol(c) for c in range(0x10000)], np.uint8)
 
 
 def symbols(text: str | None) -> np.ndarray:
     """The text's symbols with a gap on either side."""
     raw = np.frombuffer((text or "").encode("utf-32-le", "surrogatepass"), "<u4")
     s = np.zeros(len(raw) + 2, np.uint8)
-    s[1:-1] = _MAP[np.minimum(raw, len(_MAP) - 1)]
+    s[1:-1] = _MAP[np.minimum(raw, 0xFFFF)]
+    if len(raw) and raw.max() > 0xFFFF:
+        high = raw > 0xFFFF
+        s[1:-1][high] = _OTHERS + raw[high] % OTHER
     keep = np.ones(len(s), bool)
     keep[1:] = (s[1:] > 0) | (s[:-1] > 0)
     s = s[keep]
@@ -64,26 +75,21 @@ def held_out(doc_id: str = "doc_id") -> Column:
 
 
 def _shared_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    total = np.zeros(_SHARED, np.uint32)  # of a partition
-
-    def add(held: list[np.ndarray]) -> None:
+    def counted(held: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
         gram, n = np.unique(np.concatenate(held), return_counts=True)
-        total[gram] += n.astype(np.uint32)
+        for at in range(0, len(gram), 1 << 16):
+            yield pa.RecordBatch.from_arrays([pa.array(gram[at : at + (1 << 16)]), pa.array(n[at : at + (1 << 16)])], names=["gram", "n"])
 
+    held, size = [], 0
     for batch in batches:
-        held, size = [], 0
         for text in batch.column(0):
-            held.append(grams(symbols(text.as_py()), ORDER - 1).astype(np.int32))
+            held.append(grams(symbols(text.as_py()), ORDER))
             size += len(held[-1])
-            if size > 1 << 20:
-                add(held)
+            if size > CHUNK:
+                yield from counted(held)
                 held, size = [], 0
-        if held:
-            add(held)
-    used = np.flatnonzero(total)
-    for at in range(0, len(used), 1 << 16):
-        some = used[at : at + (1 << 16)]
-        yield pa.RecordBatch.from_arrays([pa.array(some), pa.array(total[some].astype(np.int64))], names=["gram", "n"])
+    if held:
+        yield from counted(held)
 
 
 def _class_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -95,80 +101,125 @@ def _class_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
                 yield pa.RecordBatch.from_arrays([pa.array(np.full(len(u), toxic, np.int32)), pa.array(u), pa.array(n)], names=["toxic", "gram", "n"])
 
 
-def _shared_model(gram: np.ndarray, n: np.ndarray):
-    """P(symbol | 3 symbols) of 4-grams given: absolute discount, backed off to continuation counts of the symbol."""
-    order = np.argsort(gram)
-    gram, n = gram[order], n[order].astype(np.float64)
-    context, at = np.unique(gram >> _BITS, return_inverse=True)
-    total, kinds = np.bincount(at, n), np.bincount(at)
-    follows = np.bincount(gram & 63, minlength=64) + 0.5
-    follows = follows / follows.sum()
-    spare = DISCOUNT * kinds / np.maximum(total, 1)
-    p = np.maximum(n - DISCOUNT, 0) / total[at] + spare[at] * follows[gram & 63]
-
-    def of(k: np.ndarray) -> np.ndarray:
-        if not len(gram):
-            return follows[k & 63]
-        i = np.minimum(np.searchsorted(gram, k), len(gram) - 1)
-        j = np.minimum(np.searchsorted(context, k >> _BITS), len(context) - 1)
-        return np.where(gram[i] == k, p[i], np.where(context[j] == k >> _BITS, spare[j], 1.0) * follows[k & 63])
-
-    return of
-
-
-def class_model(gram: np.ndarray, toxic: np.ndarray, n: np.ndarray, shared) -> tuple[np.ndarray, np.ndarray]:
-    """(contexts of 4 symbols that either class has, ascending; for each, the log-likelihood ratio of every symbol after it)."""
-    context, at = np.unique(gram >> _BITS, return_inverse=True)
-    ratio = np.zeros((len(context), 64))
-    backed = shared((((context & (_SHARED // 64 - 1)) << _BITS)[:, None] | np.arange(64)).ravel()).reshape(-1, 64)
-    for sign, c in ((1, 1), (-1, 0)):
-        seen = np.zeros((len(context), 64))
-        own = toxic == c
-        np.add.at(seen, (at[own], gram[own] & 63), n[own])
-        total = seen.sum(axis=1, keepdims=True)
-        spare = np.where(total > 0, DISCOUNT * (seen > 0).sum(axis=1, keepdims=True) / np.maximum(total, 1), 1.0)
-        ratio += sign * np.log(np.maximum(seen - DISCOUNT, 0) / np.maximum(total, 1) + spare * backed)
-    return context, ratio.astype(np.float32)
+def discount(once: int, twice: int) -> float:
+    """Absolute discount by the numbers of grams that are there once and twice."""
+    return min(0.95, max(0.1, once / (once + 2 * twice))) if once else 0.5
+
+
+def _known(counts: DataFrame, order: int, contexts: np.ndarray) -> tuple[np.ndarray, np.ndarray, float]:
+    """(grams of the contexts given, their counts, the order's discount). What is collected has at most a row for each context and symbol."""
+    few = counts.agg(F.count_if(F.col("n") == 1), F.count_if(F.col("n") == 2)).first()
+    if order > 1:
+        wanted = counts.sparkSession.createDataFrame(pa.table({"context": pa.array(contexts)}))
+        counts = counts.join(F.broadcast(wanted), F.shiftright("gram", _BITS) == F.col("context"), "left_semi")
+    rows = counts.select("gram", "n").toArrow()
+    return rows["gram"].to_numpy(), rows["n"].to_numpy(), discount(*few)
+
+
+def backed(contexts: np.ndarray, gram: np.ndarray, n: np.ndarray, d: float, lower: np.ndarray) -> np.ndarray:
+    """P(symbol | context) by rows of contexts (ascending): discounted counts, and what is left by the lower order (rows of contexts, too)."""
+    seen = np.zeros((len(contexts), _ALL))
+    at = np.searchsorted(contexts, gram >> _BITS)
+    at = np.minimum(at, max(0, len(contexts) - 1))
+    own = contexts[at] == gram >> _BITS if len(contexts) else np.zeros(len(gram), bool)
+    np.add.at(seen, (at[own], gram[own] & (_ALL - 1)), n[own])
+    total = seen.sum(axis=1, keepdims=True)
+    spare = np.where(total > 0, d * (seen > 0).sum(axis=1, keepdims=True) / np.maximum(total, 1), 1.0)
+    return np.maximum(seen - d, 0) / np.maximum(total, 1) + spare * lower
+
+
+def tail(gram: np.ndarray, n: int) -> np.ndarray:
+    """The last n symbols of grams."""
+    return gram & ((1 << _BITS * n) - 1)
+
+
+def shared_model(counts: DataFrame, contexts: np.ndarray) -> np.ndarray:
+    """P(symbol | context) by rows of contexts (of SHARED - 1 symbols, ascending) under the shared model. counts: gram, n of all grams of ORDER symbols."""
+    tables, own = {ORDER: counts}, {SHARED: contexts}
+    for order in range(ORDER - 1, 0, -1):
+        tables[order] = stored(tables[order + 1].groupBy((F.col("gram").bitwiseAND((1 << _BITS * order) - 1)).alias("gram")).agg(F.count("*").alias("n")), "continuations")
+    for order in range(SHARED - 1, 0, -1):
+        own[order] = np.unique(tail(own[order + 1], order - 1))
+    gram, n, _ = _known(tables[1], 1, own[1])
+    single = np.full(_ALL, 0.5)
+    np.add.at(single, gram, n)
+    p = np.tile(single / single.sum(), (1, 1))
+    for order in range(2, SHARED + 1):
+        p = backed(own[order], *_known(tables[order], order, own[order]), p[np.searchsorted(own[order - 1], tail(own[order], order - 2))])
+    return p
+
+
+def class_model(gram: np.ndarray, toxic: np.ndarray, n: np.ndarray, shared) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(contexts of 4 symbols that either class has, ascending; symbols that some text has; for each context the log-likelihood ratio of each of these after it). shared: P(symbol | context) for contexts of SHARED - 1 symbols given."""
+    context, used = np.unique(gram >> _BITS), np.unique(gram & (_ALL - 1))
+    own = {ORDER: context}
+    for order in range(ORDER - 1, SHARED - 1, -1):
+        own[order] = np.unique(tail(own[order + 1], order - 1))
+    base, ratio = shared(own[SHARED]), np.zeros((len(context), len(used)), np.float32)
+    for c, sign in ((1, 1), (0, -1)):
+        order = np.argsort(gram[toxic == c], kind="stable")
+        tables = {ORDER: (gram[toxic == c][order], n[toxic == c][order])}
+        for order in range(ORDER - 1, SHARED, -1):
+            tables[order] = np.unique(tail(tables[order + 1][0], order), return_counts=True)
+        spare = {order: discount(int((k == 1).sum()), int((k == 2).sum())) for order, (_, k) in tables.items()}
+        p = base
+        for order in range(SHARED + 1, ORDER):
+            p = backed(own[order], *tables[order], spare[order], p[np.searchsorted(own[order - 1], tail(own[order], order - 2))])
+        g, k = tables[ORDER]
+        for at in range(0, len(context), 4096):
+            some = context[at : at + 4096]
+            first, last = np.searchsorted(g, [some[0] << _BITS, (some[-1] + 1) << _BITS])
+            top = backed(some, g[first:last], k[first:last], spare[ORDER], p[np.searchsorted(own[ORDER - 1], tail(some, ORDER - 2))])
+            ratio[at : at + 4096] += (sign * np.log(top))[:, used]
+    return context, used, ratio
 
 
 _made: dict = {}
 
 
-def _tables(model) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """The broadcast model as three small tables: row of the first 3 symbols, row of those and the fourth, ratios of the fifth (row 0: unknown). Made once a worker."""
-    key, context, ratio = model.value
+def _tables(model) -> tuple:
+    """The broadcast model as small tables: number of each symbol (unknown: the last), row of the first 3 symbols, row of those and the fourth, ratios of the fifth (row 0: unknown). Made once a task: a worker that went on to another stage must not keep them."""
+    key, context, used, ratio = model.value
     if _made.get("key") != key:
+        base = len(used) + 1
+        number = np.full(_ALL, len(used), np.int32)
+        number[used] = np.arange(len(used))
         prefix, at = np.unique(context >> _BITS, return_inverse=True)
-        first, second = np.zeros(_SHARED >> _BITS, np.int32), np.zeros((len(prefix) + 1, 64), np.int32)
-        first[prefix] = 1 + np.arange(len(prefix))
-        second[1 + at, context & 63] = 1 + np.arange(len(context))
-        _made.update(key=key, tables=(first, second.ravel(), np.concatenate([np.zeros((1, 64), np.float32), ratio]).ravel()))
+        first, second = np.zeros(base**3, np.int32), np.zeros((len(prefix) + 1, base), np.int32)
+        first[(number[prefix >> 2 * _BITS] * base + number[(prefix >> _BITS) & (_ALL - 1)]) * base + number[prefix & (_ALL - 1)]] = 1 + np.arange(len(prefix))
+        second[1 + at, number[context & (_ALL - 1)]] = 1 + np.arange(len(context))
+        ratios = np.zeros((len(context) + 1, base), np.float32)
+        ratios[1:, :-1] = ratio
+        _made.update(key=key, tables=(number, base, first, second.ravel(), ratios.ravel()))
     return _made["tables"]
 
 
-def features(text: str | None, first: np.ndarray, second: np.ndarray, ratio: np.ndarray) -> tuple[float, float, float]:
-    s = symbols(text)
+def features(text: str | None, number: np.ndarray, base: int, first: np.ndarray, second: np.ndarray, ratio: np.ndarray) -> tuple[float, float]:
+    """(mean ratio of the highest window, of the whole text)."""
+    s = number[symbols(text)]
     if len(s) < ORDER:
-        return 0.0, 0.0, float(np.log(len(s) + 10))
+        return 0.0, 0.0
     n = len(s) - ORDER + 1
-    k = (s[:n].astype(np.int32) << 2 * _BITS) | (s[1 : n + 1].astype(np.int32) << _BITS) | s[2 : n + 2]
-    v = ratio[(second[(first[k] << _BITS) | s[3 : n + 3]] << _BITS) | s[4:]]
+    k = (s[:n] * base + s[1 : n + 1]) * base + s[2 : n + 2]
+    v = ratio[second[first[k] * base + s[3 : n + 3]] * base + s[4:]]
     run = np.concatenate([[0.0], np.cumsum(v, dtype=np.float64)])
     w = min(WINDOW, len(v))
-    return float((run[w:] - run[:-w]).max() / WINDOW), float(run[-1] / len(v)), float(np.log(len(s) + 10))
+    return float((run[w:] - run[:-w]).max() / WINDOW), float(run[-1] / len(v))
+
 
 
 def _featured(model):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             own = _tables(model)
-            f = np.array([features(t.as_py(), *own) for t in batch.column(1)]).reshape(-1, 3)
-            yield pa.RecordBatch.from_arrays([batch.column(0), *(pa.array(f[:, i]) for i in range(3))], names=["key", "top", "mean", "log_n"])
+            f = np.array([features(t.as_py(), *own) for t in batch.column(1)]).reshape(-1, 2)
+            yield pa.RecordBatch.from_arrays([batch.column(0), *(pa.array(f[:, i]) for i in range(2))], names=["key", "top", "mean"])
+        _made.clear()
 
     return run
 
 
-FEATURES = "key long, top double, mean double, log_n double"
+FEATURES = "key long, top double, mean double"
 
 
 def logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1e-2) -> np.ndarray:
@@ -198,12 +249,15 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE):
         return None
     mine = spark.createDataFrame([(d, t, zlib.crc32(f"fit{d}".encode()) % 3 > 0) for d, t in picked], "doc_id long, toxic int, fits boolean")
     texts = stored(docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).join(F.broadcast(mine), "doc_id"), "labelled")
-    counts = texts.where("fits").select("text", "toxic").mapInArrow(_class_counts, "toxic int, gram long, n long").groupBy("toxic", "gram").agg(F.sum("n").alias("n")).toArrow()  # of a bounded sample
-    shared = docs.select(F.col("text").cast("string").alias("text")).mapInArrow(_shared_counts, "gram long, n long").groupBy("gram").agg(F.sum("n").alias("n")).toArrow()  # 64**4 rows at most
-    model = class_model(counts["gram"].to_numpy(), counts["toxic"].to_numpy(), counts["n"].to_numpy(), _shared_model(shared["gram"].to_numpy(), shared["n"].to_numpy()))
+    own = texts.where("fits").select("text", "toxic").mapInArrow(_class_counts, "toxic int, gram long, n long").groupBy("toxic", "gram").agg(F.sum("n").alias("n")).toArrow()  # of a bounded sample
+    gram = own["gram"].to_numpy()
+    if not len(gram):
+        return None
+    counts = stored(docs.select(F.col("text").cast("string").alias("text")).mapInArrow(_shared_counts, "gram long, n long").groupBy("gram").agg(F.sum("n").alias("n")), "grams")
+    model = class_model(gram, own["toxic"].to_numpy(), own["n"].to_numpy(), lambda contexts: shared_model(counts, contexts))
     model = spark.sparkContext.broadcast((uuid.uuid4().hex, *model))
     rest = texts.where("NOT fits").select(F.col("toxic").cast("long").alias("key"), "text").mapInArrow(_featured(model), FEATURES).toArrow()
-    x, y = np.column_stack([rest[c].to_numpy() for c in ("top", "mean", "log_n")]), rest["key"].to_numpy().astype(float)
+    x, y = np.column_stack([rest[c].to_numpy() for c in ("top", "mean")]), rest["key"].to_numpy().astype(float)
     if len(set(y.tolist())) < 2:
         return None
     return model, logistic(x, y)
@@ -215,7 +269,7 @@ def scored(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> DataFram
     if (fitted := fit(docs, labels, sample)) is None:
         return rows.select(F.col("key").alias("doc_id"), F.lit(0.0).alias("score"))
     model, w = fitted
-    z = F.col("top") * float(w[0]) + F.col("mean") * float(w[1]) + F.col("log_n") * float(w[2]) + float(w[3])
+    z = F.col("top") * float(w[0]) + F.col("mean") * float(w[1]) + float(w[2])
     return rows.mapInArrow(_featured(model), FEATURES).select(F.col("key").alias("doc_id"), (1 / (1 + F.exp(-z))).alias("score"))
 
 
@@ -229,9 +283,10 @@ def _tag(model, w: list[float], at: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             own = _tables(model)
-            f = np.array([features(t.as_py(), *own) for t in batch.column(at)]).reshape(-1, 3)
-            keep = f @ np.array(w[:3]) + w[3] < 0
+            f = np.array([features(t.as_py(), *own) for t in batch.column(at)]).reshape(-1, 2)
+            keep = f @ np.array(w[:2]) + w[2] < 0
             yield batch.filter(pa.array(keep))
+        _made.clear()
 
     return run
 

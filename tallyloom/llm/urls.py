@@ -87,6 +87,7 @@ def judged(pages: DataFrame, rules: list[tuple[str, str, str]] = RULES, redirect
 
 
 def op9_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """page_id, host, path, rule, verdict of every page; see judged() for nulls, empty texts and repeated rows."""
     return judged(table(spark, sf_dir, "pages"))
 
 
