@@ -48,6 +48,21 @@ def window_labels(sections: Column, start: Column, end: Column, least: float = 1
     return collapse(F.transform(covered, lambda x: x["label"]))
 
 
+def trimmed(start: Column, end: Column, duration: Column, tolerance: float = 0.01) -> Column:
+    """Whether a window is not the whole."""
+    return F.coalesce((start > 0) | (end < duration - tolerance), F.lit(False))
+
+
+def output_error(sample_rate: Column, channels: Column, duration: Column, expected: Column, decode_error: Column, tolerance: float = 1.0) -> Column:
+    """What is wrong with a rendered file, the first of: no audio, another format, another length, a decoder's error; else null."""
+    return (
+        F.when(sample_rate.isNull() & channels.isNull(), "no_audio_stream")
+        .when(~F.coalesce((sample_rate == 48000) & (channels == 2), F.lit(False)), "format_mismatch")
+        .when(~F.coalesce(F.abs(duration - expected) <= tolerance, F.lit(False)), "duration_mismatch")
+        .when(F.coalesce(decode_error, F.lit("")) != "", F.concat(F.lit("full_decode_failed:"), decode_error))
+    )
+
+
 def key_above(key: Column, scale: Column, strength: Column, threshold: float) -> Column:
     """Key and scale as one text if both are known and the estimate is at least as strong as the threshold; else null."""
     known = (F.coalesce(key, F.lit("")) != "") & (F.coalesce(scale, F.lit("")) != "") & (strength >= threshold)

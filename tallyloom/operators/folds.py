@@ -100,6 +100,12 @@ def group_split(df: DataFrame, group: str | list[str], ratio: float, seed: int =
     return rows.join(split, "_g").drop("_g")
 
 
+def members(df: DataFrame, group: list[str], member: str, order: str) -> DataFrame:
+    """A row a group: its members in the order given, their number and the order of the first (first_seen). A group of songs or files is of a bounded size."""
+    listed = df.groupBy(*group).agg(F.array_sort(F.collect_list(F.struct(F.col(order).alias("o"), F.col(member).alias("m")))).alias("_x"))
+    return listed.select(*group, F.transform("_x", lambda x: x["m"]).alias("members"), F.size("_x").cast("long").alias("n_members"), F.get("_x", F.lit(0))["o"].alias("first_seen"))
+
+
 def mean_of_means(df: DataFrame, batch: str, value: str) -> DataFrame:
     """One row: n_batches and the unweighted mean of batch means; an error without batches."""
     means = df.groupBy(batch).agg(F.avg(value).alias("m"))

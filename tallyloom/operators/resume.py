@@ -54,3 +54,10 @@ def orphans(present: DataFrame, wanted: DataFrame, keys: list[str]) -> DataFrame
 def first_n(df: DataFrame, n: int, *order: str) -> DataFrame:
     """The first n rows in a total order; a negative n is 0."""
     return df.orderBy(*order).limit(max(0, n))
+
+
+def reused(work: DataFrame, prior: DataFrame, keys: list[str], status: str, done: str = "complete") -> DataFrame:
+    """Work rows with the columns of the prior result of their key where that is finished, else nulls, and to_do: whether a row has none. Prior rows are unique by key; those that aren't finished count as none."""
+    fields = [c for c in prior.columns if c not in keys]
+    own = prior.where(F.col(status) == done).select(*keys, *fields, F.lit(True).alias("_done"))
+    return work.drop(*fields).join(own, keys, "left").withColumn("to_do", F.col("_done").isNull()).drop("_done")

@@ -27,3 +27,10 @@ def pivoted(pairs: Column, order: tuple[str, ...]) -> Column:
     """Texts of an array of struct(type, text) in a fixed order of types, the first of each; null where there is none."""
     first = lambda kind: F.get(F.filter(pairs, lambda p: p["type"] == kind), F.lit(0))["text"]
     return F.array(*map(first, order))
+
+
+def selected(states: Column, masks: Column, index: Column) -> Column:
+    """struct(state, mask) of the variant at the index (from 0). Parallel arrays of different lengths, no variants and an index outside them are errors, as a wrong pairing would go unnoticed."""
+    n = F.size(states)
+    wrong = F.when(F.coalesce(n, F.lit(-1)) != F.coalesce(F.size(masks), F.lit(-1)), "states and masks differ in number").when(F.coalesce(n, F.lit(0)) <= 0, "no variants").when(~F.coalesce(index.between(F.lit(0), n - 1), F.lit(False)), "no variant at this index")
+    return F.when(wrong.isNotNull(), F.raise_error(wrong)).otherwise(F.struct(F.get(states, index).alias("state"), F.get(masks, index).alias("mask")))

@@ -659,3 +659,38 @@ def build_records(spark, d):
   CASE WHEN count(*) FILTER (reason IS NOT NULL) = 0 THEN 'pass' ELSE 'failed' END AS status, (SELECT CAST(sum(n - 1) AS BIGINT) FROM g) AS shared_audio_records_preserved, false AS deduplication_performed FROM r""")
 def build_report(spark, d):
     return built(spark, d).report.select("input_records", "validated_records", "train_records", "validation_records", "n_errors", "status", "shared_audio_records_preserved", "deduplication_performed")
+
+
+@query("SELECT conv_id, turn, CASE WHEN l.doc_id IS NULL THEN NULL ELSE l.toxic END AS toxic, l.doc_id IS NULL AS to_do FROM conversations c LEFT JOIN (SELECT * FROM labels WHERE quality = 1) l ON c.conv_id = l.doc_id")
+def chunk_state(spark, d):
+    prior = t(spark, d, "labels").select(F.col("doc_id").alias("conv_id"), F.when(F.col("quality") == 1, "complete").otherwise("failed").alias("status"), "toxic")
+    return resume.reused(t(spark, d, "conversations").select("conv_id", "turn"), prior, ["conv_id"], "status").select("conv_id", "turn", "toxic", "to_do")
+
+
+@query("SELECT o_custkey, string_agg(CAST(o_orderkey AS VARCHAR), ',' ORDER BY o_orderdate, o_orderkey) AS members, count(*) AS n_members, min(o_orderdate) AS first_seen FROM orders GROUP BY 1")
+def group_members(spark, d):
+    rows = t(spark, d, "orders").select("o_custkey", "o_orderkey", "o_orderdate")
+    return folds.members(rows, ["o_custkey"], "o_orderkey", "o_orderdate").select("o_custkey", F.array_join("members", ",").alias("members"), "n_members", "first_seen")
+
+
+@query("""SELECT c_custkey, CASE WHEN c_custkey % 13 = 0 THEN 'no_audio_stream' WHEN c_nationkey % 3 = 0 OR c_custkey % 7 = 0 THEN 'format_mismatch' WHEN abs(c_acctbal - round(c_acctbal)) > 0.4 THEN 'duration_mismatch' WHEN c_mktsegment = 'BUILDING' THEN 'full_decode_failed:BUILDING' END AS error FROM customer""")
+def output_gate(spark, d):
+    none, key = F.col("c_custkey") % 13 == 0, F.col("c_custkey")
+    rate = F.when(none, None).when(F.col("c_nationkey") % 3 == 0, 44100).otherwise(48000)
+    channels = F.when(none, None).when(key % 7 == 0, 1).otherwise(2)
+    error = features.output_error(rate, channels, F.col("c_acctbal"), F.round("c_acctbal"), F.when(F.col("c_mktsegment") == "BUILDING", F.col("c_mktsegment")), 0.4)
+    return t(spark, d, "customer").select("c_custkey", error.alias("error"))
+
+
+@query("SELECT doc_id, n_chars % 3 > 0 OR n_chars % 5 < 4 AS trimmed FROM documents")
+def trimmed_flag(spark, d):
+    n = F.col("n_chars")
+    return t(spark, d, "documents").select("doc_id", features.trimmed((n % 3).cast("double"), (n % 5).cast("double"), F.lit(4.0)).alias("trimmed"))
+
+
+@query("SELECT conv_id, v[1 + CAST(conv_id % len(v) AS INTEGER)] AS state, length(v[1 + CAST(conv_id % len(v) AS INTEGER)]) AS mask FROM (SELECT conv_id, list(text ORDER BY turn) AS v FROM conversations WHERE text IS NOT NULL GROUP BY 1)")
+def variant_with_mask(spark, d):
+    listed = t(spark, d, "conversations").where("text IS NOT NULL").groupBy("conv_id").agg(F.array_sort(F.collect_list(F.struct("turn", "text"))).alias("p"))
+    masks = F.transform("p", lambda x: F.length(x["text"]).cast("long"))
+    own = variants.selected(F.col("p.text"), masks, F.pmod("conv_id", F.size("p")).cast("int"))
+    return listed.select("conv_id", own.alias("s")).select("conv_id", "s.state", "s.mask")

@@ -129,6 +129,11 @@ class Build:
     report: DataFrame
 
 
+def gate(report: DataFrame) -> gates.StageResult:
+    """A report row with a status as what a stage gives to its caller."""
+    return gates.result(report, F.col("status") == "pass")
+
+
 def preflight(training: DataFrame, annotated: DataFrame, mir: DataFrame) -> DataFrame:
     """sample_id, reason of accepted samples that lack an annotation or features: none may be built before all have both."""
     rows = training.where("quality_status = 'accepted'").select("sample_id")
@@ -159,7 +164,7 @@ def build(training: DataFrame, annotated: DataFrame, mir: DataFrame, render: Cal
         (~F.coalesce(length.between(30, longest + 0.1), F.lit(False)), F.concat(F.lit("output_duration_invalid:"), F.coalesce(length.cast("string"), F.lit("")))),
     ])
     labels = features.window_labels(F.coalesce("mir.sections", F.array().cast("array<struct<label:string,raw_label:string,start:double,end:double>>")), F.col("trim_start"), F.col("trim_end"))
-    both = kept(both.withColumns({"reason": reason, "lyrics": features.lyrics(labels), "final_duration": F.round(length, 3), "trimmed": (F.col("trim_start") > 0) | (F.col("trim_end") < F.col("duration") - 0.01)}), folder)
+    both = kept(both.withColumns({"reason": reason, "lyrics": features.lyrics(labels), "final_duration": F.round(length, 3), "trimmed": features.trimmed(F.col("trim_start"), F.col("trim_end"), F.col("duration"))}), folder)
     good = both.where("reason IS NULL")
     documents = sinks.sidecars(good.select("sample_id", F.col("annotation.canonical_caption").alias("caption"), F.col("annotation.caption_variants").alias("caption_variants"), *(F.col(f"mir.{c}").alias(c) for c in ("bpm", "keyscale", "timesignature"))))
     good = kept(good.join(documents, "sample_id"), folder)

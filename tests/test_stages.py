@@ -328,3 +328,16 @@ def test_small_rules(spark):
         features.collapse(F.array(*map(F.lit, "aabba"))).alias("runs"), variants.chosen(F.array().cast("array<string>"), F.lit("k"), F.lit(1)).alias("none"),
     ).first()
     assert (row["chunk"], row["stem"], row["first"], row["labels"], row["key"], row["runs"], row["none"]) == ("s__chunk007", "a", 2, ["Intro", "Theme", "Drop", "Theme"], None, ["a", "b", "a"], None)
+
+
+def test_selected_variant_checks_its_input(spark):
+    df = spark.range(1)
+    one = lambda s, m, i: df.select(variants.selected(F.array(*map(F.lit, s)).cast("array<int>"), F.array(*map(F.lit, m)).cast("array<int>"), F.lit(i)).alias("v")).first()["v"]
+    assert tuple(one([1, 2], [3, 4], 1)) == (2, 4)
+    for s, m, i, said in (([1], [1, 2], 0, "differ in number"), ([], [], 0, "no variants"), ([1], [1], 1, "no variant at"), ([1], [1], -1, "no variant at")):
+        with pytest.raises(Exception, match=said):
+            one(s, m, i)
+
+
+def test_gate_of_a_report(spark):
+    assert stages.gate(spark.createDataFrame([("pass", 3)], "status string, n int")).ok and not stages.gate(spark.createDataFrame([("failed", 3)], "status string, n int")).ok
