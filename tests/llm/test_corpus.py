@@ -8,6 +8,7 @@ from collections import defaultdict
 
 import duckdb
 import numpy as np
+import pyarrow as pa
 import pytest
 import xxhash
 from pyspark.sql import functions as F
@@ -137,6 +138,9 @@ def test_simhash_classes(spark, texts, odd, none):
     assert {d: (r["fingerprint"], r["component_id"]) for d, r in got.items()} == {d: (f"{p:016x}", least[find(p)]) for d, p in prints.items()}
     assert simhash.classes(none).count() == 0
     assert {(r["doc_id"], r["component_id"]) for r in simhash.classes(odd).collect()} >= {(1, 1), (2, 1), (3, 3), (4, 3)}
+    # rows without an id, and different texts under one id, stay apart
+    apart = spark.createDataFrame([(None, "a b c d e f g"), (None, "t u v w x y z"), (5, "one two three four five six"), (5, "six five four three two one"), (5, "one two three four five six")], "doc_id long, text string").withColumns({c: F.lit(1) for c in ("id", "t1", "row", "n")})
+    assert sorted(r["text"] for r in simhash.one_of_each(spark, apart, SF).collect()) == ["a b c d e f g", "one two three four five six", "six five four three two one", "t u v w x y z"]
     kept = simhash.one_of_each(spark, odd, SF)
     assert kept.columns == odd.columns and sorted(str(r["doc_id"]) for r in kept.collect()) == ["1", "3", "7", "8", "None"]
 
@@ -179,6 +183,34 @@ def test_near_copies_of_documents(spark, texts, none):
     assert simhash.near_classes(none).count() == 0
 
 
+def test_lines_of_repeated_rows_and_ids(spark):
+    rows = [(5, "first line of all\nonly here and nowhere else"), (5, "first line of all\nanother line that is alone"), (None, "lines of a row\nwithout an id"), (8, "twice the same row\nwith two lines"), (8, "twice the same row\nwith two lines"), (9, None)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = sorted((str(r["doc_id"]), r["n_lines"], r["n_kept"], r["dropped"]) for r in lines.counted(df).collect())
+    assert got == [("5", 2, 1, [0]), ("5", 2, 2, []), ("8", 2, 0, [0, 1]), ("8", 2, 2, []), ("9", 0, 0, []), ("None", 2, 2, [])]
+    out = sorted((str(r["doc_id"]), r["text"], r["more"]) for r in lines.deduplicated(df.withColumn("more", F.lit("x"))).collect())
+    assert [o[0] for o in out] == ["5", "5", "8", "8", "9", "None"]
+    kept = [line for o in out if o[1] for line in o[1].split("\n")]
+    assert sorted(kept) == sorted({line for _, x in rows if x for line in x.split("\n")})
+
+
+@pytest.mark.parametrize("edits", [2, 3, 4])
+def test_lines_of_a_large_group(spark, edits):
+    """One line and 300 variants of it, among others: what brute force drops is dropped, whatever the size of the group."""
+    rng = random.Random(edits)
+    vocabulary = ["".join(rng.choice("etaoinshrdlu") for _ in range(rng.randint(3, 8))) for _ in range(2_000)]
+    base, rows = [rng.choice(vocabulary) for _ in range(20)], []
+    for _ in range(300):
+        x = [*base]
+        for _ in range(edits):
+            x[rng.randrange(20)] = rng.choice(vocabulary)
+        rows.append(" ".join(x))
+    rows += [" ".join(rng.choice(vocabulary) for _ in range(15)) for _ in range(100)]
+    df = spark.createDataFrame(list(enumerate(rows)), "doc_id long, text string")
+    kept, least = {r["doc_id"] for r in lines.flagged(df).where("kept").collect()}, near_lines(rows)
+    assert least <= kept and len(rows) - len(kept) >= 0.97 * (len(rows) - len(least))
+
+
 def near_lines(rows, met=lambda i, j: True):
     """Least row of each component of rows (texts) at a Jaccard similarity of 0.8 or more of 5-character shingles, by brute force over the pairs that met allows."""
     sets = [{x[i : i + 5] for i in range(len(x) - 4)} for x in rows]
@@ -199,7 +231,9 @@ def test_lines_that_share_a_long_passage(spark, shared):
         rows += [" ".join(own[:3] + passage + own[3:]), " ".join(edited[:3] + passage + edited[3:])]
     rng.shuffle(rows)
     df = spark.createDataFrame(list(enumerate(rows)), "doc_id long, text string")
-    bands = {r["doc_id"]: set(r["bands"]) for r in lines.signed(lines.occurrences(df)).collect()}
+    found = lines.occurrences(df)
+    of = {(r["k1"], r["k2"]): set(r["bands"]) for r in lines.banded(lines.sketched(found)).collect()}
+    bands = {r["doc_id"]: of[r["k1"], r["k2"]] for r in found.collect()}
     kept = {r["doc_id"] for r in lines.flagged(df).where("kept").collect()}
     # every pair that shares a band is found, however large the band; nothing goes that brute force keeps
     assert near_lines(rows) <= kept <= near_lines(rows, lambda i, j: bool(bands.get(i, set()) & bands.get(j, set())))
@@ -248,14 +282,13 @@ def test_token_files(spark, texts, odd, none):
     from tokenizers import Tokenizer
 
     tok = Tokenizer.from_file(tokens.tokenizer_path())
-    tok.encode_special_tokens = True
     encode = lambda t: np.array([*tok.encode(t or "", add_special_tokens=False).ids, 0], "<u4")
     got, before = {r["doc_id"]: r for r in tokens.op4_token_ids(spark, SF).collect()}, 0
     for d in sorted(texts):
         ids = encode(texts[d])
         assert (got[d]["start"], got[d]["n_tokens"], got[d]["ids_crc32"]) == (before, len(ids), zlib.crc32(ids.tobytes()))
         before += len(ids)
-    hard = ["a  b", "a   b", " x", "x ", "a\n b", "a \nb", "", "\n", " ", "it's <|endoftext|> ok  z", "é ü ñandú, Straße!", None, "a  b", "x, y; z? 12a! n's"]
+    hard = ["a  b", "a   b", " x", "x ", "a\n b", "a \nb", "", "\n", " ", "it's <|endoftext|> ok  z", "it's <|endoftext|> ok z", "a<|endoftext|>b", "\nab c\nD, e\n", "\n\nq", "a.\n1b z", "é\nÉ. ü", "a \u2028b", "don't\nDon't", "\u0120x", "a\tb c\rd", "é ü ñandú, Straße!", None, "a  b", "x, y; z? 12a! n's"]
     df = spark.createDataFrame(list(enumerate(hard)), "doc_id long, text string")
     rows = {r["doc_id"]: r for r in tokens.read(spark, tokens.write(df)).collect()}
     assert all(bytes(rows[i]["ids"]) == encode(t).tobytes() for i, t in enumerate(hard))
@@ -270,30 +303,90 @@ def test_fixity(spark, odd):
     assert fixity.audit(mine, mine).count() == 0
     found = fixity.audit(mine, fixity.tree(fixity.records(pages, F.col("page_id").isin(9, 2700)))).collect()
     own = fixity.records(pages).where("page_id IN (9, 2700)").collect()
-    assert sorted((r["file"], r["place"]) for r in found) == sorted((r["file"], r["place"]) for r in own)
+    assert sorted((r["file"], r["place"]) for r in found) == sorted((r["file"], r["place"]) for r in own) and {r["kind"] for r in found} == {"corrupt"}
     short = fixity.audit(mine, fixity.tree(fixity.records(pages.where("NOT page_id <=> 2997"))))
     assert [(r["other_hash"]) for r in short.collect()] == [None]
-    assert fixity.tree(fixity.records(pages.limit(0)))[0].count() == 0
+    assert fixity.tree(fixity.records(pages.limit(0))).nodes.count() == 0
+
+
+def test_fixity_finds_holes_and_moved_records(spark):
+    pages = spark.createDataFrame([(i, f"http://a/{i}", "x" * (i % 11)) for i in range(300)], "page_id long, url string, html string")
+    own = fixity.records(pages)
+    mine = fixity.tree(own)
+    one = fixity.audit(mine, fixity.tree(fixity.records(pages.where("page_id <> 17")))).collect()
+    assert [(r["place"], r["kind"]) for r in one] == [(17, "missing")]
+    back = fixity.audit(fixity.tree(fixity.records(pages.where("page_id <> 17"))), mine).collect()
+    assert [(r["place"], r["kind"]) for r in back] == [(17, "extra")]
+    # record 40 lies after record 200 in the other replica, whose bytes between are further on
+    rows = [r.asDict() for r in own.orderBy("start").collect()]
+    moved = [r for r in rows if r["page_id"] != 40]
+    moved.insert(200, rows[40])
+    at = 0
+    for r in moved:
+        r["start"], at = at, at + r["length"]
+    found = fixity.audit(mine, fixity.tree(spark.createDataFrame(moved, own.schema))).collect()
+    assert [(r["place"], r["kind"]) for r in found] == [(40, "moved")]
+
+
+def test_fixity_of_a_hot_file(spark, monkeypatch):
+    rows = [(7, f"http://a/{i % 40}", "x" * (i % 40)) for i in range(400)] + [(i, "u", "y") for i in range(20)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    plain = sorted(map(tuple, fixity.records(pages).collect()))
+    monkeypatch.setattr(fixity, "HOT", 100)
+    assert sorted(map(tuple, fixity.records(pages).collect())) == plain
+
+
+def test_warc_files(spark, tmp_path):
+    rows = [(i, f"http://a/{i}", "<p>é\r\n\r\n</p>" * (i % 5)) for i in range(1200)] + [(None, None, None)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    own = fixity.records(pages)
+    path = fixity.write_warc(pages, f"file://{tmp_path}/w")
+    assert sorted(map(str, fixity.read_warc(spark, path).collect())) == sorted(map(str, own.collect()))
+    files = sorted(tmp_path.glob("w/file=1/*.txt"))
+    raw = bytearray(files[0].read_bytes())
+    assert len(files) == 1 and raw.startswith(b"WARC/1.0\r\n") and raw.endswith(b"\r\n\r\n")
+    raw[raw.index(b"http://a/600") + 9] = ord("7")
+    (tmp_path / "w/file=1" / f".{files[0].name}.crc").unlink(missing_ok=True)
+    files[0].write_bytes(raw)
+    found = fixity.audit(fixity.tree(own), fixity.tree(fixity.read_warc(spark, path))).collect()
+    assert [(r["file"], r["place"], r["kind"]) for r in found] == [(1, 600 - 512, "corrupt")]
 
 
 def test_mixing(spark, odd, none):
-    rows = mixing.served(spark.createDataFrame([(i, "abc"[i % 3], 10 * (i % 5)) for i in range(300)], "doc_id long, source string, size long")).collect()
-    per = defaultdict(lambda: [0, 0.0, 0])
-    for r in rows:
-        taken = [p["taken"] for p in r["passes"]]
-        assert all(0 <= x <= r["size"] for x in taken)
-        per[r["source"]][0] += sum(taken)
+    rows, budget = mixing.served(spark.createDataFrame([(i, "abc"[i % 3], 10 * (i % 5)) for i in range(300)], "doc_id long, source string, size long"))
+    per, words = defaultdict(lambda: [0, 0.0, 0]), defaultdict(int)
+    taken = mixing.truncated(rows, budget).collect()
+    for r in taken:
+        assert 0 <= r["taken"] <= r["words"]
+        per[r["source"]][0] += r["taken"]
         per[r["source"]][1], per[r["source"]][2] = r["target"], r["source_size"]
+        words[r["doc_id"], r["pass"]] += r["words"]
+    assert sum(r["taken"] for r in taken) == budget and all(n == 10 * (i % 5) for (i, _), n in words.items())
+    # the cut is one place of the global order: all before it is taken whole, nothing after it
+    order = sorted(taken, key=lambda r: (r["finish"], r["queue"], r["begin"]))
+    full = [r["taken"] == r["words"] for r in order]
+    assert full == sorted(full, reverse=True) and sum(0 < r["taken"] < r["words"] for r in taken) <= 1
     assert all(t - 1 <= got <= t and t <= 3 * size for got, t, size in per.values())
     sizes = spark.createDataFrame([("a", 10), ("b", 100), (None, 1000)], "source string, source_size long")
     # a stops at 3 * 10, b at 3 * 100, the null source takes the rest
     assert {r["source"]: r["target"] for r in mixing.targets(sizes).collect()} == {"a": 30.0, "b": 300.0, None: 780.0}
-    assert mixing.served(none.withColumn("size", F.lit(1))).count() == 0
+    assert mixing.served(none.withColumn("size", F.lit(1)))[0].count() == 0
     out = mixing.mix_stage(spark, odd, SF)
     assert out.columns == odd.columns and out.count() > 0
     assert mixing.mix_stage(spark, none, SF).count() == 0
 
 
+def test_mix_stage_is_the_mix(spark, texts):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    want = {r["doc_id"]: r["taken"] for r in mixing.op6_mixing(spark, SF).collect()}
+    got = defaultdict(int)
+    for r in mixing.mix_stage(spark, docs, SF).collect():
+        words = re.findall(r"[^\x20\x09-\x0D]+", r["text"])
+        assert words == re.findall(r"[^\x20\x09-\x0D]+", texts[r["doc_id"]])[: len(words)] and r["n_chars"] == len(r["text"])
+        got[r["doc_id"]] += len(words)
+    assert got == {d: n for d, n in want.items() if n}
+
+
 def test_licences(spark, odd, none):
     df = spark.createDataFrame([(1, "Licensed under CC BY-NC 4.0. cc by cc by"), (2, "x licensed under the Apache License, Version 2.0, y"), (3, "apache was a license of version 2 0"), (4, "GNU General Public License, version 3")], "doc_id long, text string")
     got = {r["doc_id"]: r for r in licences.scanned(df).collect()}
@@ -362,10 +455,64 @@ def test_decontamination_finds_edited_items(spark, odd, none):
     assert decontaminate.contaminated(odd, spark.createDataFrame([], "item_id long, text string")).count() == 0
 
 
+def fewest_edits(item, every):
+    """Of each place of every (code points of all texts): the fewest edits between the item and a passage that ends there."""
+    row, ramp = np.zeros(len(every) + 1, np.int64), np.arange(len(every) + 1)
+    for c in item:
+        step = np.concatenate([[row[0] + 1], np.minimum(row[:-1] + (every != c), row[1:] + 1)])
+        row = np.minimum.accumulate(step - ramp) + ramp
+    return row[1:]
+
+
 def test_decontamination_of_the_table(spark, texts):
-    items = {i: decontaminate.normal(t) for i, t in duckdb.sql(f"SELECT item_id, text FROM '{SF}/benchmark.parquet'").fetchall()}
-    got = {(r["doc_id"], r["item_id"]) for r in decontaminate.op10_decontaminate(spark, SF).collect()}
-    assert got >= {(d, i) for d, t in texts.items() for i, x in items.items() if x in decontaminate.normal(t)}
+    """Every item in every text by plain edit distance: the same hits with the same edits, and no others."""
+    items = [(i, decontaminate.normal(t)) for i, t in duckdb.sql(f"SELECT item_id, text FROM '{SF}/benchmark.parquet' ORDER BY item_id").fetchall()]
+    index, ids = decontaminate.Index(items), sorted(texts)
+    plain = [decontaminate.points(decontaminate.normal(texts[d])) for d in ids]
+    # texts of more than 9,000 characters are left to the other test; what parts the texts costs more than any budget
+    ids, plain = zip(*((d, p) for d, p in zip(ids, plain) if len(p) < 9_000))
+    wall = np.full(int(index.budget.max()) + 1, 0xFFFFFFFF, np.uint32)
+    every = np.concatenate([x for p in plain for x in (p, wall)])
+    owner = np.repeat(np.arange(len(plain)), [len(p) + len(wall) for p in plain])
+    want = {}
+    for n, (i, own) in enumerate(items):
+        edits = fewest_edits(decontaminate.points(own), every)
+        for at in np.flatnonzero(edits <= index.budget[n]).tolist():
+            key = (ids[owner[at]], i)
+            want[key] = min(want.get(key, 1 << 30), int(edits[at]))
+    got = {(r["doc_id"], r["item_id"]): r["edits"] for r in decontaminate.op10_decontaminate(spark, SF).collect() if r["doc_id"] in set(ids)}
+    assert want and got == want
+
+
+def test_decontamination_finds_insertions_and_deletions():
+    items = duckdb.sql(f"SELECT item_id, text FROM '{SF}/benchmark.parquet'").fetchall()
+    index, rng = decontaminate.Index([(i, decontaminate.normal(t)) for i, t in items]), random.Random(6)
+    for n, own in enumerate(index.texts):
+        for most in (int(index.budget[n]), int(index.budget[n]) // 2):
+            x = list(own)
+            for _ in range(most):
+                at = rng.randrange(1, len(x) - 1)
+                rng.choice([lambda: x.pop(at), lambda: x.insert(at, "q"), lambda: x.__setitem__(at, "q")])()
+            text = decontaminate.normal(f"before it {''.join(x)} after it")
+            real = int(fewest_edits(decontaminate.points(own), decontaminate.points(text)).min())
+            found = {r[0]: r[3] for r in decontaminate.regions(text, index)}
+            assert found.get(n, real if real > index.budget[n] else None) == real
+
+
+def test_decontamination_in_small_steps(monkeypatch, texts):
+    index = decontaminate.Index([(i, decontaminate.normal(t)) for i, t in duckdb.sql(f"SELECT item_id, text FROM '{SF}/benchmark.parquet'").fetchall()])
+    want = [decontaminate.regions(t, index) for t in texts.values()]
+    monkeypatch.setattr(decontaminate, "MOST", 7)
+    assert [decontaminate.regions(t, index) for t in texts.values()] == want
+
+
+def test_decontamination_with_many_blocks(spark, monkeypatch):
+    docs, items = (spark.read.parquet(f"{SF}/{t}.parquet") for t in ("documents", "benchmark"))
+    want = sorted(map(str, decontaminate.contaminated(docs, items).collect()))
+    clean = sorted(r["doc_id"] for r in decontaminate.clean_stage(spark, docs, SF).collect())
+    monkeypatch.setattr(decontaminate, "BLOCK", 2_500)
+    assert sorted(map(str, decontaminate.contaminated(docs, items).collect())) == want
+    assert sorted(r["doc_id"] for r in decontaminate.clean_stage(spark, docs, SF).collect()) == clean
 
 
 @pytest.mark.parametrize("name", sorted(queries.ORACLE))
@@ -395,3 +542,32 @@ def test_pipeline(spark):
             assert out.columns == docs.columns
             docs = out
     assert out.count() == docs.count()
+
+
+def test_pipeline_stages_by_brute_force(spark, texts):
+    """What each stage keeps, judged on its own input by plainer means."""
+    from tokenizers import Tokenizer
+
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    ids = lambda df: sorted(r["doc_id"] for r in df.select("doc_id").collect())
+    scores = {r["doc_id"]: r["score"] for r in toxicity.scored(docs, spark.read.parquet(f"{SF}/labels.parquet")).collect()}
+    assert ids(toxicity.ordinary_stage(spark, docs, SF)) == sorted(d for d, s in scores.items() if s < 0.5)
+    assert set(ids(simhash.one_of_each(spark, docs, SF))) == near_documents(texts)
+    hits = {r["doc_id"] for r in decontaminate.op10_decontaminate(spark, SF).collect()}
+    assert ids(decontaminate.clean_stage(spark, docs, SF)) == sorted(set(texts) - hits)
+    tok = Tokenizer.from_file(tokens.tokenizer_path())
+    before = 0
+    for r in sorted(tokens.token_stage(spark, docs, SF).collect(), key=lambda r: r["doc_id"]):
+        own = np.array([*tok.encode(texts[r["doc_id"]], add_special_tokens=False).ids, 0], "<u4")
+        assert (r["start"], r["n_tokens"], r["ids_crc32"]) == (before, len(own), zlib.crc32(own.tobytes()))
+        before += len(own)
+
+
+def test_slices_keep_every_row():
+    from tallyloom.llm.common import slices
+
+    batch = pa.RecordBatch.from_arrays([pa.array(range(1_000)), pa.array(["x" * (i % 50) for i in range(1_000)])], names=["a", "b"])
+    for size in (1, 500, 10_000, 1 << 20):
+        parts = list(slices(iter([batch, batch]), size))
+        assert [v for p in parts for v in p.column(0).to_pylist()] == [*range(1_000), *range(1_000)]
+    assert len(list(slices(iter([batch]), 1))) == 1_000
