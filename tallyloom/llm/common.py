@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
 import uuid
+from collections.abc import Iterator
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -14,11 +18,42 @@ SPACE_CLASS = r"[\x20\x09-\x0D]"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
-def stored(df: DataFrame, name: str, **options: str) -> DataFrame:
-    """Write df as Parquet into the shared folder and read it back: lineage ends there, lost executors cost nothing, and branches read it once each."""
-    path = f"{shared_dir(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
-    df.write.options(**options).parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+#: Spark's setting under which an execution's shuffle files go when it ends.
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+_scratch: list[list[str]] = []
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
+
+
+@contextlib.contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """Tables that stored() writes inside are deleted at the end, but for those that are written to be kept: what goes on must be among these."""
+    _scratch.append([])
+    try:
+        yield
+    finally:
+        for path in _scratch.pop():
+            _delete(spark, path)
+
+
+def stored(df: DataFrame, name: str, keep: bool = False, **options: str) -> DataFrame:
+    """Write df as Parquet into the shared folder and read it back: lineage ends there, lost executors cost nothing, and branches read it once each. What the write shuffled is deleted when it ends, since nothing can ask for it again. keep: the table outlives the scratch() around it (but not one further out)."""
+    spark = df.sparkSession
+    path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    if len(_scratch) > keep:
+        _scratch[-1 - keep].append(path)
+    before = spark.conf.get(_CLEANUP, "false")
+    spark.conf.set(_CLEANUP, "true")
+    try:
+        df.write.options(**options).parquet(path)
+    finally:
+        spark.conf.set(_CLEANUP, before)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -30,8 +65,13 @@ def ascii_lower(text: Column) -> Column:
     return F.translate(text, UPPER, LOWER)
 
 
-#: Keys that are broadcast to find rows where they lie, at most; beyond it both sides are shuffled.
-FEW_KEYS = 1_000_000
+#: Rows of keys that are broadcast to find rows where they lie, at most, and of single numbers; beyond it both sides are shuffled.
+FEW_KEYS, FEW_NUMBERS = 1_000_000, 4_000_000
+
+
+def sized(keys: DataFrame, most: int = FEW_KEYS) -> DataFrame:
+    """keys (narrow rows, cheap to count), to be broadcast if they are few enough, else as they are."""
+    return F.broadcast(keys) if keys.count() <= most else keys
 
 
 def among(rows: DataFrame, keys: DataFrame, on: list[str], how: str = "left_semi") -> DataFrame:
@@ -41,7 +81,23 @@ def among(rows: DataFrame, keys: DataFrame, on: list[str], how: str = "left_semi
     both = same[0]
     for c in same[1:]:
         both = both & c
-    return rows.join(F.broadcast(keys) if keys.count() <= FEW_KEYS else keys, both, how)
+    return rows.join(sized(keys), both, how)
+
+
+#: Bytes of a batch that a Python worker works on at once.
+SLICE = 8 << 20
+
+
+def slices(batches: Iterator[pa.RecordBatch], size: int = SLICE) -> Iterator[pa.RecordBatch]:
+    """The batches in slices of about size bytes or one row; what the worker no longer uses goes back to the machine at the end, since workers live on for other stages."""
+    for batch in batches:
+        few = max(1, batch.num_rows * size // max(size, batch.nbytes))
+        for at in range(0, batch.num_rows, few):
+            yield batch.slice(at, few)
+    del batches
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):  # not every C library has it
+        ctypes.CDLL(None).malloc_trim(0)
 
 
 def parts(spark: SparkSession) -> int:

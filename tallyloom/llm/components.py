@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyloom.llm.common import stored
+from tallyloom.llm.common import scratch, stored
 
 
 def connected_components(edges: DataFrame, a: str = "a", b: str = "b", most_rounds: int = 60) -> DataFrame:
@@ -15,11 +15,18 @@ def connected_components(edges: DataFrame, a: str = "a", b: str = "b", most_roun
     """
     x, y = F.col(a), F.col(b)
     links = edges.where(x.isNotNull() & y.isNotNull() & (x != y)).select(F.greatest(x, y).alias("u"), F.least(x, y).alias("v")).distinct()
-    links, seen = stored(links, "links"), None
+    with scratch(edges.sparkSession):
+        links = _settled(stored(links, "links"), most_rounds)
+    return links.select(F.col("u").alias("node"), F.col("v").alias("root")).unionByName(links.select(F.col("v").alias("node"), F.col("v").alias("root")).distinct())
+
+
+def _settled(links: DataFrame, most_rounds: int) -> DataFrame:
+    """u, v: every node but the roots, and its root."""
+    seen = None
     for _ in range(most_rounds):
         now = links.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
         if now == seen or not now[0]:
-            return links.select(F.col("u").alias("node"), F.col("v").alias("root")).unionByName(links.select(F.col("v").alias("node"), F.col("v").alias("root")).distinct())
+            return stored(links, "roots", keep=True)
         seen = now
         both = links.select("u", "v").unionByName(links.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
