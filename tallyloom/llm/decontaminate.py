@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyloom.llm.common import stored, table
+from tallyloom.llm.common import slices, stored, table
 
 Q, BUDGET, BLOCK = 8, 0.1, 4_000_000
 #: Postings that are counted at once.
@@ -184,7 +184,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
         def run(batches: Iterator[pa.RecordBatch], index=index) -> Iterator[pa.RecordBatch]:
             own = index.value
-            for batch in batches:
+            for batch in slices(batches):
                 found = [(doc_id.as_py(), own.ids[i], start, end, edits, 1 - edits / len(own.texts[i])) for doc_id, text in zip(batch.column(0), batch.column(1)) for i, start, end, edits in regions(text.as_py(), own)]
                 columns = list(zip(*found)) or [()] * 6
                 yield pa.RecordBatch.from_arrays([*(pa.array(c, pa.int64()) for c in columns[:5]), pa.array(columns[5], pa.float64())], names=["doc_id", "item_id", "start", "end", "edits", "similarity"])
@@ -216,7 +216,7 @@ def clean_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
         left = index = spark.sparkContext.broadcast(Index(block))
 
         def keep(batches: Iterator[pa.RecordBatch], index=index) -> Iterator[pa.RecordBatch]:
-            for batch in batches:
+            for batch in slices(batches):
                 yield batch.filter(pa.array([not regions(t.as_py(), index.value) for t in batch.column(at)], pa.bool_()))
 
         docs = docs.mapInArrow(keep, docs.schema)

@@ -14,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyloom.llm.common import parts, table
+from tallyloom.llm.common import parts, slices, table
 from tallyloom.llm.ordering import bounds, order_key, range_of
 from tallyloom.llm.shingles import shingle_hashes
 
@@ -67,7 +67,7 @@ def _edited(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     names = [f.split()[0] for f in SCHEMA.split(", ")]
     kinds = [pa.int64(), pa.int64(), pa.string(), pa.string(), pa.string(), pa.float64(), pa.float64()]
     held = None
-    for batch in batches:
+    for batch in slices(batches):
         out: list[tuple] = []
         for doc_id, text, last in zip(*(batch.column(c).to_pylist() for c in ("doc_id", "text", "last")), strict=True):
             print_ = fingerprint(text)

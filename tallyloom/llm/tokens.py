@@ -16,7 +16,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyloom.llm.common import parts, shared_dir, stored, table
+from tallyloom.llm.common import parts, shared_dir, slices, stored, table
 from tallyloom.llm.huffman import STRIDE, canonical, code_lengths, decode, decode_table, encode_each
 from tallyloom.llm.ordering import bounds, in_ranges, order_key
 
@@ -184,17 +184,14 @@ def encode_texts(texts: pa.Array, path: str) -> tuple[np.ndarray, np.ndarray]:
 
 def _token_rows(path: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            few = max(1, batch.num_rows * STEP // max(STEP, batch.nbytes))
-            for at in range(0, batch.num_rows, few):
-                some = batch.slice(at, few)
-                ids, n = encode_texts(some.column(1), path)
-                if not len(ids) or ids.max() < 1 << 16:
-                    raw, width, mark = ids.astype("<u2").tobytes(), 2, b""
-                else:
-                    raw, width, mark = ids.tobytes(), 4, b"+"
-                ends = (np.cumsum(n) * width).tolist()
-                yield pa.RecordBatch.from_arrays([some.column(0), pa.array([mark + raw[a:b] for a, b in zip([0, *ends], ends)], pa.binary())], names=["k", "ids"])
+        for some in slices(batches, STEP):
+            ids, n = encode_texts(some.column(1), path)
+            if not len(ids) or ids.max() < 1 << 16:
+                raw, width, mark = ids.astype("<u2").tobytes(), 2, b""
+            else:
+                raw, width, mark = ids.tobytes(), 4, b"+"
+            ends = (np.cumsum(n) * width).tolist()
+            yield pa.RecordBatch.from_arrays([some.column(0), pa.array([mark + raw[a:b] for a, b in zip([0, *ends], ends)], pa.binary())], names=["k", "ids"])
 
     return run
 
@@ -220,7 +217,7 @@ def _joined(batch: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray]]:
 
 def _histogram(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     total = np.zeros(0, np.int64)
-    for batch in batches:
+    for batch in slices(batches):
         for ids, _ in _joined(batch.column(0)):
             own = np.bincount(ids, minlength=len(total))
             own[: len(total)] += total
@@ -233,7 +230,7 @@ def _encoder(lengths):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = lengths.value
         codes, _ = canonical(own)
-        for batch in batches:
+        for batch in slices(batches):
             number, bits, marks = [], [], []
             for ids, n in _joined(batch.column(1)):
                 stream, ends, starts = encode_each(ids, n, codes, own)
@@ -259,7 +256,7 @@ def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         row = (shard, block, first, np.array(keys, "<i8").tobytes(), np.array(counts, "<i8").tobytes(), b"".join(bits), b"".join(marks))
         return pa.RecordBatch.from_arrays([pa.array([v], k) for v, k in zip(row, kinds, strict=True)], names=names)
 
-    for batch in batches:
+    for batch in slices(batches):
         for part, k, n, own, mark in zip(*(batch.column(c).to_pylist() for c in ("part", "k", "n", "bits", "marks")), strict=True):
             if keys and (size >= BLOCK or part != shard):
                 yield closed()
@@ -299,7 +296,7 @@ def write(docs: DataFrame, path: str | None = None, tokenizer: str | None = None
 def _reader(lengths):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder = decode_table(lengths.value)
-        for batch in batches:
+        for batch in slices(batches):
             for shard, first, keys, n, bits, marks in zip(*(batch.column(c) for c in ("shard", "first", "doc_ids", "n_tokens", "bits", "checkpoints")), strict=True):
                 keys, n = np.frombuffer(keys.as_py(), "<i8"), np.frombuffer(n.as_py(), "<i8")
                 offsets = np.frombuffer(marks.as_py(), "<i8")
@@ -315,7 +312,7 @@ def _reader(lengths):
 
 
 def _digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
+    for batch in slices(batches):
         crc = [zlib.crc32(raw.as_py()) for raw in batch.column(4)]
         yield pa.RecordBatch.from_arrays([*batch.columns[:4], pa.array(crc, pa.int64())], names=["k", "shard", "start", "n_tokens", "ids_crc32"])
 
@@ -339,7 +336,7 @@ def read(spark: SparkSession, path: str, digest: bool = False) -> DataFrame:
 
 
 def _shard_sizes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
+    for batch in slices(batches):
         n = [int(np.frombuffer(b.as_py(), "<i8").sum()) for b in batch.column(1)]
         yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n, pa.int64())], names=["shard", "n"])
 

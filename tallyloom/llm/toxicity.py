@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyloom.llm.common import stored, table
+from tallyloom.llm.common import slices, stored, table
 
 ORDER, SHARED, WINDOW, SAMPLE = 5, 3, 8, 4_000
 _BITS = 7
@@ -26,7 +26,7 @@ _ALL = 1 << _BITS
 _LATIN, _DIGITS, _OTHERS = 27, 59, 69
 OTHER = _ALL - 1 - _OTHERS
 #: Symbols of text that are counted at once.
-CHUNK = 1 << 23
+CHUNK = 1 << 22
 
 
 def _symbol(c: int) -> int:
@@ -81,7 +81,7 @@ def _shared_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
             yield pa.RecordBatch.from_arrays([pa.array(gram[at : at + (1 << 16)]), pa.array(n[at : at + (1 << 16)])], names=["gram", "n"])
 
     held, size = [], 0
-    for batch in batches:
+    for batch in slices(batches):
         for text in batch.column(0):
             held.append(grams(symbols(text.as_py()), ORDER))
             size += len(held[-1])
@@ -93,7 +93,7 @@ def _shared_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
 
 
 def _class_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
+    for batch in slices(batches):
         for toxic in (0, 1):
             own = [grams(symbols(t), ORDER) for t, x in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True) if x == toxic]
             if own:
@@ -210,7 +210,7 @@ def features(text: str | None, number: np.ndarray, base: int, first: np.ndarray,
 
 def _featured(model):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             own = _tables(model)
             f = np.array([features(t.as_py(), *own) for t in batch.column(1)]).reshape(-1, 2)
             yield pa.RecordBatch.from_arrays([batch.column(0), *(pa.array(f[:, i]) for i in range(2))], names=["key", "top", "mean"])
@@ -281,7 +281,7 @@ def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _tag(model, w: list[float], at: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             own = _tables(model)
             f = np.array([features(t.as_py(), *own) for t in batch.column(at)]).reshape(-1, 2)
             keep = f @ np.array(w[:2]) + w[2] < 0
