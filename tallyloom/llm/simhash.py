@@ -2,7 +2,7 @@
 
 Two fingerprints link at `radius` (4) or fewer differing bits. Of `TREES` (3) disjoint blocks of bits, one at least then differs in no more than radius // 3 = 1 bit, and Hamming distance on a block is a (pseudo)metric. So each block gets a vantage-point tree whose query radius is 1 instead of 4: a node holds a vantage point and a cut, near fingerprints go left and the others right; a fingerprint within the radius of the cut is also sent over to the right side as a guest. A pair that a node parts is thus met by its left member as a guest in the right member's leaf; every other branch is pruned by the triangle inequality. Leaves are the shards; full 64-bit distances decide there, so links are exact.
 
-Trees are fitted on a bounded sample of distinct fingerprints (SAMPLE, documented); they decide only where the work goes. Leaves that are still large are split again where they are, by a tree of their own. In a leaf, links are reduced to a spanning forest before they leave it, so a dense group costs rows in proportion to its members and not to their pairs. Exact copies are one fingerprint throughout.
+Trees are fitted on a bounded sample of distinct fingerprints, POINTS for each leaf that is aimed at and SAMPLE at most; they decide only where the work goes, so a forest has up to SAMPLE / POINTS leaves a tree. Leaves that are still large are split again where they are, by a tree of their own. In a leaf, links are reduced to a spanning forest before they leave it, so a dense group costs rows in proportion to its members and not to their pairs. Exact copies are one fingerprint throughout.
 """
 
 from __future__ import annotations
@@ -17,21 +17,26 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyloom.llm import alike
-from tallyloom.llm.common import stored, table
+from tallyloom.llm.common import FEW_NUMBERS, among, scratch, sized, slices, stored, table
 from tallyloom.llm.components import connected_components
 from tallyloom.llm.shingles import shingle_hashes
 
 WIDTH, SEED, RADIUS = 4, 42, 4
 TREES = 3
-#: Fingerprints the shard trees are fitted on, at most; fingerprints a shard aims at; fingerprints that a leaf compares directly.
-SAMPLE, SHARD, LEAF = 65_536, 8_192, 768
+#: Fingerprints the shard trees are fitted on, at most, and for each leaf; fingerprints a shard aims at; fingerprints that a leaf compares directly.
+SAMPLE, POINTS, SHARD, LEAF = 1 << 20, 16, 8_192, 768
 #: Words of a shingle in the pipeline's stage, and documents that tell it how rare shingles are (about); no link depends on the latter.
 WORDS, RARITY = 5, 20_000
+#: Bits within which fingerprints are candidates in the pipeline's stage.
+REACH = 8
 
 
 def simhash(text: str | None) -> int:
     """64 bits; bit i is set if it is set in over half of the hashes of the word shingles. No words: 0."""
-    h = shingle_hashes(text, WIDTH, SEED)
+    return majority(shingle_hashes(text, WIDTH, SEED))
+
+
+def majority(h: np.ndarray) -> int:
     if not len(h):
         return 0
     ones = np.unpackbits(h.view(np.uint8).reshape(-1, 8), axis=1).sum(axis=0, dtype=np.int64)
@@ -39,7 +44,7 @@ def simhash(text: str | None) -> int:
 
 
 def _fingerprints(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
+    for batch in slices(batches):
         prints = np.fromiter((simhash(t.as_py()) for t in batch.column(1)), np.uint64, batch.num_rows)
         yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(prints.view(np.int64))], names=["doc_id", "fp"])
 
@@ -126,9 +131,12 @@ def links(prints: DataFrame, limit: int = RADIUS, trees: int = TREES, shard: int
     """a, b: edges between distinct fingerprints (column fp) whose components are those of all pairs within limit bits."""
     spark, radius, own = prints.sparkSession, limit // trees, masks(trees)
     n = prints.count()
-    picked = np.array([r[0] for r in prints.orderBy(F.xxhash64("fp"), "fp").limit(sample).collect()] if n > shard else [], np.int64).view(np.uint64)
+    wanted = min(sample, max(65_536, POINTS * n // shard))
+    # fingerprints are distinct, so a threshold on their hash picks about as many as are wanted, without a sort
+    some = prints.select("fp").where(F.col("fp").isNotNull() & (F.pmod(F.xxhash64("fp"), F.lit(1 << 20)) <= (wanted << 20) // max(n, wanted)))
+    picked = np.sort(some.toArrow()["fp"].to_numpy() if n > shard else np.empty(0, np.int64)).view(np.uint64)
     rng = np.random.default_rng(1)
-    forest = [fit_tree(picked & m, max(16, shard * len(picked) // max(n, 1)), rng) for m in own]
+    forest = [fit_tree(picked & m, max(POINTS, shard * len(picked) // max(n, 1)), rng) for m in own]
     shared = spark.sparkContext.broadcast(forest)
 
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -162,64 +170,90 @@ def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return classes(table(spark, sf_dir, "documents")).select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
-def _set(text: str | None) -> np.ndarray:
-    """The distinct hashes of a text's shingles of WORDS words, ascending."""
-    return np.unique(shingle_hashes(text, WORDS, SEED).astype(np.uint64))
+def _set(hashes: np.ndarray) -> np.ndarray:
+    """The distinct hashes of a text's shingles, ascending."""
+    return np.unique(hashes.astype(np.uint64))
+
+
+def parity(own: np.ndarray) -> np.ndarray:
+    """The parity sketch (alike.py) of distinct hashes, 4 signed longs."""
+    odd = np.bincount((own >> np.uint64(56)).astype(np.int64), minlength=256) & 1
+    # the low two of the top eight bits choose the column, the high six the bit
+    return (odd.reshape(64, 4).T.astype(np.uint64) << np.arange(64, dtype=np.uint64)).sum(axis=1, dtype=np.uint64).view(np.int64)
 
 
 def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        sets = [_set(t.as_py()) for t in batch.column(0)]
+    for batch in slices(batches):
+        sets = [_set(shingle_hashes(t.as_py(), WORDS, SEED)) for t in batch.column(0)]
         keys = [xxhash.xxh3_128_digest(s.tobytes()) for s in sets]
         yield pa.RecordBatch.from_arrays([pa.array(keys, pa.binary()), pa.array([s.view(np.int64) for s in sets], pa.list_(pa.int64()))], names=["key", "shingles"])
 
 
 def near_classes(docs: DataFrame) -> DataFrame:
-    """doc_id, component_id of every row of docs: classes() by the exact Jaccard similarity of the sets of 5-word shingles (0.8 or more) in place of fingerprints, which can't tell that similarity in 64 bits.
+    """doc_id, t1, t2 (hashes of the text), root (the class), component_id of every row of docs, by the exact Jaccard similarity of the sets of 5-word shingles (0.8 or more).
 
-    Texts with one set of shingles are one class throughout; those without words are one. Candidates come from a prefix filter (alike.py), so no pair is lost. Only the prefixes of all texts are moved, and whole sets of the candidates.
+    Candidates come from the forest of vantage-point trees over fingerprints of 5-word shingles (links()), then from rare shingles that documents share; each is verified on whole sets. 64 bits can't tell a similarity of 0.8 for all pairs, so a prefix filter (alike.py) completes them: no pair is lost. Texts with one set of shingles are one class throughout; those without words are one. Only the prefixes of all texts are moved, and whole sets of the candidates. component_id is the smallest doc_id of the class (null if it has none).
     """
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    text = F.col("text").cast("string")
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(text).alias("t1"), F.xxhash64(F.lit(1), text).alias("t2"), text.alias("text"))
     every = max(1, rows.count() // RARITY)
-    some = rows.where(F.pmod(F.xxhash64("doc_id", "text"), F.lit(every)) == 0).select("text")
+    some = rows.where(F.pmod(F.xxhash64("doc_id", "t1"), F.lit(every)) == 0).select("text")
     shared = docs.sparkSession.sparkContext.broadcast(np.array(alike.levels(some.mapInArrow(_sets, "key binary, shingles array<long>").select(F.explode("shingles"))), np.int64))
 
     def prefixes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            keys, sizes, parts = [], [], []
-            for t in batch.column(1):
-                own = _set(t.as_py())
+        for batch in slices(batches):
+            keys, prints, sizes, sketches, parts = [], [], [], [], []
+            for t in batch.column(3):
+                hashes = shingle_hashes(t.as_py(), WORDS, SEED)
+                own = _set(hashes)
                 signed = own.view(np.int64)
                 order = np.lexsort((signed, shared.value[signed % alike.BUCKETS]))
                 keys.append(xxhash.xxh3_128_digest(own.tobytes()))
+                prints.append(majority(hashes))
                 sizes.append(len(own))
+                sketches.append(parity(own))
                 parts.append(signed[order[: alike.prefix_size(len(own)) if len(own) else 0]])
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(keys, pa.binary()), pa.array(sizes, pa.int32()), pa.array(parts, pa.list_(pa.int64()))], names=["doc_id", "key", "n", "prefix"])
+            fp, sketch = np.array(prints, np.uint64).view(np.int64), np.array(sketches, np.int64).reshape(-1, 4)
+            yield pa.RecordBatch.from_arrays([*batch.columns[:3], pa.array(keys, pa.binary()), pa.array(fp), pa.array(sizes, pa.int32()), *(pa.array(sketch[:, k].copy()) for k in range(4)), pa.array(parts, pa.list_(pa.int64()))], names=["doc_id", "t1", "t2", "key", "fp", "n", *alike.PARITY, "prefix"])
 
-    prints = stored(rows.mapInArrow(prefixes, "doc_id long, key binary, n int, prefix array<long>"), "prefixes")
-    distinct = stored(prints.groupBy("key").agg(F.min("doc_id").alias("rep"), F.first("n").alias("n"), F.first("prefix").alias("prefix")), "distinct")
+    prints = stored(rows.mapInArrow(prefixes, "doc_id long, t1 long, t2 long, key binary, fp long, n int, p0 long, p1 long, p2 long, p3 long, prefix array<long>"), "prefixes")
+    distinct = stored(prints.groupBy("key").agg(F.min(F.struct("doc_id", "t1", "t2")).alias("rep"), F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id"))["doc_id"].alias("least"), F.min("fp").alias("fp"), *(F.first(c).alias(c) for c in ("n", *alike.PARITY, "prefix"))), "distinct")
     places = alike.places(distinct)
-    met = places.groupBy("token").agg(F.count("*").alias("c")).where("c > 1").select("token")
-    places = stored(places.join(met, "token"), "places")
+    met = stored(places.groupBy("token").agg(F.count("*").alias("c")).where("c > 1").select("token"), "shared")
+    places = stored(places.join(sized(met, FEW_NUMBERS), "token"), "places")
 
     def verified(pairs: DataFrame) -> DataFrame:
-        pairs = stored(pairs, "pairs")
-        keys = pairs.select(F.col("a").alias("key")).unionByName(pairs.select(F.col("b").alias("key"))).distinct()
-        ids = distinct.join(keys, "key", "left_semi").select(F.col("rep").alias("wanted")).distinct()
-        texts = rows.join(ids, F.col("doc_id").eqNullSafe(F.col("wanted")), "left_semi").select("text")
+        pairs = stored(alike.able(pairs, distinct), "pairs")
+        keys = pairs.select(F.col("a").alias("key")).distinct().unionByName(pairs.select(F.col("b").alias("key")).distinct()).distinct()
+        ids = stored(distinct.join(keys, "key", "left_semi").select("rep.*").distinct(), "wanted")
+        texts = among(rows, ids, ["doc_id", "t1", "t2"]).select("text")
         sets = stored(texts.mapInArrow(_sets, "key binary, shingles array<long>").dropDuplicates(["key"]), "sets")
         sides = pairs.join(sets.select(F.col("key").alias("a"), F.col("shingles").alias("x")), "a").join(sets.select(F.col("key").alias("b"), F.col("shingles").alias("y")), "b")
         n = F.size("x") + F.size("y")
         return stored(sides.where((5 * F.least(F.size("x"), F.size("y")) >= 4 * F.greatest(F.size("x"), F.size("y"))) & (9 * F.size(F.array_intersect("x", "y")) >= 4 * n)).select("a", "b"), "links")
 
-    first = verified(alike.neighbours(places))
-    edges = first.unionByName(verified(alike.remaining(places, connected_components(first))))
-    of = distinct.join(connected_components(edges).withColumnRenamed("node", "key"), "key", "left").select("key", "rep", F.coalesce("root", "key").alias("root"))
-    least = of.groupBy("root").agg(F.min("rep").alias("component_id"))
-    return prints.select("doc_id", "key").join(of.join(least, "root").select("key", "component_id"), "key").select("doc_id", "component_id")
+    heads = stored(distinct.where("n > 0").groupBy("fp").agg(F.min("key").alias("head")), "heads")
+    near = links(heads.select("fp"), REACH)
+    near = stored(near, "near").join(heads.select(F.col("fp").alias("a"), F.col("head").alias("x")), "a").join(heads.select(F.col("fp").alias("b"), F.col("head").alias("y")), "b").select("x", "y")
+    same = distinct.select("key", "fp", "n").where("n > 0").join(heads, "fp").where("key <> head").select(F.col("key").alias("x"), F.col("head").alias("y"))
+    first = near.unionByName(same).select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
+    first = verified(first.unionByName(alike.neighbours(places)).distinct())
+    edges = alike.completed(places, first, verified)
+    of = distinct.select("key", "least").join(sized(connected_components(edges).withColumnRenamed("node", "key")), "key", "left").select("key", "least", F.coalesce("root", "key").alias("root"))
+    least = of.groupBy("root").agg(F.min("least").alias("component_id"))
+    return prints.select("doc_id", "t1", "t2", "key").join(of.join(least, "root").select("key", "root", "component_id"), "key").select("doc_id", "t1", "t2", "root", "component_id")
 
 
 def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pipeline stage: of every class of near copies (near_classes) the document with the smallest doc_id stays, with all its columns. Rows with a null doc_id stay only if their class has no other."""
-    kept = near_classes(docs).where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select("doc_id").distinct()
-    return docs.join(kept, docs["doc_id"].eqNullSafe(kept["doc_id"]), "left_semi").dropDuplicates(["doc_id"]).select(docs.columns)
+    """Pipeline stage: of every class of near copies (near_classes) one row stays, with all its columns: the one with the smallest doc_id (null last), then the smallest hashes of its text. Of rows with equal doc_id and text one stays. What goes is decided on narrow rows; texts are moved only where more go than can be broadcast."""
+    with scratch(spark):
+        of = stored(near_classes(docs), "classes", keep=True)
+    rows = of.groupBy("doc_id", "t1", "t2").agg(F.first("root").alias("root"), F.count("*").alias("n")).withColumn("at", F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "t1", "t2"))
+    first = rows.groupBy("root").agg(F.min("at").alias("first"))
+    judged = stored(rows.join(first, "root").select("doc_id", "t1", "t2", "n", F.col("at").eqNullSafe(F.col("first")).alias("stays")), "judged")
+    text, on = F.col("row.text").cast("string"), ["id", "t1", "t2"]
+    own = docs.select(F.struct(*(docs[c] for c in docs.columns)).alias("row")).withColumns({"id": F.col("row.doc_id").cast("long"), "t1": F.xxhash64(text), "t2": F.xxhash64(F.lit(1), text)})
+    keys = judged.withColumnRenamed("doc_id", "id")
+    single = among(own, keys.where("NOT stays OR n > 1"), on, "left_anti")
+    repeated = among(own, keys.where("stays AND n > 1"), on).dropDuplicates(on)
+    return single.unionByName(repeated).select("row.*")
