@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyloom.llm import alike
-from tallyloom.llm.common import FEW_NUMBERS, among, scratch, sized, slices, stored, table
+from tallyloom.llm.common import among, scratch, sized, slices, stored, table
 from tallyloom.llm.components import connected_components
 from tallyloom.llm.shingles import shingle_hashes
 
@@ -218,9 +218,7 @@ def near_classes(docs: DataFrame) -> DataFrame:
 
     prints = stored(rows.mapInArrow(prefixes, "doc_id long, t1 long, t2 long, key binary, fp long, n int, p0 long, p1 long, p2 long, p3 long, prefix array<long>"), "prefixes")
     distinct = stored(prints.groupBy("key").agg(F.min(F.struct("doc_id", "t1", "t2")).alias("rep"), F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id"))["doc_id"].alias("least"), F.min("fp").alias("fp"), *(F.first(c).alias(c) for c in ("n", *alike.PARITY, "prefix"))), "distinct")
-    places = alike.places(distinct)
-    met = stored(places.groupBy("token").agg(F.count("*").alias("c")).where("c > 1").select("token"), "shared")
-    places = stored(places.join(sized(met, FEW_NUMBERS), "token"), "places")
+    places = alike.shared(distinct)
 
     def verified(pairs: DataFrame) -> DataFrame:
         pairs = stored(alike.able(pairs, distinct), "pairs")
