@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tallyloom.llm import fixity, mixing, urls
+from tallyloom.llm import fixity, leaderboard, mixing, urls
 from tallyloom.llm.decontaminate import op10_decontaminate
 from tallyloom.llm.fingerprints import op1_fingerprints
 from tallyloom.llm.licences import op7_licences
@@ -22,6 +22,7 @@ QUERIES = {
     "op8_toxicity": op8_toxicity,
     "op9_urls": urls.op9_urls,
     "op10_decontaminate": op10_decontaminate,
+    "op13_leaderboard": leaderboard.op13_leaderboard,
 }
 
-ORACLE = {"op5_fixity": fixity.OP5_SQL, "op6_mixing": mixing.OP6_SQL, "op9_urls": urls.OP9_SQL}
+ORACLE = {"op5_fixity": fixity.OP5_SQL, "op6_mixing": mixing.OP6_SQL, "op9_urls": urls.OP9_SQL, "op13_leaderboard": leaderboard.OP13_SQL}
