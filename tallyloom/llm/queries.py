@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from tallyloom.llm import fixity, leaderboard, mixing, urls
+from tallyloom.llm.alignment import op12_alignment
 from tallyloom.llm.decontaminate import op10_decontaminate
 from tallyloom.llm.fingerprints import op1_fingerprints
 from tallyloom.llm.licences import op7_licences
@@ -22,6 +23,7 @@ QUERIES = {
     "op8_toxicity": op8_toxicity,
     "op9_urls": urls.op9_urls,
     "op10_decontaminate": op10_decontaminate,
+    "op12_alignment": op12_alignment,
     "op13_leaderboard": leaderboard.op13_leaderboard,
 }
 
