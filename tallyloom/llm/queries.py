@@ -8,6 +8,7 @@ from tallyloom.llm.decontaminate import op10_decontaminate
 from tallyloom.llm.fingerprints import op1_fingerprints
 from tallyloom.llm.licences import op7_licences
 from tallyloom.llm.lines import op3_lines
+from tallyloom.llm.pii import op11_pii
 from tallyloom.llm.simhash import op2_simhash
 from tallyloom.llm.tokens import op4_token_ids
 from tallyloom.llm.toxicity import op8_toxicity
@@ -23,6 +24,7 @@ QUERIES = {
     "op8_toxicity": op8_toxicity,
     "op9_urls": urls.op9_urls,
     "op10_decontaminate": op10_decontaminate,
+    "op11_pii": op11_pii,
     "op12_alignment": op12_alignment,
     "op13_leaderboard": leaderboard.op13_leaderboard,
 }
