@@ -5,33 +5,59 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tallyloom.operators import scans
 
-def merged_intervals(df: DataFrame, keys: list[str], tolerance: float = 0) -> DataFrame:
-    """Intervals (start, end) of each key merged where the next starts no later than tolerance after the furthest end so far: keys, start, end, n_merged."""
-    order = Window.partitionBy(*keys).orderBy("start", "end")
+
+def _islands(df: DataFrame, keys: list[str], tolerance: float, n: Column, width: float | None) -> DataFrame:
+    """keys, start, end, n (summed up) of what belongs together; with width each key's bucket by itself, so islands of one bucket aren't joined to those of another."""
+    own = [*keys, "_step"] if width is not None else keys
+    rows = df.withColumn("_step", scans.bucket("start", width)) if width is not None else df
+    order = Window.partitionBy(*own).orderBy("start", "end")
     reach = F.max("end").over(order.rowsBetween(Window.unboundedPreceding, -1))
-    opened = df.withColumn("_new", F.when(reach.isNull() | (F.col("start") > reach + tolerance), 1).otherwise(0))
+    opened = rows.withColumn("_new", F.when(reach.isNull() | (F.col("start") > reach + tolerance), 1).otherwise(0))
     island = opened.withColumn("_island", F.sum("_new").over(order.rowsBetween(Window.unboundedPreceding, 0)))
-    return island.groupBy(*keys, "_island").agg(F.min("start").alias("start"), F.max("end").alias("end"), F.count("*").alias("n_merged")).drop("_island")
-
+    return island.groupBy(*own, "_island").agg(F.min("start").alias("start"), F.max("end").alias("end"), F.sum(n).alias("n_merged")).drop("_island", "_step")
 
-def subtracted(keep: DataFrame, cut: DataFrame, keys: list[str], tolerance: float = 0) -> DataFrame:
-    """What is in the merged intervals of keep but in none of cut: a sweep over the ends of both, one sort a key."""
-    k, c = merged_intervals(keep, keys, tolerance), merged_intervals(cut, keys, tolerance)
 
-    def ends(d: DataFrame, which: str) -> DataFrame:
-        on = F.explode(F.array(F.struct(F.col("start").alias("at"), F.lit(1).alias("d")), F.struct(F.col("end").alias("at"), F.lit(-1).alias("d")))).alias("e")
-        zero = F.lit(0)
-        e = d.select(*keys, on).select(*keys, "e.at", "e.d")
-        return e.select(*keys, "at", (F.col("d") if which == "k" else zero).alias("k"), (F.col("d") if which == "c" else zero).alias("c"))
+def merged_intervals(df: DataFrame, keys: list[str], tolerance: float = 0, width: float | None = None) -> DataFrame:
+    """Intervals (start, end) of each key merged where the next starts no later than tolerance after the furthest end so far: keys, start, end, n_merged.
 
-    marks = ends(k, "k").unionByName(ends(c, "c")).groupBy(*keys, "at").agg(F.sum("k").alias("k"), F.sum("c").alias("c"))
-    order = Window.partitionBy(*keys).orderBy("at")
+    Without width a key is sorted in one task. With it, a key's rows are merged within buckets of that width by start; the islands that are left are scanned over buckets, with the furthest end and the number of islands before carried into each, and merged where they touch: a hot key is many tasks, and the result is the same.
+    """
+    if width is None:
+        return _islands(df, keys, tolerance, F.lit(1), None)
+    rows = _islands(df, keys, tolerance, F.lit(1), width).withColumn("_step", scans.bucket("start", width))
+    order = Window.partitionBy(*keys, "_step").orderBy("start", "end")
+    inner = F.max("end").over(order.rowsBetween(Window.unboundedPreceding, -1))
+    far = scans.carried(rows, keys, "_step", {"_far": ("end", F.max)})
+    reach = F.greatest(inner, "_far")
+    opened = far.withColumn("_new", F.when(reach.isNull() | (F.col("start") > reach + tolerance), 1).otherwise(0))
+    numbered = scans.carried(opened, keys, "_step", {"_before": ("_new", F.sum)})
+    island = F.coalesce("_before", F.lit(0)) + F.sum("_new").over(order.rowsBetween(Window.unboundedPreceding, 0))
+    return numbered.withColumn("_island", island).groupBy(*keys, "_island").agg(F.min("start").alias("start"), F.max("end").alias("end"), F.sum("n_merged").alias("n_merged")).drop("_island")
+
+
+def subtracted(keep: DataFrame, cut: DataFrame, keys: list[str], tolerance: float = 0, width: float | None = None) -> DataFrame:
+    """What is in the merged intervals of keep but in none of cut: a sweep over the ends of both. width: as in merged_intervals; the sums of ends before a bucket and the next end after it are carried into it."""
+    k, c = merged_intervals(keep, keys, tolerance, width), merged_intervals(cut, keys, tolerance, width)
+
+    def ends(d: DataFrame, own: str, other: str) -> DataFrame:
+        on = F.explode(F.array(F.struct(F.col("start").alias("_mark"), F.lit(1).alias(own)), F.struct(F.col("end").alias("_mark"), F.lit(-1).alias(own)))).alias("_e")
+        return d.select(*keys, on).select(*keys, "_e.*", F.lit(0).alias(other))
+
+    marks = ends(k, "_keep", "_cut").unionByName(ends(c, "_cut", "_keep")).groupBy(*keys, "_mark").agg(F.sum("_keep").alias("_keep"), F.sum("_cut").alias("_cut"))
+    own, none = keys, F.lit(0)
+    before, after = {"_k": none, "_c": none}, F.lit(None)
+    if width is not None:
+        marks = scans.carried(marks.withColumn("_step", scans.bucket("_mark", width)), keys, "_step", {"_k": ("_keep", F.sum), "_c": ("_cut", F.sum)}, {"_after": ("_mark", F.min)})
+        own, before, after = [*keys, "_step"], {n: F.coalesce(n, none) for n in before}, F.col("_after")
+    order = Window.partitionBy(*own).orderBy("_mark")
     upto = order.rowsBetween(Window.unboundedPreceding, 0)
-    swept = marks.withColumns({"_in": (F.sum("k").over(upto) > 0) & (F.sum("c").over(upto) == 0), "end": F.lead("at").over(order)})
-    pieces = swept.where(F.col("_in") & F.col("end").isNotNull()).select(*keys, F.col("at").alias("start"), "end")
+    inside = (before["_k"] + F.sum("_keep").over(upto) > 0) & (before["_c"] + F.sum("_cut").over(upto) == 0)
+    swept = marks.withColumns({"_in": inside, "end": F.coalesce(F.lead("_mark").over(order), after)})
+    pieces = swept.where(F.col("_in") & F.col("end").isNotNull()).select(*keys, F.col("_mark").alias("start"), "end")
     # neighbouring pieces that a mark of the cut alone parted (an empty cut) are one again
-    return merged_intervals(pieces, keys).drop("n_merged")
+    return merged_intervals(pieces, keys, 0, width).drop("n_merged")
 
 
 def longest(df: DataFrame, keys: list[str]) -> DataFrame:
@@ -104,10 +130,15 @@ def best_window(duration: Column, downbeats: Column, sections: Column, weight, l
     return F.when(duration <= longest_, whole).when(F.size(beats) > 0, picked)
 
 
-def next_within(df: DataFrame, keys: list[str], at: str, target, reach: float, name: str) -> DataFrame:
-    """df with name: the first time (column at) of a target row (a condition) of the key at or after the row's own and no more than reach later, else null. One window a key; a key's rows are sorted, never collected."""
-    seen = F.min(F.when(target, F.col(at))).over(Window.partitionBy(*keys).orderBy(at).rangeBetween(0, reach))
-    return df.withColumn(name, seen)
+def next_within(df: DataFrame, keys: list[str], at: str, target, reach: float, name: str, width: float | None = None) -> DataFrame:
+    """df with name: the first time (column at) of a target row (a condition) of the key at or after the row's own and no more than reach later, else null. A key's rows are sorted, never collected: in one task, or with width bucket by bucket, into which the first target time of later buckets is carried."""
+    when = F.when(target, F.col(at))
+    if width is None:
+        return df.withColumn(name, F.min(when).over(Window.partitionBy(*keys).orderBy(at).rangeBetween(0, reach)))
+    rows = scans.carried(df.withColumn("_step", scans.bucket(at, width)).withColumn("_when", when), keys, "_step", after={"_later": ("_when", F.min)})
+    own = F.min("_when").over(Window.partitionBy(*keys, "_step").orderBy(at).rangeBetween(0, Window.unboundedFollowing))
+    seen = F.coalesce(own, "_later")
+    return rows.withColumn(name, F.when(seen <= F.col(at) + reach, seen)).drop("_step", "_when", "_later")
 
 
 def ranked(df: DataFrame, keys: list[str], order: list[str], name: str, width: int = 256) -> DataFrame:

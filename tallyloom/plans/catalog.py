@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tallyloom.functions import annotation, features, keys, nulls, text_rules
-from tallyloom.operators import adapters, folds, gates, intervals, resume, variants
+from tallyloom.operators import adapters, balance, folds, gates, intervals, ranges, resume, variants
 from tallyloom.operators.contained import contained
 from tallyloom.plans import curation, stages
 from tallyloom.session import shared_dir
@@ -222,6 +222,13 @@ def balance_parts(spark, d):
     return folds.balanced(cents, ["p_brand"], "cents", "p_partkey").select("p_brand", "p_partkey", "part")
 
 
+@query(SQL["q_balance_parts"].replace("p_brand", "one").replace("SELECT one, p_partkey, CAST(round", "SELECT 0 AS one, p_partkey, CAST(round").replace("SELECT DISTINCT one, CAST(0", "SELECT DISTINCT 0 AS one, CAST(0").replace("OVER (PARTITION BY one ORDER", "OVER (ORDER").replace("SELECT DISTINCT one, p_partkey, part FROM f", "SELECT DISTINCT p_partkey, part FROM f"))
+def balance_blocks(spark, d):
+    # all parts are one group: blocks of it are balanced side by side
+    cents = t(spark, d, "part").select("p_partkey", F.lit(0).alias("one"), "p_retailprice")
+    return balance.balanced(cents, ["one"], "p_retailprice", "p_partkey", 0.01).select("p_partkey", "part")
+
+
 def spans(spark, d) -> DataFrame:
     return t(spark, d, "events").select("user_id", "event_type", micros("ts").alias("start"), (micros("ts") + F.round(F.col("value") * 600).cast("bigint") * 1000000).alias("end"))
 
@@ -239,6 +246,16 @@ def interval_merge(spark, d):
     return intervals.merged_intervals(spans(spark, d).drop("event_type"), ["user_id"])
 
 
+#: Microseconds of a bucket of a scan over one key.
+WEEK = 7 * 86_400_000_000
+
+
+@query(merged_sql(SPANS).replace("user_id", "one").replace("SELECT one, event_type", "SELECT 0 AS one, event_type"))
+def merge_scan(spark, d):
+    # all spans are one key's: merged bucket by bucket
+    return intervals.merged_intervals(spans(spark, d).select(F.lit(0).alias("one"), "start", "end"), ["one"], width=WEEK)
+
+
 CLEAN = f"""WITH k AS ({merged_sql(SPANS, "event_type <> 'error'")}), c AS ({merged_sql(SPANS, "event_type = 'error'")}),
   m AS (SELECT user_id, edge, sum(k) AS k, sum(c) AS c FROM (SELECT user_id, start AS edge, 1 AS k, 0 AS c FROM k UNION ALL SELECT user_id, "end", -1, 0 FROM k UNION ALL SELECT user_id, start, 0, 1 FROM c UNION ALL SELECT user_id, "end", 0, -1 FROM c) GROUP BY 1, 2),
   s AS (SELECT user_id, edge AS start, lead(edge) OVER (PARTITION BY user_id ORDER BY edge) AS "end", sum(k) OVER w > 0 AND sum(c) OVER w = 0 AS inside FROM m WINDOW w AS (PARTITION BY user_id ORDER BY edge ROWS UNBOUNDED PRECEDING)),
@@ -255,6 +272,12 @@ def interval_subtract(spark, d):
     return clean_spans(spark, d)
 
 
+@query(f'{CLEAN} SELECT user_id, start, "end" FROM p')
+def subtract_scan(spark, d):
+    rows = spans(spark, d)
+    return intervals.subtracted(rows.where("event_type <> 'error'").drop("event_type"), rows.where("event_type = 'error'").drop("event_type"), ["user_id"], width=WEEK)
+
+
 @query(f'{CLEAN} SELECT user_id, start, "end" FROM p WHERE "end" - start >= 3600000000 QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY "end" - start DESC, start) = 1')
 def longest_clean_run(spark, d):
     return intervals.longest(clean_spans(spark, d).where(F.col("end") - F.col("start") >= 3600000000), ["user_id"])
@@ -274,6 +297,22 @@ def snap_nearest(spark, d):
     return found.where("event_type = 'purchase'").select("event_id", F.coalesce("next", "at").alias("snapped"))
 
 
+@query("""WITH a AS (SELECT event_id, event_type, epoch_us(ts) AS at FROM events) SELECT event_id, min(v) AS next FROM (SELECT event_id, at, min(CASE WHEN event_type = 'view' THEN at END) OVER (ORDER BY at ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS v FROM a) WHERE v - at <= 3600000000 GROUP BY event_id""")
+def next_scan(spark, d):
+    # the next view by anybody within an hour: one key for all events
+    rows = t(spark, d, "events").select("event_id", F.lit(0).alias("one"), "event_type", micros("ts").alias("at"))
+    return intervals.next_within(rows, ["one"], "at", F.col("event_type") == "view", 3600000000, "next", width=WEEK).where("next IS NOT NULL").select("event_id", "next")
+
+
+@query(f"""WITH s AS ({SPANS.replace("SELECT user_id", "SELECT event_id, user_id")}) SELECT a.event_id AS purchase, b.event_id AS error, least(a."end", b."end") - greatest(a.start, b.start) AS shared
+  FROM s a JOIN s b ON a.user_id = b.user_id AND a.start < b."end" AND b.start < a."end" WHERE a.event_type = 'purchase' AND b.event_type = 'error'""")
+def range_join(spark, d):
+    rows = t(spark, d, "events").select("event_id", "user_id", "event_type", micros("ts").alias("start"), (micros("ts") + F.round(F.col("value") * 600).cast("bigint") * 1000000).alias("end"))
+    side = lambda kind: rows.where(F.col("event_type") == kind).drop("event_type")
+    out = ranges.overlapping(side("purchase"), side("error"), ["user_id"])
+    return out.select(F.col("left_event_id").alias("purchase"), F.col("right_event_id").alias("error"), (F.least("left_end", "right_end") - F.greatest("left_start", "right_start")).alias("shared"))
+
+
 def turns(spark, d) -> DataFrame:
     """Turns of a conversation as sections one after the other, each as long as its text."""
     order = Window.partitionBy("conv_id").orderBy("turn")

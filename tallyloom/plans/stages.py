@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallyloom.functions import annotation, features, nulls
-from tallyloom.operators import adapters, folds, gates, intervals, resume
+from tallyloom.operators import adapters, balance, folds, gates, intervals, resume
 from tallyloom.plans.curation import consistent
 from tallyloom.sources import sinks
 
@@ -168,7 +168,7 @@ def build(training: DataFrame, annotated: DataFrame, mir: DataFrame, render: Cal
     good = both.where("reason IS NULL")
     documents = sinks.sidecars(good.select("sample_id", F.col("annotation.canonical_caption").alias("caption"), F.col("annotation.caption_variants").alias("caption_variants"), *(F.col(f"mir.{c}").alias(c) for c in ("bpm", "keyscale", "timesignature"))))
     good = kept(good.join(documents, "sample_id"), folder)
-    train = folds.balanced(good.where("split = 'train'").withColumn("_all", F.lit(0)), ["_all"], "final_duration", "sample_id").select("sample_id", "part")
+    train = balance.balanced(good.where("split = 'train'").select("sample_id", "final_duration", F.lit(0).alias("_all")), ["_all"], "final_duration", "sample_id", 0.001).select("sample_id", "part")
     records = kept(good.join(train, "sample_id", "left").drop("out", "_error", "reason").withColumn("validation_status", F.lit("pass")), folder)
     key = F.col("record_key") if "record_key" in both.columns else F.lit(None).cast("string")
     errors = both.where("reason IS NOT NULL").select("sample_id", key.alias("record_key"), "reason")
