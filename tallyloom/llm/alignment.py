@@ -23,9 +23,12 @@ from pyspark.sql import functions as F
 from tallyloom.llm.common import slices, stored, table
 
 #: Bytes of text that are worked on at once; words that a worker remembers; counts of pairs that a task holds before it sums them up.
-STEP, WORDS, HELD = 4 << 20, 250_000, 1 << 20
+STEP, WORDS, HELD = 4 << 20, 600_000, 1 << 20
 #: White space next to white space, where a token could span a cut; a single space between other characters.
 _WIDE = r"[\s\x0b\x1c-\x1f\x85\p{Z}][\s\x0b\x1c-\x1f\x85\p{Z}]"
+_BLANK = re.compile(r"[\s\x1c-\x1f\x85]")
+#: Words that are encoded as one text, which is cut again where tokens begin with a space.
+_RUN = 1000
 _SINGLE = re.compile(r"(?<=[^\s\x1c-\x1f\x85]) (?=[^\s\x1c-\x1f\x85])")
 #: Labels: none, A ends, B ends, both end.
 _NONE, _A, _B, _BOTH = b".abx"
@@ -50,13 +53,12 @@ def labelled(a_ends: np.ndarray, b_ends: np.ndarray, size: int) -> bytes:
     return out.tobytes()
 
 
-def grouped(labels: bytes) -> list[tuple[int, int, int]]:
-    """(end, tokens of A, tokens of B) of each span up to a both-label."""
-    out = []
-    for m in _GROUP.finditer(labels):
-        span = m[0]
-        out.append((m.end(), span.count(_A) + 1, span.count(_B) + 1))
-    return out
+def grouped(labels: bytes) -> np.ndarray:
+    """end, tokens of A, tokens of B (rows) of each span up to a both-label."""
+    ends = np.cumsum(np.fromiter(map(len, _GROUP.findall(labels)), np.int64))
+    every = np.frombuffer(labels, np.uint8)
+    counts = [np.diff(np.cumsum((every == own) | (every == _BOTH))[ends - 1], prepend=0) for own in (_A, _B)]
+    return np.column_stack([ends, *counts]).reshape(-1, 3)
 
 
 class _Pair:
@@ -82,22 +84,52 @@ class _Pair:
         self.blank = self.b.piece_to_id("▁")
         self.cuts = self.blank != self.b.unk_id() and not any(re.search("[^▁]▁", p) or "\n" in p for p in pieces)
         self.wide = len(pieces)
-
-    def ids(self, units: list[str], texts: list[str]) -> Iterator[tuple[bytes, list[int], list[int]]]:
-        """(bytes, ids of A, ids of B) of units. texts: what B encodes for each; it puts a space before it, which isn't there where a unit begins a line."""
-        own = [e.ids for e in self.a.encode_batch_fast(units, add_special_tokens=False)]
-        other = self.b.encode(texts, num_threads=1)
-        for unit, text, x, y in zip(units, texts, own, other, strict=True):
-            y = y[1:] if unit[:1] == "\n" else y if text else [self.blank]
-            yield unit.encode(), x, y
-
-    def scanned(self, raw: bytes, x: list[int], y: list[int]) -> tuple[list[tuple[int, int, int]], bool]:
-        """(groups, whether both tokenizers give these bytes)."""
-        if b"".join([self.b_bytes[i] for i in y]) != raw or b"".join([self.a_bytes[i] for i in x]) != raw:
-            return [], False
-        if len(x) == len(y) == 1:
-            return [(len(raw), 1, 1)], True
-        return grouped(labelled(np.cumsum(self.a_size[x]), np.cumsum(self.b_size[y]), len(raw))), True
+        self.opens = np.array([x[:1] == b" " for x in self.a_bytes])
+        self.a_arrow, self.b_arrow = (pa.array(x, pa.binary()) for x in (self.a_bytes, self.b_bytes))
+        self.a_names, self.b_names = (pa.array([str(i) for i in range(len(x))]) for x in (self.a_bytes, self.b_bytes))
+
+    def _ids_of_a(self, units: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of all units, number of each). Units of a space and no other white space are encoded many at a time."""
+        own, plain = [None] * len(units), [i for i, u in enumerate(units) if len(u) > 1 and u[0] == " " and not _BLANK.search(u, 1)]
+        runs = [plain[at : at + _RUN] for at in range(0, len(plain), _RUN)]
+        for run, e in zip(runs, self.a.encode_batch_fast(["".join([units[i] for i in run]) for run in runs], add_special_tokens=False), strict=True):
+            ids = np.array(e.ids, np.int64)
+            starts = np.flatnonzero(self.opens[ids])
+            if len(starts) == len(run) and starts[0] == 0:
+                for i, part in zip(run, np.split(ids, starts[1:]), strict=True):
+                    own[i] = part
+        rest = [i for i, x in enumerate(own) if x is None]
+        for i, e in zip(rest, self.a.encode_batch_fast([units[i] for i in rest], add_special_tokens=False), strict=True):
+            own[i] = np.array(e.ids, np.int64)
+        return np.concatenate([*own, np.empty(0, np.int64)]), np.array([len(x) for x in own], np.int64)
+
+    def _ids_of_b(self, units: list[str], texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """texts: what is encoded for each unit; a space is put before it, which isn't there where a unit begins a line."""
+        own = [y[1:] if u[:1] == "\n" else y if t else [self.blank] for u, t, y in zip(units, texts, self.b.encode(texts, num_threads=1), strict=True)]
+        return np.array([i for y in own for i in y], np.int64), np.array([len(y) for y in own], np.int64)
+
+    def scanned(self, units: list[str], texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """(ids of A; ids of B; tokens of A, of B and groups of each unit, and whether its bytes aren't given back; tokens of A and of B, and the end, of each group). Units whose bytes aren't given back have no tokens."""
+        raw = pa.array(units).cast(pa.binary())
+        size = pc.binary_length(raw).to_numpy().astype(np.int64)
+        (x, nx), (y, ny) = self._ids_of_a(units), self._ids_of_b(units, texts)
+        bad = np.zeros(len(units), bool)
+        for ids, n, sizes, entries in ((x, nx, self.a_size, self.a_arrow), (y, ny, self.b_size, self.b_arrow)):
+            whole = np.concatenate([[0], np.cumsum(sizes[ids])])
+            ends = np.cumsum(n)
+            bad |= whole[ends] - whole[ends - n] != size
+            text = b"".join(entries.take(pa.array(ids)).to_pylist())
+            if text != b"".join(raw.to_pylist()):
+                for i, (a, b) in enumerate(zip(whole[ends - n].tolist(), whole[ends].tolist(), strict=True)):
+                    bad[i] |= text[a:b] != raw[i].as_py()
+        if bad.any():
+            x, y = x[~np.repeat(bad, nx)], y[~np.repeat(bad, ny)]
+            nx, ny, size = np.where(bad, 0, nx), np.where(bad, 0, ny), np.where(bad, 0, size)
+        labels = labelled(np.cumsum(self.a_size[x]), np.cumsum(self.b_size[y]), int(size.sum()))
+        groups = grouped(labels)
+        edges = np.concatenate([[0], groups[:, 0]])
+        found = np.diff(np.searchsorted(edges[1:], np.concatenate([[0], np.cumsum(size)]), side="right"))
+        return x, y, np.column_stack([nx, ny, found, bad]), groups[:, 1:], groups[:, 0]
 
 
 @cache
@@ -137,22 +169,16 @@ class _Words:
         return first + np.arange(len(texts))
 
     def _learn(self, units: list[str], texts: list[str]) -> None:
-        counts, strings, codes, n = [], [], [], self.pair.wide
-        for raw, x, y in self.pair.ids(units, texts):
-            groups, same = self.pair.scanned(raw, x, y)
-            i = j = 0
-            parts = []
-            for _, p, q in groups:
-                parts.append(f"{','.join(map(str, x[i : i + p]))}|{','.join(map(str, y[j : j + q]))}")
-                i, j = i + p, j + q
-                codes.append(x[i - 1] * n + y[j - 1])
-            counts.append((len(x), len(y), len(groups), not same))
-            strings.append(";".join(parts))
-        own = np.array(counts, np.int64).reshape(-1, 4)
+        pair = self.pair
+        x, y, own, sizes, _ = pair.scanned(units, texts)
+        listed = lambda ids, names, n: pc.binary_join(pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(n)]), pa.int32()), names.take(pa.array(ids))), ",")
+        groups = pc.binary_join_element_wise(listed(x, pair.a_names, sizes[:, 0]), listed(y, pair.b_names, sizes[:, 1]), "|")
+        strings = pc.binary_join(pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(own[:, 2])]), pa.int32()), groups), ";")
+        codes = x[np.cumsum(sizes[:, 0]) - 1] * pair.wide + y[np.cumsum(sizes[:, 1]) - 1]
         self.at = np.concatenate([self.at, len(self.pool) + np.cumsum(own[:, 2]) - own[:, 2]])
-        self.pool = np.concatenate([self.pool, np.array(codes, np.int64)])
+        self.pool = np.concatenate([self.pool, codes])
         self.counts = np.concatenate([self.counts, own])
-        self.texts = pa.concat_arrays([self.texts, pa.array(strings, pa.string())])
+        self.texts = pa.concat_arrays([self.texts, strings])
 
 
 @cache
@@ -283,8 +309,9 @@ def _spans(a: str, b: str):
             for text in batch.column(1).to_pylist():
                 own = []
                 if text:
-                    (raw, x, y), i, j = next(pair.ids([" " + text], [text])), 0, 0
-                    for end, p, q in pair.scanned(raw, x, y)[0]:
+                    x, y, _, sizes, ends = pair.scanned([" " + text], [text])
+                    i = j = 0
+                    for end, (p, q) in zip(ends.tolist(), sizes.tolist(), strict=True):
                         own.append({"end": end, "a": x[i : i + p], "b": y[j : j + q]})
                         i, j = i + p, j + q
                 out.append(own)

@@ -117,7 +117,7 @@ def test_documents_and_a_long_text(spark, both, monkeypatch):
 
 def test_labels_and_groups():
     assert alignment.labelled(np.array([2, 3, 6]), np.array([1, 3, 5, 6]), 6) == b"bax.bx"
-    assert alignment.grouped(b"bax.bx") == [(3, 2, 2), (6, 1, 2)]
+    assert alignment.grouped(b"bax.bx").tolist() == [[3, 2, 2], [6, 1, 2]] and alignment.grouped(b"").tolist() == []
 
 
 def test_words_are_forgotten(spark, both, monkeypatch):
