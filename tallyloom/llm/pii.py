@@ -1,6 +1,6 @@
 r"""Personal data: spans of four fixed kinds, and terms that reveal them, with DataFrame operations only.
 
-The fixed kinds are found by patterns. What they find are protected entities; terms (words of three signs or more that begin with a letter) that stand near them may give them away even where the entity itself is masked. How strongly a term t discloses an entity c is estimated from all texts: pointwise mutual information over the entity's information, ln(N n(t, c) / (n(t) n(c))) / ln(N / n(c)), where n counts different texts: with c, with t, and with t at most NEAR words from c. It is 1 if t is nowhere without c, and 0 if the two are independent. Terms of at least SUPPORT texts whose disclosure reaches GENERALISED are spans of the kind term in each text that holds the entity, wherever they stand there; from REMOVED on they are taken out, below that replaced by their kind.
+The fixed kinds are found by patterns. What they find are protected entities; terms (words of three signs or more that begin with a letter) that stand near them may give them away even where the entity itself is masked. How strongly a term t discloses an entity c is estimated from all documents: pointwise mutual information over the entity's information, ln(N n(t, c) / (n(t) n(c))) / ln(N / n(c)), where n counts documents: with c, with t, and with t at most NEAR words from c. It is 1 if t is nowhere without c, and 0 if the two are independent. Terms that stand near an entity in at least SUPPORT different texts and whose disclosure reaches GENERALISED are spans of the kind term in each text that holds the entity, wherever they stand there; from REMOVED on they are taken out, below that replaced by their kind.
 
 Offsets are code points, made without walking a text by signs: a pattern's matches and the gaps between them alternate, so the sum of their lengths in order is where each begins. Only matches move, by the text's md5, so copies of a text are one text; texts move to count nothing. Patterns are written so that a text of any length takes time in proportion: a run of signs is entered at its start (or where the last match ended), and repeats never step back.
 """
@@ -97,35 +97,36 @@ def spans(found: DataFrame) -> DataFrame:
     return each.withColumn("end", end).where("value IS NOT NULL").select("key", "kind", (F.col("end") - F.col("size")).alias("start"), "end", "value", "near")
 
 
-def _words(docs: DataFrame) -> DataFrame:
-    return docs.select(F.md5(F.coalesce(F.col("text").cast("string"), F.lit(""))).alias("key"), F.explode(F.array_distinct(F.regexp_extract_all(F.col("text").cast("string"), F.lit(TERM), F.lit(0)))).alias("word")).select("key", F.lower("word").alias("term"))
+def disclosures(docs: DataFrame, found: DataFrame, base: DataFrame) -> DataFrame:
+    """term, value, disclosure of the pairs that reach GENERALISED. found, base: matches() and spans() of docs, written tables.
 
-
-def disclosures(docs: DataFrame, found: DataFrame, base: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(term, value, disclosure of the pairs that reach GENERALISED; key, term of each different text and candidate term in it). found, base: matches() and spans() of docs, written tables."""
-    near = base.select("value", "key", F.explode("near").alias("term")).groupBy("value", "term", "key").agg(F.lit(1).alias("_"))
-    pairs = stored(near.groupBy("value", "term").agg(F.count("*").alias("both")).where(F.col("both") >= SUPPORT), "pairs")
-    has = stored(_words(docs).join(sized(pairs.select("term").distinct()), "term", "left_semi").groupBy("key", "term").agg(F.lit(1).alias("_")).drop("_"), "has")
-    n = found.groupBy("key").agg(F.lit(1).alias("_")).count()
-    entities = base.groupBy("value", "key").agg(F.lit(1).alias("_")).groupBy("value").agg(F.count("*").alias("entity"))
-    terms = has.groupBy("term").agg(F.count("*").alias("term_texts"))
-    told = pairs.join(entities, "value").join(terms, "term")
-    d = F.try_divide(F.ln(F.lit(float(n)) * F.col("both") / (F.col("term_texts") * F.col("entity"))), F.ln(F.lit(float(n)) / F.col("entity")))
-    return stored(told.withColumn("disclosure", d).where(F.col("disclosure") >= GENERALISED).select("term", "value", "disclosure"), "told"), has
+    Where a term stands near any entity is a bound for how many documents hold it at least; pairs that can't reach GENERALISED by it go first, so that only terms that are rare near entities are counted in the corpus. Of these counts a row a term moves.
+    """
+    copies = found.where(F.size("found") > 0).groupBy("key").agg(F.count("*").alias("n"))
+    near = stored(base.select("value", "key", F.explode("near").alias("term")).groupBy("value", "term", "key").agg(F.lit(1).alias("_")).drop("_").join(copies, "key"), "near")
+    pairs = near.groupBy("value", "term").agg(F.count("*").alias("texts"), F.sum("n").alias("both")).where(F.col("texts") >= SUPPORT)
+    entities = base.groupBy("value", "key").agg(F.lit(1).alias("_")).join(copies, "key").groupBy("value").agg(F.sum("n").alias("entity"))
+    around = near.groupBy("term", "key").agg(F.first("n").alias("n")).groupBy("term").agg(F.sum("n").alias("around"))
+    every = F.lit(float(found.count()))
+    most = F.col("both") * F.pow(every / F.col("entity"), F.lit(1 - GENERALISED)) * 1.001
+    pairs = stored(pairs.join(entities, "value").join(around, "term").where(F.col("around") <= most).select("term", "value", "both", "entity"), "pairs")
+    words = docs.select(F.explode(F.array_distinct(F.transform(F.regexp_extract_all(F.col("text").cast("string"), F.lit(TERM), F.lit(0)), F.lower))).alias("term"))
+    terms = words.join(sized(pairs.select("term").distinct()), "term", "left_semi").groupBy("term").agg(F.count("*").alias("held"))
+    d = F.try_divide(F.ln(every * F.col("both") / (F.col("held") * F.col("entity"))), F.ln(every / F.col("entity")))
+    return stored(pairs.join(terms, "term").withColumn("disclosure", d).where(F.col("disclosure") >= GENERALISED).select("term", "value", "disclosure"), "told")
 
 
 def revealing(docs: DataFrame, found: DataFrame, base: DataFrame) -> DataFrame:
     """key, start, end, disclosure of the terms that reveal an entity of the same text, but for those inside of base spans."""
-    told, has = disclosures(docs, found, base)
-    own = base.select("key", "value").distinct()
-    inside = stored(has.join(told, "term").join(own, ["key", "value"], "left_semi").groupBy("key", "term").agg(F.max("disclosure").alias("disclosure")), "inside")
-    keys = inside.select("key").distinct()
+    told = disclosures(docs, found, base)
+    own = stored(base.select("key", "value").distinct().join(told.select("value").distinct(), "value", "left_semi"), "own")
+    keys = own.select("key").distinct()
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
     texts = among(docs.select(F.md5(text).alias("key"), text.alias("text")), keys, ["key"]).groupBy("key").agg(F.first("text").alias("text"))
     texts = once(texts, words=F.regexp_extract_all("text", F.lit(TERM), F.lit(0)), gaps=F.split("text", TERM, -1))
     each = texts.select("key", F.posexplode(F.transform("words", lambda w, i: F.struct(F.lower(w).alias("term"), F.length(w).alias("size"), F.length(F.get("gaps", i)).alias("gap")))).alias("i", "w")).select("key", "i", "w.*")
     end = F.sum((F.col("gap") + F.col("size")).cast("long")).over(Window.partitionBy("key").orderBy("i").rowsBetween(Window.unboundedPreceding, 0))
-    each = each.withColumn("end", end).withColumn("start", F.col("end") - F.col("size")).join(inside, ["key", "term"]).select("key", "start", "end", "disclosure")
+    each = each.withColumn("end", end).withColumn("start", F.col("end") - F.col("size")).join(told, "term").join(own, ["key", "value"], "left_semi").groupBy("key", "start", "end").agg(F.max("disclosure").alias("disclosure"))
     both = each.unionByName(base.join(keys, "key", "left_semi").select("key", "start", "end", F.lit(None).cast("double").alias("disclosure")))
     order, fixed = Window.partitionBy("key").orderBy("start", F.col("disclosure").isNotNull()), F.col("disclosure").isNull()
     before = F.max(F.when(fixed, F.col("end"))).over(order.rowsBetween(Window.unboundedPreceding, -1))
