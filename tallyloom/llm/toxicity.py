@@ -1,8 +1,10 @@
 """Toxicity by class-conditional Kneser-Ney models of characters.
 
-Texts become symbols: letters a-z, the Latin-1 letters, digits, letters and marks of other scripts (case folded, in OTHER groups by code point) and gaps, runs of gaps being one. Two Kneser-Ney models of order 5, one of toxic and one of ordinary texts, back off over their own continuation counts of order 4 (the different symbols before a gram) to one shared model of order 3, which backs off over order 2 to single symbols, all by continuation counts of the whole corpus. Rare expressions thus differ between the classes only as far as the labelled texts show it. Each order's absolute discount comes from its counts of counts. The log-likelihood of a symbol under the toxic model, less that under the ordinary one, is averaged over windows of WINDOW symbols (length-normalised); a text's features are its highest window and its own mean. A logistic function of these, fitted on labelled texts that the models have not seen, is the score.
+Texts become symbols: letters a-z, the Latin-1 letters, digits, letters and marks of other scripts (case folded, in OTHER groups by code point) and gaps, runs of gaps being one. Two Kneser-Ney models of order 5, one of toxic and one of ordinary texts, back off over their own continuation counts of order 4 (the different symbols before a gram) to one shared model of order 3, which backs off over order 2 to single symbols, all by continuation counts of the whole corpus. Rare expressions thus differ between the classes only as far as the labelled texts show it: the shared orders' absolute discounts come from their counts of counts, the classes' is CLASS_DISCOUNT, so what a class has seen twice or less says nothing of its own.
 
-What is counted in the corpus are its grams of 5 symbols, a table that grows with it and stays distributed; of the continuation counts made from it only those whose contexts the labelled texts hold reach the driver. The classes are learnt from a bounded sample: at most SAMPLE labelled texts of each class, those with the lowest hash of doc_id; two thirds of them feed the models and one third the logistic function. Held-out rows (crc32 of doc_id as text divisible by 5) are never among them.
+A word's evidence is the log-likelihood of its symbols under the toxic model less that under the ordinary one. One telling word may be chance, many are not, and how many are usual differs between languages: so numbers of words above several levels, and what they have above them, are compared with what ordinary texts of like letters (CLUSTERS of symbol frequencies) have in as many words. These, the text's mean ratio, its highest window of WINDOW symbols and its best words are the features of a logistic function, which is the score. It is fitted on labelled texts each scored by models that have not seen it (FOLDS).
+
+What is counted in the corpus are its grams of 5 symbols, a table that grows with it and stays distributed; of the continuation counts made from it only those whose contexts the labelled texts hold reach the driver. The classes are learnt from a bounded sample: at most SAMPLE labelled texts of each class, those with the lowest hash of doc_id. Held-out rows (crc32 of doc_id as text divisible by 5) are never among them.
 """
 
 from __future__ import annotations
@@ -20,6 +22,9 @@ from pyspark.sql import functions as F
 from tallyloom.llm.common import slices, stored, table
 
 ORDER, SHARED, WINDOW, SAMPLE = 5, 3, 8, 4_000
+CLASS_DISCOUNT, FOLDS, CLUSTERS = 2.0, 3, 8
+#: Levels of a word's evidence above which words are counted, and above which what they have more is summed up; how much more a toxic text weighs in the fit.
+LEVELS, EXCESS, TOXIC_WEIGHT = (2, 3, 4, 5, 6, 8), (1, 2, 3, 4), 1.5
 _BITS = 7
 _ALL = 1 << _BITS
 #: Symbols: 0 a gap, then 26 letters, 32 Latin-1 letters, 10 digits, OTHER groups of other letters.
@@ -94,11 +99,10 @@ def _shared_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
 
 def _class_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in slices(batches):
-        for toxic in (0, 1):
-            own = [grams(symbols(t), ORDER) for t, x in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True) if x == toxic]
-            if own:
-                u, n = np.unique(np.concatenate(own), return_counts=True)
-                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(u), toxic, np.int32)), pa.array(u), pa.array(n)], names=["toxic", "gram", "n"])
+        texts, kinds = batch.column(0).to_pylist(), list(zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True))
+        for kind in sorted(set(kinds)):
+            u, n = np.unique(np.concatenate([grams(symbols(t), ORDER) for t, k in zip(texts, kinds, strict=True) if k == kind]), return_counts=True)
+            yield pa.RecordBatch.from_arrays([pa.array(np.full(len(u), x, np.int32)) for x in kind] + [pa.array(u), pa.array(n)], names=["toxic", "fold", "gram", "n"])
 
 
 def discount(once: int, twice: int) -> float:
@@ -123,9 +127,9 @@ def backed(contexts: np.ndarray, gram: np.ndarray, n: np.ndarray, d: float, lowe
     at = np.minimum(at, max(0, len(contexts) - 1))
     own = contexts[at] == gram >> _BITS if len(contexts) else np.zeros(len(gram), bool)
     np.add.at(seen, (at[own], gram[own] & (_ALL - 1)), n[own])
-    total = seen.sum(axis=1, keepdims=True)
-    spare = np.where(total > 0, d * (seen > 0).sum(axis=1, keepdims=True) / np.maximum(total, 1), 1.0)
-    return np.maximum(seen - d, 0) / np.maximum(total, 1) + spare * lower
+    total, off = seen.sum(axis=1, keepdims=True), np.minimum(seen, d)
+    spare = np.where(total > 0, off.sum(axis=1, keepdims=True) / np.maximum(total, 1), 1.0)
+    return (seen - off) / np.maximum(total, 1) + spare * lower
 
 
 def tail(gram: np.ndarray, n: int) -> np.ndarray:
@@ -161,15 +165,14 @@ def class_model(gram: np.ndarray, toxic: np.ndarray, n: np.ndarray, shared) -> t
         tables = {ORDER: (gram[toxic == c][order], n[toxic == c][order])}
         for order in range(ORDER - 1, SHARED, -1):
             tables[order] = np.unique(tail(tables[order + 1][0], order), return_counts=True)
-        spare = {order: discount(int((k == 1).sum()), int((k == 2).sum())) for order, (_, k) in tables.items()}
         p = base
         for order in range(SHARED + 1, ORDER):
-            p = backed(own[order], *tables[order], spare[order], p[np.searchsorted(own[order - 1], tail(own[order], order - 2))])
+            p = backed(own[order], *tables[order], CLASS_DISCOUNT, p[np.searchsorted(own[order - 1], tail(own[order], order - 2))])
         g, k = tables[ORDER]
         for at in range(0, len(context), 4096):
             some = context[at : at + 4096]
             first, last = np.searchsorted(g, [some[0] << _BITS, (some[-1] + 1) << _BITS])
-            top = backed(some, g[first:last], k[first:last], spare[ORDER], p[np.searchsorted(own[ORDER - 1], tail(some, ORDER - 2))])
+            top = backed(some, g[first:last], k[first:last], CLASS_DISCOUNT, p[np.searchsorted(own[ORDER - 1], tail(some, ORDER - 2))])
             ratio[at : at + 4096] += (sign * np.log(top))[:, used]
     return context, used, ratio
 
@@ -194,42 +197,98 @@ def _tables(model) -> tuple:
     return _made["tables"]
 
 
-def features(text: str | None, number: np.ndarray, base: int, first: np.ndarray, second: np.ndarray, ratio: np.ndarray) -> tuple[float, float]:
-    """(mean ratio of the highest window, of the whole text)."""
-    s = number[symbols(text)]
+#: Columns of measures(): words above LEVELS, excess above EXCESS, highest window, mean, mean of the three best words, best word, words; then the square roots of the symbols' shares.
+MEASURES = len(LEVELS) + len(EXCESS) + 5
+
+
+def measures(text: str | None, number: np.ndarray, base: int, first: np.ndarray, second: np.ndarray, ratio: np.ndarray) -> np.ndarray:
+    out = np.zeros(MEASURES + _ALL)
+    own = symbols(text)
+    s = number[own]
     if len(s) < ORDER:
-        return 0.0, 0.0
+        return out
     n = len(s) - ORDER + 1
     k = (s[:n] * base + s[1 : n + 1]) * base + s[2 : n + 2]
     v = ratio[second[first[k] * base + s[3 : n + 3]] * base + s[4:]]
-    run = np.concatenate([[0.0], np.cumsum(v, dtype=np.float64)])
-    w = min(WINDOW, len(v))
-    return float((run[w:] - run[:-w]).max() / WINDOW), float(run[-1] / len(v))
+    run = np.concatenate([np.zeros(ORDER), np.cumsum(v, dtype=np.float64)])  # sum of what stands before each place
+    gaps = np.flatnonzero(own == 0)
+    words = run[gaps[1:] + 1] - run[gaps[:-1] + 1]
+    w, best = min(WINDOW, n), np.sort(words)[::-1]
+    at = [*((words > x).sum() for x in LEVELS), *(np.maximum(words - x, 0).sum() for x in EXCESS), (run[ORDER - 1 + w :] - run[ORDER - 1 : len(run) - w]).max() / WINDOW, run[-1] / n, best[:3].mean(), best[0], len(words)]
+    out[:MEASURES] = at
+    out[MEASURES:] = np.sqrt(np.bincount(own, minlength=_ALL) / max(1, (own > 0).sum()))
+    out[MEASURES] = 0
+    return out
+
+
+def _measured(model):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches):
+            own = _tables(model)
+            rows = [measures(t.as_py(), *own) for t in batch.column(2)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(rows, pa.list_(pa.float64()))], names=["doc_id", "toxic", "m"])
+        _made.clear()
+
+    return run
 
 
+class Judge:
+    """What a text's measures say: centres of clusters of symbol shares, what their ordinary texts have of each measure a word, and the logistic function's weights."""
 
-def _featured(model):
+    def __init__(self, m: np.ndarray, toxic: np.ndarray):
+        shares, long = m[:, MEASURES:], m[:, MEASURES - 1] >= 10
+        self.centres = _centres(shares[long] if long.any() else shares)
+        cluster, counted = self.cluster(m), MEASURES - 5
+        whole = (toxic == 0) | ~(toxic == 0).any()
+        self.rates = np.zeros((len(self.centres), counted))
+        for c in range(len(self.centres)):
+            own = whole & (cluster == c) if (whole & (cluster == c)).sum() >= 5 else whole
+            self.rates[c] = m[own, :counted].sum(axis=0) / max(1.0, m[own, MEASURES - 1].sum())
+        self.w = logistic(self.features(m), toxic.astype(float), 1.0, np.where(toxic == 1, TOXIC_WEIGHT, 1.0))
+
+    def cluster(self, m: np.ndarray) -> np.ndarray:
+        shares = m[:, MEASURES:]
+        return np.argmin((self.centres**2).sum(axis=1) - 2 * shares @ self.centres.T, axis=1)
+
+    def features(self, m: np.ndarray) -> np.ndarray:
+        usual = self.rates[self.cluster(m)] * m[:, MEASURES - 1 : MEASURES]
+        over = (m[:, : MEASURES - 5] - usual) / np.sqrt(usual + 1)
+        return np.hstack([np.sign(over) * np.log1p(np.abs(over)), m[:, MEASURES - 5 : MEASURES - 1]])
+
+    def score(self, m: np.ndarray) -> np.ndarray:
+        return 1 / (1 + np.exp(-np.clip(self.features(m) @ self.w[:-1] + self.w[-1], -700, 700)))
+
+
+def _centres(x: np.ndarray, steps: int = 25) -> np.ndarray:
+    """Centres of at most CLUSTERS groups of rows: each next one begins at the row furthest from all before, then means are taken in turns."""
+    c = x[:1]
+    while len(c) < min(CLUSTERS, len(x)):
+        c = np.vstack([c, x[np.argmax(((x[:, None] - c[None]) ** 2).sum(axis=2).min(axis=1))]])
+    for _ in range(steps):
+        own = np.argmin((c**2).sum(axis=1) - 2 * x @ c.T, axis=1)
+        c = np.array([x[own == i].mean(axis=0) if (own == i).any() else c[i] for i in range(len(c))])
+    return c
+
+
+def _scored(model, judge: Judge):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
             own = _tables(model)
-            f = np.array([features(t.as_py(), *own) for t in batch.column(1)]).reshape(-1, 2)
-            yield pa.RecordBatch.from_arrays([batch.column(0), *(pa.array(f[:, i]) for i in range(2))], names=["key", "top", "mean"])
+            m = np.array([measures(t.as_py(), *own) for t in batch.column(1)]).reshape(-1, MEASURES + _ALL)
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(judge.score(m))], names=["key", "score"])
         _made.clear()
 
     return run
 
 
-FEATURES = "key long, top double, mean double"
-
-
-def logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1e-2) -> np.ndarray:
+def logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1e-2, weight: np.ndarray | float = 1.0) -> np.ndarray:
     """Weights of standardised features and the intercept by Newton steps, as weights of the raw features."""
     mean, scale = x.mean(axis=0), np.maximum(x.std(axis=0), 1e-9)
     z = np.column_stack([(x - mean) / scale, np.ones(len(x))])
-    w, keep = np.zeros(z.shape[1]), ridge * np.eye(z.shape[1])
+    w, keep, weight = np.zeros(z.shape[1]), ridge * np.eye(z.shape[1]), np.broadcast_to(weight, len(x))
     for _ in range(50):
         p = 1 / (1 + np.exp(-np.clip(z @ w, -30, 30)))
-        step = np.linalg.solve((z * (p * (1 - p))[:, None]).T @ z + keep, z.T @ (y - p) - keep @ w)
+        step = np.linalg.solve((z * (weight * p * (1 - p))[:, None]).T @ z + keep, z.T @ (weight * (y - p)) - keep @ w)
         w += step
         if np.abs(step).max() < 1e-9:
             break
@@ -237,7 +296,7 @@ def logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1e-2) -> np.ndarray:
 
 
 def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE):
-    """(broadcast model, logistic weights); None where the labels that may teach lack a class.
+    """(broadcast model, judge); None where the labels that may teach lack a class.
 
     Labels with a null doc_id or toxic are passed over; of several for one document the highest counts. The shared counts read every document.
     """
@@ -247,20 +306,34 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE):
     picked = [(r["doc_id"], r["toxic"]) for p in picks for r in p.collect()]  # at most 2 * sample rows
     if len({t for _, t in picked}) < 2:
         return None
-    mine = spark.createDataFrame([(d, t, zlib.crc32(f"fit{d}".encode()) % 3 > 0) for d, t in picked], "doc_id long, toxic int, fits boolean")
+    mine = spark.createDataFrame([(d, t, zlib.crc32(f"fit{d}".encode()) % FOLDS) for d, t in picked], "doc_id long, toxic int, fold int")
     texts = stored(docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).join(F.broadcast(mine), "doc_id"), "labelled")
-    own = texts.where("fits").select("text", "toxic").mapInArrow(_class_counts, "toxic int, gram long, n long").groupBy("toxic", "gram").agg(F.sum("n").alias("n")).toArrow()  # of a bounded sample
-    gram = own["gram"].to_numpy()
+    own = texts.select("text", "toxic", "fold").mapInArrow(_class_counts, "toxic int, fold int, gram long, n long").groupBy("toxic", "fold", "gram").agg(F.sum("n").alias("n")).toArrow()  # of a bounded sample
+    toxic, fold, gram, n = (own[c].to_numpy() for c in ("toxic", "fold", "gram", "n"))
     if not len(gram):
         return None
     counts = stored(docs.select(F.col("text").cast("string").alias("text")).mapInArrow(_shared_counts, "gram long, n long").groupBy("gram").agg(F.sum("n").alias("n")), "grams")
-    model = class_model(gram, own["toxic"].to_numpy(), own["n"].to_numpy(), lambda contexts: shared_model(counts, contexts))
-    model = spark.sparkContext.broadcast((uuid.uuid4().hex, *model))
-    rest = texts.where("NOT fits").select(F.col("toxic").cast("long").alias("key"), "text").mapInArrow(_featured(model), FEATURES).toArrow()
-    x, y = np.column_stack([rest[c].to_numpy() for c in ("top", "mean")]), rest["key"].to_numpy().astype(float)
+    contexts = np.unique(tail(gram >> _BITS, SHARED - 1))
+    table_ = shared_model(counts, contexts)
+
+    def made(some: np.ndarray):
+        keys, at = np.unique((toxic[some].astype(np.int64) << ORDER * _BITS) | gram[some], return_inverse=True)
+        sums = np.zeros(len(keys), np.int64)
+        np.add.at(sums, at, n[some])
+        model = class_model(keys & ((1 << ORDER * _BITS) - 1), keys >> ORDER * _BITS, sums, lambda c: table_[np.searchsorted(contexts, c)])
+        return spark.sparkContext.broadcast((uuid.uuid4().hex, *model))
+
+    rows = []
+    for f in range(FOLDS):
+        if len(set(toxic[fold != f].tolist())) == 2:
+            model = made(fold != f)
+            rows.append(texts.where(F.col("fold") == f).select("doc_id", "toxic", "text").mapInArrow(_measured(model), "doc_id long, toxic int, m array<double>").toArrow())  # of a bounded sample
+            model.unpersist()
+    rows = sorted(((r["doc_id"], r["toxic"], r["m"]) for part in rows for r in part.to_pylist()), key=lambda r: r[:2])
+    y = np.array([r[1] for r in rows])
     if len(set(y.tolist())) < 2:
         return None
-    return model, logistic(x, y)
+    return made(np.ones(len(gram), bool)), Judge(np.array([r[2] for r in rows]), y)
 
 
 def scored(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> DataFrame:
@@ -268,9 +341,7 @@ def scored(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> DataFram
     rows = docs.select(F.col("doc_id").cast("long").alias("key"), F.col("text").cast("string").alias("text"))
     if (fitted := fit(docs, labels, sample)) is None:
         return rows.select(F.col("key").alias("doc_id"), F.lit(0.0).alias("score"))
-    model, w = fitted
-    z = F.col("top") * float(w[0]) + F.col("mean") * float(w[1]) + float(w[2])
-    return rows.mapInArrow(_featured(model), FEATURES).select(F.col("key").alias("doc_id"), (1 / (1 + F.exp(-z))).alias("score"))
+    return rows.mapInArrow(_scored(*fitted), "key long, score double").withColumnRenamed("key", "doc_id")
 
 
 def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -279,13 +350,12 @@ def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", held_out().alias("held_out"), "score", F.when(F.col("score") >= 0.5, 1).otherwise(0).alias("predicted"))
 
 
-def _tag(model, w: list[float], at: int):
+def _tag(model, judge: Judge, at: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
             own = _tables(model)
-            f = np.array([features(t.as_py(), *own) for t in batch.column(at)]).reshape(-1, 2)
-            keep = f @ np.array(w[:2]) + w[2] < 0
-            yield batch.filter(pa.array(keep))
+            m = np.array([measures(t.as_py(), *own) for t in batch.column(at)]).reshape(-1, MEASURES + _ALL)
+            yield batch.filter(pa.array(judge.score(m) < 0.5))
         _made.clear()
 
     return run
@@ -295,5 +365,4 @@ def ordinary_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
     """Pipeline stage: documents whose score is below 0.5, all columns as they are."""
     if (fitted := fit(docs, table(spark, sf_dir, "labels"))) is None:
         return docs
-    model, w = fitted
-    return docs.mapInArrow(_tag(model, [float(x) for x in w], docs.columns.index("text")), docs.schema)
+    return docs.mapInArrow(_tag(*fitted, docs.columns.index("text")), docs.schema)

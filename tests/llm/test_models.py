@@ -17,17 +17,17 @@ SF = "/root/testdata/sf0.001"
 
 def kneser_ney(counts, order, spare, lower):
     """P(symbol | context) of a dictionary of counts of grams (tuples), with what is left going to lower (a function of context and symbol)."""
-    total, kinds = defaultdict(int), defaultdict(int)
+    total, off = defaultdict(int), defaultdict(float)
     for gram, n in counts.items():
         total[gram[:-1]] += n
-        kinds[gram[:-1]] += 1
+        off[gram[:-1]] += min(n, spare)
 
     def p(context, symbol):
         context = context[len(context) - order + 1 :]
         if context not in total:
             return lower(context[1:], symbol)
         n = counts.get((*context, symbol), 0)
-        return max(n - spare, 0) / total[context] + spare * kinds[context] / total[context] * lower(context[1:], symbol)
+        return max(n - spare, 0) / total[context] + off[context] / total[context] * lower(context[1:], symbol)
 
     return p
 
@@ -66,7 +66,7 @@ def test_models_are_kneser_ney(spark):
     for c in (False, True):
         own[c] = grams([t for t, x in made if x == c], 5)
         four = continued(own[c])
-        models[c] = kneser_ney(own[c], 5, spared(own[c]), kneser_ney(four, 4, spared(four), shared))
+        models[c] = kneser_ney(own[c], 5, toxicity.CLASS_DISCOUNT, kneser_ney(four, 4, toxicity.CLASS_DISCOUNT, shared))
     code = lambda g: sum(s << 7 * (len(g) - 1 - i) for i, s in enumerate(g))
     counts = spark.createDataFrame([(code(g), n) for g, n in tables[5].items()], "gram long, n long")
     rows = [(code(g), int(c), n) for c in own for g, n in own[c].items()]
@@ -103,6 +103,36 @@ def test_toxicity_in_another_script(spark):
     assert np.mean([(got[i] >= 0.5) == (i % 4 == 0) for i in range(700) if zlib.crc32(str(i).encode()) % 5 == 0]) > 0.95
 
 
+@pytest.mark.parametrize(("sf", "least", "most"), [("0.01", 0.6, 0.05), ("0.1", 0.85, 0.01)])
+def test_held_out_texts_of_the_tables(spark, sf, least, most):
+    at = f"/root/testdata/sf{sf}"
+    got = {r["doc_id"]: r for r in toxicity.op8_toxicity(spark, at).collect()}
+    known = [(got[d], t) for d, t in duckdb.sql(f"SELECT doc_id, toxic FROM '{at}/labels.parquet' WHERE doc_id IN (SELECT doc_id FROM '{at}/documents.parquet')").fetchall()]
+    assert all(r["held_out"] == (zlib.crc32(str(d).encode()) % 5 == 0) and r["predicted"] == (r["score"] >= 0.5) and 0 <= r["score"] <= 1 for d, r in got.items())
+    recall = np.mean([r["predicted"] for r, t in known if r["held_out"] and t == 1])
+    alarms = np.mean([r["predicted"] for r, t in known if r["held_out"] and t == 0])
+    assert recall >= least and alarms <= most
+
+
+def test_measures_by_loop():
+    rng = np.random.default_rng(4)
+    base, number = 6, np.arange(128) % 6
+    first, second, ratio = rng.integers(0, 4, base**3), rng.integers(0, 9, 4 * base + base), rng.normal(0, 2, 9 * base + base).astype(np.float32)
+    for text in ("one word and another", "x", "", None, "a b c d e f g", "Ärger über tausend Wörter, 1337 mal"):
+        s = toxicity.symbols(text)
+        v = [float(ratio[second[first[(number[s[i]] * base + number[s[i + 1]]) * base + number[s[i + 2]]] * base + number[s[i + 3]]] * base + number[s[i + 4]]]) for i in range(len(s) - 4)]
+        got = toxicity.measures(text, number, base, first, second, ratio)
+        if not v:
+            assert not got.any()
+            continue
+        gaps = [i for i, x in enumerate(s) if x == 0]
+        words = [sum(v[i - 4] for i in range(max(4, a + 1), b + 1)) for a, b in zip(gaps, gaps[1:], strict=False)]
+        w, best = min(8, len(v)), sorted(words, reverse=True)
+        want = [*(sum(x > y for x in words) for y in toxicity.LEVELS), *(sum(max(0, x - y) for x in words) for y in toxicity.EXCESS), max(sum(v[i : i + w]) for i in range(len(v) - w + 1)) / 8, sum(v) / len(v), sum(best[:3]) / len(best[:3]), best[0], len(words)]
+        assert got[: toxicity.MEASURES] == pytest.approx(want, abs=1e-4)
+        assert (got[toxicity.MEASURES :] ** 2).sum() == pytest.approx(1)
+
+
 def labels_by_brute_force(text):
     """Labels of all templates: at every shift (band of shifts), the template's postings that stand in the file; its phrases near the first best band."""
     words = re.sub(licences.GAP, " ", re.sub("[A-Z]", lambda m: m[0].lower(), text or "")).split()
