@@ -78,7 +78,9 @@ def write_warc(pages: DataFrame, path: str, damaged: Column | None = None) -> st
     return path
 
 
-_RECORD = re.compile(rb"urn:page:(-?[0-9]*)>.*?\r\nContent-Length: ([0-9]+)\r\n\r\n", re.S)
+#: A record's header, whole and at its place; where a next one may begin.
+_RECORD = re.compile(rb"WARC/1\.0\r\nWARC-Type: response\r\nWARC-Target-URI: [^\r\n]*\r\nWARC-Record-ID: <urn:page:(-?[0-9]*)>\r\nContent-Length: ([0-9]+)\r\n\r\n")
+_NEXT = re.compile(rb"(?<=\r\n\r\n)WARC/1\.0\r\n")
 
 
 def _parsed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -87,8 +89,12 @@ def _parsed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for file, content in zip(batch.column(0), batch.column(1), strict=True):
             raw, at, out = content.as_py(), 0, []
             while at < len(raw):
-                head = _RECORD.search(raw, at)
-                end = head.end() + int(head[2]) + len(END) if head else len(raw)
+                head = _RECORD.match(raw, at)
+                end = head.end() + int(head[2]) + len(END) if head else 0
+                if not head or end > len(raw) or raw[end - len(END) : end] != END.encode():
+                    # a damaged header, or a length that isn't its own: it ends where a next record may begin
+                    after = _NEXT.search(raw, at + 1)
+                    end = after.start() if after else len(raw)
                 body = raw[at:end]
                 out.append((int(head[1]) if head and head[1] else None, file.as_py(), at, len(body), hashlib.sha256(body).hexdigest()))
                 at = end
@@ -96,11 +102,11 @@ def _parsed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def read_warc(spark: SparkSession, path: str) -> DataFrame:
-    """records() as they lie in the files of path: offsets and digests are those of the bytes there. Bytes after the last record that can be told are one record without an id. A task holds a file at a time."""
+    """records() as they lie in the files of path: offsets and digests are those of the bytes there. A record whose header is damaged ends before the next WARC/1.0 after an empty line, and has no id; the records after it are read as they are. A task holds a file at a time."""
     files = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", "*.txt").load(path)
     rows = files.select(F.regexp_extract("path", r"file=(-?[0-9]+)/[^/]*$", 1).cast("long").alias("file"), "content").mapInArrow(_parsed, "page_id long, file long, start long, length long, hash string")
     slots = _filed(rows.withColumnRenamed("file", "_file")).withColumn("file", F.col("_file"))
-    same = Window.partitionBy("file", "slot").orderBy("page_id", "hash", "start")
+    same = Window.partitionBy("file", "slot").orderBy(F.col("page_id").asc_nulls_last(), "hash", "start")
     return slots.withColumn("place", F.col("slot") + FILE * (F.row_number().over(same).cast("long") - 1)).select("page_id", "file", "place", "start", "length", "hash")
 
 
@@ -153,7 +159,7 @@ def differing(mine: Tree, other: Tree) -> DataFrame:
 
 
 def audit(mine: Tree, other: Tree) -> DataFrame:
-    """file, place, kind, hash, other_hash (digests; null where a replica lacks the record) of what is wrong with the other replica: missing, extra, corrupt or moved. Records that only lie further on aren't reported."""
+    """file, place, kind, hash, other_hash (digests; null where a replica lacks the record) of what is wrong with the other replica: missing, extra, corrupt or moved. Records that only lie further on aren't reported. An unknown record where a missing one should begin, of the same length, is that one, corrupt: its header doesn't say whose it is."""
     found = differing(mine, other)
     renamed = {c: f"other_{c}" for c in ("start", "length", "hash")}
     columns = ["file", "place", "start", "length", "hash"]
@@ -163,6 +169,12 @@ def audit(mine: Tree, other: Tree) -> DataFrame:
     same = F.col("hash").eqNullSafe(F.col("other_hash")) & F.col("length").eqNullSafe(F.col("other_length"))
     kind = F.when(F.col("other_hash").isNull(), "missing").when(F.col("hash").isNull(), "extra").when(~same, "corrupt")
     wrong = both.withColumn("kind", kind).where("kind IS NOT NULL")
+    extra = wrong.where("kind = 'extra'").select("file", F.col("other_start").alias("start"), F.col("other_length").alias("length"), F.col("place").alias("_place"), F.col("other_hash").alias("_hash"))
+    if not extra.isEmpty():
+        pairs = stored(wrong.where("kind = 'missing'").select("file", "start", "length", "place", "hash").join(extra, ["file", "start", "length"]), "pairs")
+        named = pairs.select("file", "place", F.lit("missing").alias("kind")).unionByName(pairs.select("file", F.col("_place").alias("place"), F.lit("extra").alias("kind")))
+        told = pairs.select("file", "place", F.lit("corrupt").alias("kind"), "hash", F.col("_hash").alias("other_hash"))
+        wrong = wrong.join(named, ["file", "place", "kind"], "left_anti").unionByName(told, allowMissingColumns=True)
     files = stored(both.where(same).select("file").distinct(), "files")
     if not files.isEmpty():
         common = among(mine.leaves.select(columns), files, ["file"]).join(among(other.leaves.select("file", "place", F.col("start").alias("other_start")), files, ["file"]), ["file", "place"])

@@ -12,13 +12,15 @@ from tallyloom.llm.common import parts, stored, table
 from tallyloom.llm.ordering import range_of
 
 WEIGHTS, MOST_PASSES, SEED = (5, 2, 1), 3, "mix"
+#: White space as the contract has it.
+SPACES = " \t\n\x0b\x0c\r"
 #: Rows of one source that a bucket of the shuffled order aims at.
 BUCKET = 4096
 
 
 def word_count(text: Column) -> Column:
     """Number of words [^\\x20\\x09-\\x0D]+; null: 0."""
-    bare = F.btrim(text, F.lit(" \t\n\x0b\x0c\r"))
+    bare = F.btrim(text, F.lit(SPACES))
     return F.when(F.coalesce(bare, F.lit("")) == "", 0).otherwise(F.size(F.split(bare, r"[\x20\x09-\x0D]+"))).cast("long")
 
 
@@ -125,8 +127,8 @@ def mix_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     here, end = F.struct(*ORDER), F.struct(F.lit(last["finish"]).alias("finish"), F.lit(last["queue"]).alias("queue"), F.lit(last["begin"]).alias("begin"))
     pieces = pieces.where(here <= end).withColumn("words", F.when(here == end, F.lit(last["taken"])).otherwise(F.col("words")))
     cut, text = F.col("words") < F.col("size"), F.col("row.text")
-    split = F.split(F.ltrim(text), r"(?<=[\x20\x09-\x0D])(?=[^\x20\x09-\x0D])")
-    copies = pieces.withColumn("head", F.when(cut, F.rtrim(F.array_join(F.slice(split, 1, F.col("words").cast("int")), ""))))
+    split = F.split(F.ltrim(text, F.lit(SPACES)), r"(?<=[\x20\x09-\x0D])(?=[^\x20\x09-\x0D])")
+    copies = pieces.withColumn("head", F.when(cut, F.rtrim(F.array_join(F.slice(split, 1, F.col("words").cast("int")), ""), F.lit(SPACES))))
     in_order = copies.repartitionByRange(parts(spark), *ORDER).sortWithinPartitions(*ORDER)
     changed = {"text": F.coalesce("head", text), "n_chars": F.coalesce(F.length("head").cast("long"), F.col("row.n_chars")) if "n_chars" in docs.columns else None}
     return in_order.select(*(changed.get(c, F.col(f"row.{c}")).alias(c) for c in docs.columns))

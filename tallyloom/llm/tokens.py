@@ -1,6 +1,6 @@
 """Token-id output: documents as Huffman-coded blocks of token ids, written and read back by Spark.
 
-File format. A shard is one Parquet part file of the folder written; each row is an independent block of documents in ascending doc_id order: shard (its range of the global order), block (its number in the shard), doc_ids, n_tokens (ids of each document, end id included), bits (the block's bit stream; each document starts on a byte), checkpoints (bit offset of every STRIDE-th symbol of each document, counted from its start, in order). The code lengths lie beside the shards, as one row of bytes. Any block is decoded from its own row and the code lengths alone, and any stretch of STRIDE ids from its checkpoint.
+File format. A shard is one Parquet part file of the folder written; each row is an independent block of documents in ascending doc_id order: shard (its range of the global order), block (its number in the shard), doc_ids, n_null (so many ids at its end are null), n_tokens (ids of each document, end id included), bits (the block's bit stream; each document starts on a byte), checkpoints (bit offset of every STRIDE-th symbol of each document, counted from its start, in order). The code lengths lie beside the shards, as one row of bytes. Any block is decoded from its own row and the code lengths alone, and any stretch of STRIDE ids from its checkpoint.
 """
 
 from __future__ import annotations
@@ -191,7 +191,7 @@ def _token_rows(path: str):
             else:
                 raw, width, mark = ids.tobytes(), 4, b"+"
             ends = (np.cumsum(n) * width).tolist()
-            yield pa.RecordBatch.from_arrays([some.column(0), pa.array([mark + raw[a:b] for a, b in zip([0, *ends], ends)], pa.binary())], names=["k", "ids"])
+            yield pa.RecordBatch.from_arrays([some.column(0), pa.array([mark + raw[a:b] for a, b in zip([0, *ends], ends)], pa.binary()), some.column(2), some.column(3)], names=["k", "ids", "tie", "no_id"])
 
     return run
 
@@ -239,30 +239,31 @@ def _encoder(lengths):
                 number.append(n)
                 bits += [stream[a:b] for a, b in zip(before.tolist(), ends.tolist(), strict=True)]
                 marks += [(starts[a : a + k : STRIDE] - 8 * b).astype("<i8").tobytes() for a, k, b in zip(firsts.tolist(), n.tolist(), before.tolist(), strict=True)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(np.concatenate([*number, np.empty(0, np.int64)])), pa.array(bits, pa.binary()), pa.array(marks, pa.binary())], names=["k", "n", "bits", "marks"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(np.concatenate([*number, np.empty(0, np.int64)])), pa.array(bits, pa.binary()), pa.array(marks, pa.binary()), batch.column(2), batch.column(3)], names=["k", "n", "bits", "marks", "tie", "no_id"])
 
     return run
 
 
-BLOCKS = "shard int, block int, first long, doc_ids binary, n_tokens binary, bits binary, checkpoints binary"
+BLOCKS = "shard int, block int, first long, doc_ids binary, n_null int, n_tokens binary, bits binary, checkpoints binary"
 
 
 def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    names = ["shard", "block", "first", "doc_ids", "n_tokens", "bits", "checkpoints"]
-    kinds = [pa.int32(), pa.int32(), pa.int64(), *[pa.binary()] * 4]
-    keys, counts, bits, marks, size, block, first, shard = [], [], [], [], 0, 0, 0, None
+    names = ["shard", "block", "first", "doc_ids", "n_null", "n_tokens", "bits", "checkpoints"]
+    kinds = [pa.int32(), pa.int32(), pa.int64(), pa.binary(), pa.int32(), *[pa.binary()] * 3]
+    keys, counts, bits, marks, size, block, first, shard, nulls = [], [], [], [], 0, 0, 0, None, 0
 
     def closed() -> pa.RecordBatch:
-        row = (shard, block, first, np.array(keys, "<i8").tobytes(), np.array(counts, "<i8").tobytes(), b"".join(bits), b"".join(marks))
+        row = (shard, block, first, np.array(keys, "<i8").tobytes(), nulls, np.array(counts, "<i8").tobytes(), b"".join(bits), b"".join(marks))
         return pa.RecordBatch.from_arrays([pa.array([v], k) for v, k in zip(row, kinds, strict=True)], names=names)
 
     for batch in slices(batches):
-        for part, k, n, own, mark in zip(*(batch.column(c).to_pylist() for c in ("part", "k", "n", "bits", "marks")), strict=True):
+        for part, k, n, own, mark, no_id in zip(*(batch.column(c).to_pylist() for c in ("part", "k", "n", "bits", "marks", "no_id")), strict=True):
             if keys and (size >= BLOCK or part != shard):
                 yield closed()
                 first, block = (first + sum(counts), block + 1) if part == shard else (0, 0)
-                keys, counts, bits, marks, size = [], [], [], [], 0
+                keys, counts, bits, marks, size, nulls = [], [], [], [], 0, 0
             shard = part
+            nulls += no_id
             keys.append(k)
             counts.append(n)
             bits.append(own)
@@ -275,19 +276,20 @@ def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def write(docs: DataFrame, path: str | None = None, tokenizer: str | None = None) -> str:
     """Encode docs (doc_id, text; others are ignored) and write them to path (default: a new folder in the shared one); returns path.
 
-    Rows are in ascending doc_id order, null ids last, equal ids by text; null texts count as empty and give just the end id; an empty table gives no blocks. The ids are written once (2 bytes each) for the global counts; they are Huffman-coded where they lie and only the coded documents are dealt out by range.
+    Rows are in ascending doc_id order, null ids last, equal ids by the md5 of their text; null texts count as empty and give just the end id; an empty table gives no blocks. The ids are written once (2 bytes each) for the global counts; they are Huffman-coded where they lie and only the coded documents are dealt out by range.
     """
     spark = docs.sparkSession
     path = path or f"{shared_dir(spark)}/tokens-{uuid.uuid4().hex}"
-    rows = docs.select(order_key().alias("k"), F.col("text").cast("string").alias("text"))
-    raw = stored(rows.mapInArrow(_token_rows(tokenizer or tokenizer_path()), "k long, ids binary"), "ids", compression="zstd")
+    text = F.col("text").cast("string")
+    rows = docs.select(order_key().alias("k"), text.alias("text"), F.unhex(F.md5(F.coalesce(text, F.lit("")))).alias("tie"), F.col("doc_id").isNull().alias("no_id"))
+    raw = stored(rows.mapInArrow(_token_rows(tokenizer or tokenizer_path()), "k long, ids binary, tie binary, no_id boolean"), "ids", compression="zstd")
     counts = raw.select("ids").mapInArrow(_histogram, "id long, n long").groupBy("id").agg(F.sum("n").alias("n")).collect()  # a row for each id of the vocabulary
     total = np.zeros(max((r["id"] for r in counts), default=0) + 1, np.int64)
     for r in counts:
         total[r["id"]] = r["n"]
     lengths = code_lengths(total)
-    coded = raw.mapInArrow(_encoder(spark.sparkContext.broadcast(lengths)), "k long, n long, bits binary, marks binary")
-    dealt = in_ranges(coded, "k", bounds(raw, "k", parts(spark)), "n", "bits")
+    coded = raw.mapInArrow(_encoder(spark.sparkContext.broadcast(lengths)), "k long, n long, bits binary, marks binary, tie binary, no_id boolean")
+    dealt = in_ranges(coded, "k", bounds(raw, "k", parts(spark)), "no_id", "tie")
     dealt.mapInArrow(_blocks, BLOCKS).write.option("compression", "none").parquet(f"{path}/shards")
     spark.createDataFrame([(bytearray(lengths.tobytes()),)], "lengths binary").coalesce(1).write.parquet(f"{path}/code")
     return path
@@ -297,7 +299,7 @@ def _reader(lengths):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder = decode_table(lengths.value)
         for batch in slices(batches):
-            for shard, first, keys, n, bits, marks in zip(*(batch.column(c) for c in ("shard", "first", "doc_ids", "n_tokens", "bits", "checkpoints")), strict=True):
+            for shard, first, keys, nulls, n, bits, marks in zip(*(batch.column(c) for c in ("shard", "first", "doc_ids", "n_null", "n_tokens", "bits", "checkpoints")), strict=True):
                 keys, n = np.frombuffer(keys.as_py(), "<i8"), np.frombuffer(n.as_py(), "<i8")
                 offsets = np.frombuffer(marks.as_py(), "<i8")
                 stretches = (n + STRIDE - 1) // STRIDE
@@ -306,7 +308,7 @@ def _reader(lengths):
                 ids = decode(bits.as_py(), offsets, sizes, coder).astype("<u4").tobytes()
                 ends = np.cumsum(n)
                 raw = [ids[4 * a : 4 * b] for a, b in zip((ends - n).tolist(), ends.tolist(), strict=True)]
-                yield pa.RecordBatch.from_arrays([pa.array(keys), pa.array(np.full(len(n), shard.as_py(), np.int32)), pa.array(first.as_py() + ends - n), pa.array(n), pa.array(raw, pa.binary())], names=["k", "shard", "start", "n_tokens", "ids"])
+                yield pa.RecordBatch.from_arrays([pa.array(keys, mask=np.arange(len(n)) >= len(n) - nulls.as_py()), pa.array(np.full(len(n), shard.as_py(), np.int32)), pa.array(first.as_py() + ends - n), pa.array(n), pa.array(raw, pa.binary())], names=["k", "shard", "start", "n_tokens", "ids"])
 
     return run
 
@@ -332,7 +334,7 @@ def read(spark: SparkSession, path: str, digest: bool = False) -> DataFrame:
     else:
         docs = blocks.mapInArrow(run, "k long, shard int, start long, n_tokens long, ids binary")
     docs = docs.join(F.broadcast(spark.createDataFrame(offsets, "shard int, before long")), "shard")
-    return docs.select(F.when(F.col("k") != F.lit(2**63 - 1), F.col("k")).alias("doc_id"), (F.col("start") + F.col("before")).alias("start"), "n_tokens", docs.columns[4])
+    return docs.select(F.col("k").alias("doc_id"), (F.col("start") + F.col("before")).alias("start"), "n_tokens", docs.columns[4])
 
 
 def _shard_sizes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
