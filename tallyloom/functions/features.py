@@ -6,8 +6,19 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 #: Raw section label to label, and the weight of each label in a window's score.
-SECTIONS = {"intro": "Intro", "start": "Intro", "outro": "Outro", "end": "Outro", "break": "Break", "bridge": "Break", "inst": "Theme", "solo": "Theme", "verse": "Theme", "chorus": "Drop"}
-WEIGHTS = {"Final Drop": 5.0, "Drop": 4.0, "Build": 2.5, "Theme": 2.0, "Intro": 1.0, "Outro": 1.0, "Break": 1.0}
+SECTIONS = {
+    "intro": "Intro",
+    "outro": "Outro",
+    "break": "Break",
+    "bridge": "Break",
+    "inst": "Theme",
+    "solo": "Theme",
+    "verse": "Theme",
+    "chorus": "Drop",
+    "start": "Intro",
+    "end": "Outro",
+}
+WEIGHTS = {"Final Drop": 5.0, "Drop": 4.0, "Build": 2.5, "Theme": 2.0, "Intro": 1.0, "Break": 1.0, "Outro": 1.0}
 
 
 def lookup(values: dict, key: Column, default: object) -> Column:

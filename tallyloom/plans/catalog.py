@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -297,7 +298,7 @@ def snap_nearest(spark, d):
     return found.where("event_type = 'purchase'").select("event_id", F.coalesce("next", "at").alias("snapped"))
 
 
-@query("""WITH a AS (SELECT event_id, event_type, epoch_us(ts) AS at FROM events) SELECT event_id, min(v) AS next FROM (SELECT event_id, at, min(CASE WHEN event_type = 'view' THEN at END) OVER (ORDER BY at ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS v FROM a) WHERE v - at <= 3600000000 GROUP BY event_id""")
+@query("""WITH a AS (SELECT event_id, event_type, epoch_us(ts) AS us FROM events) SELECT event_id, v AS next FROM (SELECT event_id, us, min(CASE WHEN event_type = 'view' THEN us END) OVER (ORDER BY us RANGE BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS v FROM a) WHERE v - us <= 3600000000""")
 def next_scan(spark, d):
     # the next view by anybody within an hour: one key for all events
     rows = t(spark, d, "events").select("event_id", F.lit(0).alias("one"), "event_type", micros("ts").alias("at"))
@@ -648,56 +649,62 @@ def key_threshold(spark, d):
     return t(spark, d, "customer").select("c_custkey", features.key_above(F.col("c_mktsegment"), scale, F.col("c_acctbal") / 10000, 0.65).alias("keyscale"))
 
 
-class Answers:
-    """A classifier that answers by the sample's number: every third of five inconsistently, every fourth never."""
+#: Labels as recorded answers of a classifier: low quality is told with an action that doesn't fit, no label is no answer.
+HEARD = "CASE WHEN toxic = 1 THEN 'lyrics' ELSE 'instrumental' END"
 
-    def __call__(self, row: dict) -> dict:
-        n = int(row["sample_id"]) % 5
-        if n == 3:
-            raise adapters.Rejected(400, "bad request")
-        return {"vocal_status": "lyrics" if n else "instrumental", "recommended_action": "separate_vocals" if n == 1 else "keep_original", "lyrics_prominence": 0.5, "reason": "heard"}
 
-
-@query("""SELECT doc_id, CASE WHEN doc_id % 5 IN (0, 1) THEN 'complete' ELSE 'failed' END AS status, CASE doc_id % 5 WHEN 0 THEN 'instrumental' WHEN 1 THEN 'lyrics' END AS vocal_status, CASE WHEN doc_id % 5 IN (2, 4) THEN 'validation:inconsistent_action' WHEN doc_id % 5 = 3 THEN '400 bad request' END AS error, CASE WHEN doc_id % 5 IN (2, 4) THEN 2 ELSE 1 END AS attempts
-  FROM documents WHERE n_chars >= 200""")
+@query(f"""SELECT d.doc_id, CASE WHEN quality = 1 THEN 'complete' ELSE 'failed' END AS status, CASE WHEN quality = 1 THEN {HEARD} END AS vocal_status, CASE WHEN l.doc_id IS NULL THEN '404 no recorded answer' WHEN quality = 0 THEN 'validation:inconsistent_action' END AS error, CASE WHEN quality = 0 THEN 2 ELSE 1 END AS attempts,
+  'recorded' AS model, CASE WHEN quality = 1 THEN CAST(n_chars AS BIGINT) END AS used, true AS dated FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id WHERE n_chars >= 200""")
 def classify_stage(spark, d):
-    audio = t(spark, d, "documents").select("doc_id", F.col("doc_id").cast("string").alias("sample_id"), (F.col("n_chars") >= 200).alias("audio_valid"))
-    out = stages.classify(audio, Answers, f"{shared_dir(spark)}/classified", attempts=2, sleep=lambda seconds: None)
-    return out.select("doc_id", F.col("classification_status").alias("status"), "vocal_status", F.col("classification_error").alias("error"), F.col("classification_attempts").alias("attempts"))
-
-
-class Cutter:
-    """A renderer that gives what was asked for, in mono for every seventh sample."""
+    toxic, good = F.col("toxic") == 1, F.col("quality") == 1
+    action = F.when(good == toxic, "separate_vocals").otherwise("keep_original")
+    answer = F.to_json(F.struct(F.when(toxic, "lyrics").otherwise("instrumental").alias("vocal_status"), action.alias("recommended_action"), F.lit(0.5).alias("lyrics_prominence"), F.lit("heard").alias("reason"), F.struct(F.col("n_chars").alias("tokens")).alias("usage")))
+    rows = t(spark, d, "documents").select("doc_id", "n_chars").join(t(spark, d, "labels"), "doc_id", "left")
+    audio = rows.select("doc_id", F.col("doc_id").cast("string").alias("sample_id"), (F.col("n_chars") >= 200).alias("audio_valid"), F.when(F.col("toxic").isNotNull(), answer).alias("recorded"))
+    out = stages.classify(audio, lambda: adapters.Recorded("recorded"), f"{shared_dir(spark)}/classified-{uuid.uuid4().hex}", attempts=2, sleep=lambda seconds: None, model="recorded")
+    used = F.get_json_object("classification_usage", "$.tokens").cast("long")
+    return out.select("doc_id", F.col("classification_status").alias("status"), "vocal_status", F.col("classification_error").alias("error"), F.col("classification_attempts").alias("attempts"), F.col("classification_model").alias("model"), used.alias("used"), F.col("classified_at").rlike(r"^[0-9]{4}-[0-9]{2}-[0-9]{2}T.*\+00:00$").alias("dated"))
 
-    def __call__(self, row: dict) -> dict:
-        return {"duration": row["trim_end"] - row["trim_start"], "sample_rate": 48000, "channels": 1 if int(row["sample_id"]) % 7 == 0 else 2}
 
-
-BUILT = """WITH s AS (SELECT doc_id, n_chars / 10.0 AS duration, md5(text) AS raw_path FROM documents WHERE n_chars >= 300), g AS (SELECT raw_path AS g, count(*) AS n FROM s GROUP BY 1),
+BUILT = """WITH s AS (SELECT doc_id, n_chars / 10.0 AS duration, CASE WHEN doc_id % 3 > 0 THEN md5(text) END AS raw_path, coalesce(l.quality = 0, false) AS mono FROM documents d LEFT JOIN labels l USING (doc_id) WHERE n_chars >= 300), p AS (SELECT coalesce(raw_path, CAST(doc_id AS VARCHAR)) AS g, * FROM s), g AS (SELECT g, count(*) AS n FROM p GROUP BY 1),
   o AS (SELECT g, coalesce(sum(n) OVER (ORDER BY sha256('42|' || g), g ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before FROM g),
-  r AS (SELECT doc_id, duration, CASE WHEN before < (SELECT round_even(count(*) * 0.15, 0) FROM s) THEN 'validation' ELSE 'train' END AS split, CASE WHEN duration > 240 THEN 'overlength_audio_has_no_downbeats' WHEN doc_id % 7 = 0 THEN 'output_format_mismatch' END AS reason FROM s JOIN o ON raw_path = g)"""
+  r AS (SELECT doc_id, duration, CASE WHEN before < (SELECT round_even(count(*) * 0.15, 0) FROM s) THEN 'validation' ELSE 'train' END AS split, CASE WHEN duration > 240 THEN 'overlength_audio_has_no_downbeats' WHEN mono THEN 'output_format_mismatch' END AS reason FROM p JOIN o USING (g))"""
 
 
-def built(spark, d) -> stages.Build:
+def built(spark, d, annotated_only: str = "true") -> stages.Build:
+    """Built from documents; labels say what a renderer answered: low quality came out in mono."""
     sid = F.col("doc_id").cast("string").alias("sample_id")
-    docs = t(spark, d, "documents").where("n_chars >= 300")
-    training = docs.select(sid, sid.alias("record_key"), (F.col("n_chars") / 10.0).alias("duration"), F.md5("text").alias("raw_path"), F.lit("accepted").alias("quality_status"))
+    docs = t(spark, d, "documents").where("n_chars >= 300").join(t(spark, d, "labels").select("doc_id", "quality"), "doc_id", "left")
+    rendered = F.to_json(F.struct((F.col("n_chars") / 10.0).alias("duration"), F.lit(48000).alias("sample_rate"), F.when(F.coalesce(F.col("quality") == 0, F.lit(False)), 1).otherwise(2).alias("channels")))
+    training = docs.select(sid, sid.alias("record_key"), (F.col("n_chars") / 10.0).alias("duration"), F.when(F.col("doc_id") % 3 > 0, F.md5("text")).alias("raw_path"), F.lit("accepted").alias("quality_status"), rendered.alias("rendered"))
     texts = F.array(*(F.struct(F.lit(k).alias("type"), F.lit(k).alias("text")) for k in annotation.VARIANTS))
-    annotated = docs.select(sid, F.lit("accepted").alias("annotation_status"), F.struct(F.lit("full").alias("canonical_caption"), texts.alias("caption_variants")).alias("annotation"))
+    annotated = docs.where(annotated_only).select(sid, F.lit("accepted").alias("annotation_status"), F.struct(F.lit("full").alias("canonical_caption"), texts.alias("caption_variants")).alias("annotation"))
     sections = F.array(F.struct(F.lit("Intro").alias("label"), F.lit("intro").alias("raw_label"), F.lit(0.0).alias("start"), F.lit(20.0).alias("end")))
     mir = docs.select(sid, F.lit("complete").alias("analysis_status"), F.lit(120).alias("bpm"), F.lit("").alias("keyscale"), F.lit(None).cast("string").alias("timesignature"), F.array().cast("array<double>").alias("downbeats"), sections.alias("sections"))
-    return stages.build(training, annotated, mir, Cutter, f"{shared_dir(spark)}/built")
+    return stages.build(training, annotated, mir, lambda: adapters.Recorded("rendered"), f"{shared_dir(spark)}/built-{uuid.uuid4().hex}")
 
 
-@query(f"""{BUILT} SELECT doc_id, split, duration AS final_duration, false AS trimmed, '[Intro]' || chr(10) || '[Instrumental]' || chr(10) AS lyrics FROM r WHERE reason IS NULL""")
+@query(f"""{BUILT} SELECT doc_id, split, duration AS final_duration, false AS trimmed, '[Intro]' || chr(10) || '[Instrumental]' || chr(10) AS lyrics, 'data/final_dataset/' || split || '/' || doc_id || '.lyrics.txt' AS path, 'instrumental' AS language, '120' AS bpm, 'full' AS caption,
+  '["full","composition","production","tags"]' AS variants FROM r WHERE reason IS NULL""")
 def build_records(spark, d):
-    return built(spark, d).records.select(F.col("sample_id").cast("long").alias("doc_id"), "split", "final_duration", "trimmed", "lyrics")
+    field = lambda name: F.get_json_object("document", f"$.{name}")
+    return built(spark, d).records.select(F.col("sample_id").cast("long").alias("doc_id"), "split", "final_duration", "trimmed", "lyrics", F.col("final_lyrics_path").alias("path"), field("language").alias("language"), field("bpm").alias("bpm"), field("master_annotation.canonical_caption").alias("caption"), field("caption_variants").alias("variants"))
 
 
-@query(f"""{BUILT} SELECT count(*) AS input_records, count(*) FILTER (reason IS NULL) AS validated_records, count(*) FILTER (reason IS NULL AND split = 'train') AS train_records, count(*) FILTER (reason IS NULL AND split = 'validation') AS validation_records, count(*) FILTER (reason IS NOT NULL) AS n_errors,
-  CASE WHEN count(*) FILTER (reason IS NOT NULL) = 0 THEN 'pass' ELSE 'failed' END AS status, (SELECT CAST(sum(n - 1) AS BIGINT) FROM g) AS shared_audio_records_preserved, false AS deduplication_performed FROM r""")
+@query(f"""WITH RECURSIVE {BUILT.removeprefix("WITH ")}, w AS (SELECT CAST(round(duration * 1000) AS BIGINT) AS w, row_number() OVER (ORDER BY round(duration * 1000) DESC, CAST(doc_id AS VARCHAR)) AS i FROM r WHERE reason IS NULL AND split = 'train'),
+  f AS (SELECT CAST(0 AS BIGINT) AS i, CAST(0 AS BIGINT) AS a, CAST(0 AS BIGINT) AS b UNION ALL SELECT w.i, f.a + CASE WHEN f.a <= f.b THEN w.w ELSE 0 END, f.b + CASE WHEN f.a <= f.b THEN 0 ELSE w.w END FROM f JOIN w ON w.i = f.i + 1)
+  SELECT count(*) AS input_records, count(*) FILTER (reason IS NULL) AS validated_records, count(*) FILTER (reason IS NULL AND split = 'train') AS train_records, count(*) FILTER (reason IS NULL AND split = 'validation') AS validation_records, count(*) FILTER (reason IS NOT NULL) AS n_errors,
+  CASE WHEN count(*) FILTER (reason IS NOT NULL) = 0 THEN 'pass' ELSE 'failed' END AS status, (SELECT CAST(sum(n - 1) AS BIGINT) FROM (SELECT count(*) AS n FROM s GROUP BY raw_path)) AS shared_audio_records_preserved, false AS deduplication_performed,
+  (SELECT round(max(a) / 3600000.0, 3) FROM f) AS part0_hours, (SELECT round(max(b) / 3600000.0, 3) FROM f) AS part1_hours FROM r""")
 def build_report(spark, d):
-    return built(spark, d).report.select("input_records", "validated_records", "train_records", "validation_records", "n_errors", "status", "shared_audio_records_preserved", "deduplication_performed")
+    return built(spark, d).report.select("input_records", "validated_records", "train_records", "validation_records", "n_errors", "status", "shared_audio_records_preserved", "deduplication_performed", "part0_hours", "part1_hours")
+
+
+@query("""SELECT CAST(d.doc_id AS VARCHAR) AS sample_id, CAST(d.doc_id AS VARCHAR) AS record_key, 'annotation_missing' AS reason, 'preflight_failed' AS status FROM documents d LEFT JOIN labels l USING (doc_id) WHERE n_chars >= 300 AND l.quality IS NULL""")
+def build_preflight(spark, d):
+    # samples without a label have no annotation: nothing is built
+    out = built(spark, d, "quality IS NOT NULL")
+    return out.errors.withColumn("status", F.lit(out.report.first()["status"]))
 
 
 @query("SELECT conv_id, turn, CASE WHEN l.doc_id IS NULL THEN NULL ELSE l.toxic END AS toxic, l.doc_id IS NULL AS to_do FROM conversations c LEFT JOIN (SELECT * FROM labels WHERE quality = 1) l ON c.conv_id = l.doc_id")

@@ -6,6 +6,7 @@ A stage takes manifests and a folder in which it keeps what an adapter answered
 from __future__ import annotations
 
 import json
+import time
 from collections.abc import Callable
 from dataclasses import dataclass
 from functools import reduce
@@ -16,7 +17,7 @@ from pyspark.sql import functions as F
 from tallyloom.functions import annotation, features, nulls
 from tallyloom.operators import adapters, balance, folds, gates, intervals, resume
 from tallyloom.plans.curation import consistent
-from tallyloom.sources import sinks
+from tallyloom.sources import sinks, versions
 
 ANSWER = "vocal_status string, lyrics_prominence double, recommended_action string, reason string"
 
@@ -25,48 +26,87 @@ def kept(df: DataFrame, folder: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(sinks.write_manifest(df, folder))
 
 
-def asked(rows: DataFrame, tiers: list[Callable[[], adapters.Client]], judge: Callable[[DataFrame], Column], answer: str, folder: str, attempts: int = 5, sleep: Callable[[float], None] | None = None) -> DataFrame:
-    """rows (unique by sample_id) with answer (struct, null if there is none), error, tier (from 0) and attempts.
+#: What is kept of each row between rounds: how far it came, when it may be asked again and what it was last told.
+SCHEDULE = "sample_id string, tier int, tried int, attempts int, not_before double, status string, error string, result string, asked_at double"
+
+
+def asked(rows: DataFrame, tiers: list[Callable[[], adapters.Client]], judge: Callable[[DataFrame], Column], answer: str, folder: str, attempts: int = 5, sleep: Callable[[float], None] | None = None, clock: Callable[[], float] = time.time, calls: int | None = None, name: str = "asked") -> DataFrame:
+    """rows (unique by sample_id) with answer (struct, null if there is none), error, tier (from 0), attempts and asked_at (seconds).
 
     Each tier of clients is asked up to attempts times for the rows that have no good answer yet; judge gives the codes of what is wrong with an answer (a column over the row and answer), none for a good one. Status codes that can't be retried end a tier for a row. Of bad answers the last is kept with its codes.
+
+    A row is asked in rounds. After a failure that can be retried it rests for min(60, 2**n + a fraction of a) second(s), n being its attempts in the tier; others that are due are asked meanwhile, and no task waits. The schedule is a table (SCHEDULE, versions under folder), committed after each round: a run that was lost goes on with its answers, attempts and pauses. A run that ended leaves no schedule, so the next one begins anew. calls: the most rows that are asked at a time.
     """
-    none = F.lit(None).cast("string")
-    done, left = [], rows.withColumns({"answer": F.from_json(none, answer), "error": none, "tier": F.lit(0), "attempts": F.lit(0)})
-    for number, factory in enumerate(tiers):
-        closed = None
-        for _ in range(attempts):
-            if left.isEmpty():
-                break
-            own = left.drop("answer", "error", "tier", "attempts")
-            told = adapters.adapted(own, factory, "sample_id", 1, sleep).withColumnsRenamed({"error": "_error"}).drop("attempts")
-            both = left.join(told, "sample_id")
-            now = F.from_json("result", answer)
-            both = both.withColumns({"answer": F.coalesce(now, "answer"), "tier": F.lit(number), "attempts": F.col("attempts") + 1, "_new": now.isNotNull()})
-            both = both.withColumn("_codes", F.when(F.col("_new"), judge(both)).otherwise(F.array().cast("array<string>")))
-            good = F.col("_new") & (F.size("_codes") == 0)
-            error = F.when(F.col("_error").isNotNull(), F.col("_error")).when(~F.col("_new"), "answer_without_fields").when(~good, F.concat(F.lit("validation:"), F.array_join("_codes", ",")))
-            final = F.coalesce(F.col("_error").rlike(r"^[0-9]{3}\b") & ~F.substring("_error", 1, 3).isin(*map(str, features.RETRYABLE)), F.lit(False))
-            both = kept(both.withColumns({"error": error, "_good": good, "_final": final}).drop("result", "_error", "_new", "_codes"), folder)
-            done.append(both.where("_good").drop("_good", "_final"))
-            stop = both.where("NOT _good AND _final").drop("_good", "_final")
-            closed = stop if closed is None else closed.unionByName(stop)
-            left = both.where("NOT _good AND NOT _final").drop("_good", "_final")
-        left = left if closed is None else left.unionByName(closed)
-    return reduce(DataFrame.unionByName, [*done, left])
-
-
-def classify(audio: DataFrame, factory: Callable[[], adapters.Client], folder: str, done: DataFrame | None = None, limit: int | None = None, attempts: int = 5, sleep: Callable[[float], None] | None = None) -> DataFrame:
-    """The classification manifest: done, upserted with an answer or a failure for each valid sample of audio that isn't complete in done (the first limit by sample_id, if given). Run again with its own result, it asks for failures alone."""
+    spark = rows.sparkSession
+    log = versions.Versions(spark, f"{folder}/schedule-{name}")
+    known = log.read()
+    blank = {"tier": 0, "tried": 0, "attempts": 0, "not_before": 0.0, "status": "open", "error": None, "result": None, "asked_at": None}
+    kinds = dict(x.split(" ") for x in SCHEDULE.split(", "))
+    state = rows.select(F.col("sample_id").cast("string").alias("sample_id"))
+    if known is not None and not known.where("status = 'open'").isEmpty():
+        state = state.join(known, "sample_id", "left")
+        state = state.select("sample_id", *(F.coalesce(F.col(c), F.lit(v)).cast(kinds[c]).alias(c) for c, v in blank.items()))
+    else:
+        state = state.select("sample_id", *(F.lit(v).cast(kinds[c]).alias(c) for c, v in blank.items()))
+    at = log.commit(state)
+    while True:
+        state = log.read(at)
+        first = state.where("status = 'open'").agg(F.min("not_before").alias("t"), F.collect_set("tier").alias("tiers")).first()
+        if first["t"] is None:
+            break
+        now = clock()
+        if first["t"] > now:
+            (sleep or time.sleep)(first["t"] - now)
+            now = max(clock(), first["t"])
+        due = state.where((F.col("status") == "open") & (F.col("not_before") <= now))
+        told = []
+        for number in sorted(first["tiers"]):
+            own = rows.join(due.where(F.col("tier") == number).select("sample_id"), "sample_id", "left_semi")
+            told.append(adapters.adapted(own if calls is None else own.coalesce(calls), tiers[number], "sample_id", 1).select("sample_id", F.col("result").alias("_result"), F.col("error").alias("_error")))
+        # answers are written before anything branches: a client is called once
+        told = kept(reduce(DataFrame.unionByName, told), folder)
+        both = rows.join(told, "sample_id").withColumn("answer", F.from_json("_result", answer))
+        codes = both.select("sample_id", "_result", "_error", F.col("answer").isNotNull().alias("_there"), F.when(F.col("answer").isNotNull(), judge(both)).otherwise(F.array().cast("array<string>")).alias("_codes"))
+        good = F.col("_there") & (F.size("_codes") == 0)
+        error = F.when(F.col("_error").isNotNull(), F.col("_error")).when(~F.col("_there"), "answer_without_fields").when(~good, F.concat(F.lit("validation:"), F.array_join("_codes", ",")))
+        final = F.coalesce(F.col("_error").rlike(r"^[0-9]{3}\b") & ~F.substring("_error", 1, 3).isin(*map(str, features.RETRYABLE)), F.lit(False))
+        tried = F.col("tried") + 1
+        up = final | (tried >= attempts)
+        jitter = F.pmod(F.xxhash64("sample_id", "attempts"), F.lit(1000)) / 1000
+        after = due.join(codes, "sample_id").select(
+            "sample_id",
+            F.when(~good & up & (F.col("tier") < len(tiers) - 1), F.col("tier") + 1).otherwise(F.col("tier")).cast("int").alias("tier"),
+            F.when(up, 0).otherwise(tried).cast("int").alias("tried"),
+            (F.col("attempts") + 1).cast("int").alias("attempts"),
+            F.when(up, F.lit(float(now))).otherwise(now + features.backoff_seconds(tried, jitter)).alias("not_before"),
+            F.when(good, "good").when(up & (F.col("tier") == len(tiers) - 1), "closed").otherwise("open").alias("status"),
+            error.alias("error"),
+            F.when(F.col("_there"), F.col("_result")).otherwise(F.col("result")).alias("result"),
+            F.lit(float(now)).alias("asked_at"),
+        )
+        at = log.commit(resume.upsert(state, after, ["sample_id"]), at)
+    out = kept(rows.join(log.read(at).select("sample_id", F.from_json("result", answer).alias("answer"), "error", "tier", "attempts", "asked_at"), "sample_id"), folder)
+    log.clean(0)
+    return out
+
+
+def _instant(seconds: Column) -> Column:
+    """Seconds as an ISO text in UTC."""
+    return F.date_format(F.to_utc_timestamp(F.timestamp_micros((seconds * 1_000_000).cast("long")), F.current_timezone()), "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'+00:00'")
+
+
+def classify(audio: DataFrame, factory: Callable[[], adapters.Client], folder: str, done: DataFrame | None = None, limit: int | None = None, attempts: int = 5, sleep: Callable[[float], None] | None = None, model: str = "", effort: str = "minimal", clock: Callable[[], float] = time.time, calls: int | None = None) -> DataFrame:
+    """The classification manifest (with the model, its effort, the usage its answer tells and when it was asked): done, upserted with an answer or a failure for each valid sample of audio that isn't complete in done (the first limit by sample_id, if given). Run again with its own result, it asks for failures alone."""
     todo = audio.where(nulls.truthy(F.col("audio_valid")))
     if done is not None:
         todo = resume.pending(todo, done.where("classification_status = 'complete'"), ["sample_id"])
     if limit is not None:
         todo = resume.first_n(todo, limit, "sample_id")
     judge = lambda df: consistent(df["answer.vocal_status"], df["answer.recommended_action"], df["answer.lyrics_prominence"], df["answer.reason"])
-    out = asked(todo.drop("vocal_status", "lyrics_prominence", "recommended_action"), [factory], judge, ANSWER, folder, attempts, sleep)
+    out = asked(todo.drop("vocal_status", "lyrics_prominence", "recommended_action"), [factory], judge, f"{ANSWER}, usage string", folder, attempts, sleep, clock, calls, "classify")
     failed = F.col("error").isNotNull()
     answers = {c: F.when(~failed, F.col(f"answer.{c}")) for c in ("vocal_status", "lyrics_prominence", "recommended_action", "reason")}
-    out = out.withColumns(answers | {"classification_status": F.when(failed, "failed").otherwise("complete"), "classification_error": F.col("error"), "classification_attempts": F.col("attempts")}).drop("answer", "error", "tier", "attempts")
+    out = out.withColumns(answers | {"classification_status": F.when(failed, "failed").otherwise("complete"), "classification_error": F.col("error"), "classification_attempts": F.col("attempts"), "classification_model": F.lit(model), "classification_reasoning_effort": F.lit(effort), "classification_usage": F.when(~failed, F.col("answer.usage")), "classified_at": _instant(F.col("asked_at"))}).drop("answer", "error", "tier", "attempts", "asked_at")
     return out if done is None else resume.upsert(done, out, ["sample_id"])
 
 
@@ -85,8 +125,8 @@ def windowed(rows: DataFrame, mir: DataFrame, longest: float = LONGEST) -> DataF
     return both.withColumn("window", window).drop("_best")
 
 
-def annotate(training: DataFrame, mir: DataFrame, taxonomy: dict[str, list[str]], tiers: list[Callable[[], adapters.Client]], folder: str, instruction: str = "", done: DataFrame | None = None, limit: int | None = None, attempts: int = 5, sleep: Callable[[float], None] | None = None) -> DataFrame:
-    """The annotation manifest: done, upserted with an accepted annotation or a case for manual review for each accepted sample that isn't accepted in done. A tier's client sees the row with its prompt; a sample without features or window isn't asked for."""
+def annotate(training: DataFrame, mir: DataFrame, taxonomy: dict[str, list[str]], tiers: list[Callable[[], adapters.Client]], folder: str, instruction: str = "", done: DataFrame | None = None, limit: int | None = None, attempts: int = 5, sleep: Callable[[float], None] | None = None, model: str = "", clock: Callable[[], float] = time.time, calls: int | None = None) -> DataFrame:
+    """The annotation manifest (with the model, the usage its answer tells and when it was asked): done, upserted with an accepted annotation or a case for manual review for each accepted sample that isn't accepted in done. A tier's client sees the row with its prompt; a sample without features or window isn't asked for."""
     todo = training.where("quality_status = 'accepted'")
     if done is not None:
         todo = resume.pending(todo, done.where("annotation_status = 'accepted'"), ["sample_id"])
@@ -105,9 +145,9 @@ def annotate(training: DataFrame, mir: DataFrame, taxonomy: dict[str, list[str]]
         unsure = F.coalesce(df["answer.annotation_confidence"], F.lit(0.0)) < annotation.ACCEPTED
         return F.when((F.size(codes) == 0) & unsure, F.array(F.lit("low_confidence"))).otherwise(codes)
 
-    out = asked(rows.where("_before IS NULL").drop("_before"), tiers, judge, annotation.RESULT, folder, attempts, sleep).drop("prompt")
+    out = asked(rows.where("_before IS NULL").drop("_before"), tiers, judge, f"{annotation.RESULT}, usage string", folder, attempts, sleep, clock, calls, "annotate").drop("prompt")
     effort = F.element_at(F.array(*(F.lit(EFFORTS[min(i, len(EFFORTS) - 1)]) for i in range(len(tiers)))), F.col("tier") + 1)
-    out = out.withColumns({"annotation_status": F.when(F.col("error").isNull(), "accepted").otherwise("manual_review"), "annotation_error": F.col("error"), "annotation_reasoning_effort": effort, "annotation": F.col("answer")}).drop("answer", "error", "tier", "attempts")
+    out = out.withColumns({"annotation_status": F.when(F.col("error").isNull(), "accepted").otherwise("manual_review"), "annotation_error": F.col("error"), "annotation_reasoning_effort": effort, "annotation": F.col("answer").dropFields("usage"), "annotation_model": F.lit(model), "annotation_usage": F.col("answer.usage"), "annotated_at": _instant(F.col("asked_at"))}).drop("answer", "error", "tier", "attempts", "asked_at")
     stopped = rows.where("_before IS NOT NULL").withColumn("annotation_status", F.lit("manual_review")).withColumnRenamed("_before", "annotation_error").drop("prompt")
     out = out.unionByName(stopped, allowMissingColumns=True)
     return out if done is None else resume.upsert(done, out, ["sample_id"])
@@ -142,12 +182,18 @@ def preflight(training: DataFrame, annotated: DataFrame, mir: DataFrame) -> Data
     return rows.select("sample_id", gates.first_failure([(F.col("_a").isNull(), "annotation_missing"), (F.col("_m").isNull(), "mir_missing")]).alias("reason")).where("reason IS NOT NULL")
 
 
-def build(training: DataFrame, annotated: DataFrame, mir: DataFrame, render: Callable[[], adapters.Client], folder: str, longest: float = LONGEST, ratio: float = 0.15, seed: int = 42) -> Build:
+def build(training: DataFrame, annotated: DataFrame, mir: DataFrame, render: Callable[[], adapters.Client], folder: str, longest: float = LONGEST, ratio: float = 0.15, seed: int = 42, root: str = "data/final_dataset") -> Build:
     """The final data set: windows, group-safe split, rendered audio, documents, lyrics and two balanced parts of the training split.
 
-    render's client sees the row with trim_start and trim_end and gives duration, sample_rate and channels of the file that it wrote. Samples whose preflight fails aren't there: see preflight().
+    render's client sees the row with trim_start and trim_end and gives duration, sample_rate and channels of the file that it wrote. Nothing is built before all accepted samples have an annotation and features: otherwise the errors are those of preflight(), there are no records, and the report's status is preflight_failed. final_audio_path, final_json_path and final_lyrics_path are where a sample's files belong, below root.
     """
     source = training.where("quality_status = 'accepted'")
+    missing = kept(preflight(training, annotated, mir), folder)
+    if not missing.isEmpty():
+        none = source.limit(0).withColumns({"split": F.lit(""), "part": F.lit(0), "trimmed": F.lit(False), "final_duration": F.lit(0.0)})
+        key = F.col("record_key") if "record_key" in source.columns else F.lit(None).cast("string")
+        errors = missing.join(source.select("sample_id", key.alias("record_key")), "sample_id").select("sample_id", "record_key", "reason")
+        return Build(none, errors, build_report(source, none, errors).withColumn("status", F.lit("preflight_failed")))
     groups = [c for c in ("raw_path", "video_id", "sample_id") if c in source.columns]
     rows = windowed(folds.group_split(source, groups, ratio, seed), mir, longest)
     rows = rows.join(annotated.where("annotation_status = 'accepted'").select("sample_id", "annotation"), "sample_id")
@@ -166,18 +212,20 @@ def build(training: DataFrame, annotated: DataFrame, mir: DataFrame, render: Cal
     labels = features.window_labels(F.coalesce("mir.sections", F.array().cast("array<struct<label:string,raw_label:string,start:double,end:double>>")), F.col("trim_start"), F.col("trim_end"))
     both = kept(both.withColumns({"reason": reason, "lyrics": features.lyrics(labels), "final_duration": F.round(length, 3), "trimmed": features.trimmed(F.col("trim_start"), F.col("trim_end"), F.col("duration"))}), folder)
     good = both.where("reason IS NULL")
-    documents = sinks.sidecars(good.select("sample_id", F.col("annotation.canonical_caption").alias("caption"), F.col("annotation.caption_variants").alias("caption_variants"), *(F.col(f"mir.{c}").alias(c) for c in ("bpm", "keyscale", "timesignature"))))
+    documents = sinks.sidecars(good.select("sample_id", F.col("annotation.canonical_caption").alias("caption"), F.col("annotation.caption_variants").alias("caption_variants"), F.lit("instrumental").alias("language"), F.col("annotation").alias("master_annotation"), *(F.col(f"mir.{c}").alias(c) for c in ("bpm", "keyscale", "timesignature"))))
     good = kept(good.join(documents, "sample_id"), folder)
     train = balance.balanced(good.where("split = 'train'").select("sample_id", "final_duration", F.lit(0).alias("_all")), ["_all"], "final_duration", "sample_id", 0.001).select("sample_id", "part")
-    records = kept(good.join(train, "sample_id", "left").drop("out", "_error", "reason").withColumn("validation_status", F.lit("pass")), folder)
+    paths = {f"final_{kind}_path": F.concat(F.lit(f"{root.rstrip('/')}/"), F.col("split"), F.lit("/"), F.col("sample_id"), F.lit(ending)) for kind, ending in zip(("audio", "json", "lyrics"), sinks.TRIPLET, strict=True)}
+    records = kept(good.join(train, "sample_id", "left").drop("out", "_error", "reason").withColumns(paths | {"validation_status": F.lit("pass")}), folder)
     key = F.col("record_key") if "record_key" in both.columns else F.lit(None).cast("string")
     errors = both.where("reason IS NOT NULL").select("sample_id", key.alias("record_key"), "reason")
-    return Build(records, errors, build_report(source, records, errors, groups))
+    return Build(records, errors, build_report(source, records, errors))
 
 
-def build_report(source: DataFrame, records: DataFrame, errors: DataFrame, groups: list[str]) -> DataFrame:
-    """One row of the build's counts, its hours by part and its status: pass if every accepted sample is in it."""
-    shared = source.groupBy(nulls.first_truthy(*(F.col(c).cast("string") for c in groups)).alias("g")).agg(F.count("*").alias("n"))
+def build_report(source: DataFrame, records: DataFrame, errors: DataFrame) -> DataFrame:
+    """One row of the build's counts, its hours by part and its status: pass if every accepted sample is in it. Samples share their audio if they have the same raw_path, or without one the same video_id; all that have neither count as one group."""
+    groups = [F.col(c).cast("string") for c in ("raw_path", "video_id") if c in source.columns]
+    shared = source.groupBy((nulls.first_truthy(*groups) if groups else F.lit(None)).alias("g")).agg(F.count("*").alias("n"))
     one = F.lit(1).alias("one")
     hours = lambda p: F.round(F.coalesce(F.sum(F.when(F.col("part") == p, F.col("final_duration"))), F.lit(0.0)) / 3600, 3).alias(f"part{p}_hours")
     sides = [

@@ -91,10 +91,12 @@ def dataset_index(df: DataFrame, key: str, fields: list[str]) -> DataFrame:
 
 
 def sidecars(df: DataFrame, caption: str = "caption", variants: str = "caption_variants") -> DataFrame:
-    """sample_id, document: caption, its variants in fixed order and optional fields; missing or empty optional fields are left out."""
+    """sample_id, document: caption, its variants in fixed order and optional fields with their own types; missing or empty optional fields are left out."""
     order = ("full", "composition", "production", "tags")
     by_kind = F.map_from_entries(F.transform(variants, lambda v: F.struct(v["type"], v["text"])))
-    optional = [F.nullif(F.col(c).cast("string"), F.lit("")).alias(c) for c in ("bpm", "keyscale", "timesignature") if c in df.columns]
+    kinds = {f.name: f.dataType for f in df.schema}
+    own = lambda c: F.nullif(F.col(c), F.lit("")) if isinstance(kinds[c], T.StringType) else F.col(c)
+    optional = [own(c).alias(c) for c in ("language", "master_annotation", "bpm", "keyscale", "timesignature") if c in df.columns]
     return df.select("sample_id", F.to_json(F.struct(F.col(caption).alias("caption"), F.array(*(F.try_element_at(by_kind, F.lit(k)) for k in order)).alias("caption_variants"), *optional)).alias("document"))
 
 

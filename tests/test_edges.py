@@ -75,6 +75,17 @@ def test_adapter_rows_and_errors(spark):
     assert got["a"] == ('{"v": "A"}', None, 1) and got["bad"][1:] == ("ValueError: no", 2)
 
 
+class FakeClient:
+    """Answers from a function of the row and counts its calls."""
+
+    def __init__(self, answer):
+        self.answer, self.calls = answer, 0
+
+    def __call__(self, row):
+        self.calls += 1
+        return self.answer(row)
+
+
 def test_retries():
     codes = iter([429, 500])
 
@@ -85,7 +96,7 @@ def test_retries():
         return {"ok": 1}
 
     assert adapters.retried(call, {}, sleep=lambda s: None) == ({"ok": 1}, None, 3)
-    client = adapters.FakeClient(lambda row: (_ for _ in ()).throw(adapters.Rejected(400)))
+    client = FakeClient(lambda row: (_ for _ in ()).throw(adapters.Rejected(400)))
     assert adapters.retried(client, {}, sleep=lambda s: None)[2] == 1 and client.calls == 1
     bad = adapters.escalated([lambda r: {"t": 0}, lambda r: {"t": 1}], {}, valid=lambda r: [] if r["t"] else ["short"], sleep=lambda s: None)
     assert bad == ({"t": 1}, None, 2)

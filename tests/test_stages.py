@@ -132,14 +132,72 @@ def test_build(spark, tmp_path):
     assert set(rows) == {"a", "b", "c", "d"} and rows["a"]["split"] == rows["b"]["split"]
     assert (rows["d"]["trim_start"], rows["d"]["trim_end"], rows["d"]["trimmed"], rows["d"]["lyrics"]) == (50.0, 250.0, True, "[Drop]\n[Instrumental]\n")
     assert rows["a"]["lyrics"] == "[Instrumental]\n" and not rows["a"]["trimmed"]
-    assert json.loads(rows["a"]["document"]) == {"caption": CAPTION, "caption_variants": [CAPTION, "composition", "production", "tags"], "bpm": "120", "timesignature": "4"}
+    assert json.loads(rows["a"]["document"]) == {"caption": CAPTION, "caption_variants": [CAPTION, "composition", "production", "tags"], "language": "instrumental", "master_annotation": GOOD, "bpm": 120, "timesignature": "4"}
+    assert rows["d"]["final_json_path"] == f"data/final_dataset/{rows['d']['split']}/d.json" and rows["d"]["final_audio_path"].endswith("/d.flac") and rows["d"]["final_lyrics_path"].endswith("/d.lyrics.txt")
     assert {r["sample_id"]: r["reason"] for r in out.errors.collect()} == {"short": "output_duration_invalid:20.0", "broken": "RuntimeError: trim_failed", "nobeat": "overlength_audio_has_no_downbeats"}
     assert all((r["part"] is None) == (r["split"] == "validation") for r in rows.values())
     report = out.report.first()
-    assert (report["status"], report["input_records"], report["validated_records"], report["shared_audio_records_preserved"], report["n_errors"], report["trimmed_records"]) == ("failed", 7, 4, 1, 3, 1)
+    assert (report["status"], report["input_records"], report["validated_records"], report["shared_audio_records_preserved"], report["n_errors"], report["trimmed_records"]) == ("failed", 7, 4, 5, 3, 1)  # five samples name no audio
     assert report["part0_hours"] == round(sum(r["final_duration"] for r in rows.values() if r["part"] == 0) / 3600, 3)
 
 
+def test_build_waits_for_all(spark, tmp_path):
+    training = spark.createDataFrame([(i, f"k{i}", 100.0, "accepted") for i in "abc"], "sample_id string, record_key string, duration double, quality_status string")
+    annotated = training.select("sample_id", F.lit("accepted").alias("annotation_status"), F.from_json(F.lit(json.dumps(GOOD)), annotation.RESULT).alias("annotation"))
+    out = stages.build(training, annotated.where("sample_id <> 'b'"), mir_of(spark, ["a", "b"]), Renderer, f"file://{tmp_path}/k")
+    assert {tuple(r) for r in out.errors.collect()} == {("b", "kb", "annotation_missing"), ("c", "kc", "mir_missing")} and out.records.count() == 0
+    report = out.report.first()
+    assert (report["status"], report["n_errors"], report["input_records"], report["validated_records"]) == ("preflight_failed", 2, 3, 0)
+
+
+class Busy:
+    """Refuses each row of its list as often as it says, and writes when it was called."""
+
+    def __init__(self, folder, times, lost=False):
+        self.folder, self.times, self.lost = folder, times, lost
+
+    def __call__(self, row):
+        sid = row["sample_id"]
+        n = len([f for f in os.listdir(self.folder) if f.startswith(sid + ".")])
+        open(os.path.join(self.folder, f"{sid}.{n}"), "w").close()
+        if n < self.times.get(sid, 0):
+            raise adapters.Rejected(429, "later")
+        return {"vocal_status": "lyrics", "recommended_action": "separate_vocals", "lyrics_prominence": 0.4, "reason": "sung", "usage": {"tokens": 7}}
+
+
+def test_pauses_last_over_rounds_and_restarts(spark, tmp_path):
+    (tmp_path / "calls").mkdir()
+    audio = spark.createDataFrame([("a", True), ("b", True), ("c", True)], "sample_id string, audio_valid boolean")
+    clock, slept = [1000.0], []
+
+    def sleep(seconds):
+        slept.append(seconds)
+        clock[0] += seconds
+
+    class Lost(Exception):
+        pass
+
+    def lose(seconds):
+        raise Lost
+
+    factory = lambda: Busy(str(tmp_path / "calls"), {"b": 3, "c": 9})
+    run = lambda how: stages.classify(audio, factory, f"file://{tmp_path}/k", attempts=5, sleep=how, model="m", clock=lambda: clock[0], calls=2)
+    with pytest.raises(Lost):
+        run(lose)  # the driver is lost in the first pause
+    assert sorted(os.listdir(tmp_path / "calls")) == ["a.0", "b.0", "c.0"]
+    clock[0] += 0.5
+    rows = {r["sample_id"]: r for r in run(sleep).collect()}
+    assert (rows["a"]["classification_attempts"], rows["b"]["classification_attempts"], rows["c"]["classification_attempts"]) == (1, 4, 5)
+    assert rows["c"]["classification_error"] == "429 later" and rows["b"]["classification_status"] == "complete" and json.loads(rows["a"]["classification_usage"]) == {"tokens": 7}
+    assert sorted(os.listdir(tmp_path / "calls")) == ["a.0", *(f"b.{i}" for i in range(4)), *(f"c.{i}" for i in range(5))]
+    assert rows["a"]["classified_at"] == "1970-01-01T00:16:40.000000+00:00" and rows["a"]["classification_model"] == "m" and rows["c"]["classified_at"] > rows["b"]["classified_at"]
+    # pauses of 2, 4, 8, 16 seconds and a fraction each, half a second of the first went by before the restart
+    assert 29.5 <= sum(slept) <= 34 and 1.5 <= slept[0] < 2.5
+    with pytest.raises(Lost):
+        run(lose)
+    assert "a.1" in os.listdir(tmp_path / "calls")  # the run before ended, so this one began anew
+
+
 def test_selection(spark):
     vocal = spark.createDataFrame([("o", "instrumental", "failed"), ("f", "lyrics", "complete"), ("w", "lyrics", "complete"), ("u", "uncertain", "complete"), ("n", None, "failed")], "sample_id string, vocal_status string, classification_status string").withColumns({"duration": F.lit(9.0), "canonical_path": F.concat(F.lit("/"), "sample_id")})
     # of two checks the last counts; a failed recheck without a status still says that the sample was separated
@@ -199,69 +257,30 @@ def test_tracker_goes_on_from_its_state(spark):
     assert rest == {k: v for k, v in whole.items() if k[1] >= 3}
 
 
-def test_media_clients(tmp_path):
-    asked = []
-
-    def run(command, timeout):
-        asked.append(command)
-        if command[0] == "ffprobe":
-            return (False, "no such file") if command[-1] == "gone" else (True, "{" if command[-1] == "odd" else json.dumps({"format": {"duration": "12.5"}, "streams": [{"codec_type": "video"}, {"codec_type": "audio", "codec_name": "flac", "sample_rate": "48000", "channels": 2}]}))
-        if "-af" in command:
-            return True, "x silence_duration: 2.5\ny silence_duration: 3 z"
-        if "fail" in command:
-            return False, "cannot"
-        open(command[-1], "w").close()
-        return True, ""
-
-    assert media.Probe("p", run)({"p": "f"}) == {"duration": 12.5, "has_audio": True, "codec": "flac", "sample_rate": 48000, "channels": 2}
-    for path in ("gone", "odd"):
-        with pytest.raises(media.MediaError, match="probe_failed:"):
-            media.Probe("p", run)({"p": path})
-    assert media.Silence("p", run=run)({"p": "f", "duration": 11.0}) == {"silence_ratio": 0.5} and media.Silence("p", run=run)({"p": "f", "duration": 0.0}) == {"silence_ratio": None}
-    row = {"raw_path": "in.wav", "canonical_path": str(tmp_path / "c" / "a.flac"), "preview_path": str(tmp_path / "p.mp3"), "s": 1.0, "e": 3.5}
-    assert media.canonicalise(run=run)(row) == {"path": row["canonical_path"], "made": True} and media.canonicalise(run=run)(row)["made"] is False
-    assert media.preview(run=run)(row)["made"] and sorted(os.listdir(tmp_path / "c")) == ["a.flac"]
-    media.trimmed("canonical_path", "preview_path", "s", "e", run=run)(row)
-    assert asked[-1][5:11] == ["-ss", "1.000", "-i", row["canonical_path"], "-t", "2.500"]
-    with pytest.raises(media.MediaError, match="canonicalize_failed:cannot"):
-        media.canonicalise(run=run)(row | {"raw_path": "fail", "canonical_path": str(tmp_path / "d.flac")})
-    assert not (tmp_path / "d.flac").exists()
-    assert adapters.run(["python", "-c", "print('x')"]) == (True, "x\n") and adapters.run(["python", "-c", "import sys; sys.exit('a\\nb')"])[1].startswith("a b") and not adapters.run(["no-such-program"])[0]
-
-
-def separator():
-    return lambda row: {"separated_path": f"/s/{row['sample_id']}", "preview_path": "p"}
+TOLD = "sample_id string, result string, error string"
 
 
-def analyser():
-    def analyse(row):
-        if row["sample_id"] == "bad":
-            raise RuntimeError("no beats")
-        return {"bpm": 300.0 if row["sample_id"] == "fast" else 127.9, "key": "A", "scale": "minor", "strength": 0.651234567, "beats": [0.12345], "downbeats": [1.0, 2.0, 3.0, 4.0], "beat_positions": [1, 2, 3, 4] * 4, "segments": [{"label": n, "start": 0.0, "end": 1.23456} for n in ("start", "chorus", "Chorus", "chorus")]}
-
-    return analyse
-
-
-def encoder():
-    def encode(row):
-        if row["text"] == "bad":
-            raise RuntimeError("no")
-        return {"n": len(row["text"])}
-
-    return encode
+def test_probes_and_logs(spark):
+    stream = {"codec_type": "audio", "codec_name": "flac", "sample_rate": "48000", "channels": 2}
+    rows = [("good", json.dumps({"format": {"duration": "12.5"}, "streams": [{"codec_type": "video"}, stream, stream | {"codec_name": "mp3"}]}), None), ("mute", json.dumps({"format": {"duration": "N/A"}, "streams": []}), None), ("odd", "{", None), ("gone", None, "no such file"), ("none", None, None)]
+    got = {r["sample_id"]: (r["duration"], r["has_audio"], r["codec"], r["sample_rate"], r["channels"], r["probe_error"]) for r in media.probed(spark.createDataFrame(rows, TOLD)).collect()}
+    assert got == {"good": (12.5, True, "flac", 48000, 2, None), "mute": (0.0, False, None, 0, 0, None), "odd": (0.0, False, None, 0, 0, "probe_failed:no JSON"), "gone": (0.0, False, None, 0, 0, "probe_failed:no such file"), "none": (0.0, False, None, 0, 0, "probe_failed:no JSON")}
+    logs = spark.createDataFrame([("a", "x silence_duration: 2.5\ny silence_duration: 3 z", None, 11.0), ("b", "", None, 0.0), ("c", None, "broken", 4.0)], TOLD + ", duration double")
+    assert {r["sample_id"]: (r["silence_ratio"], r["decode_error"]) for r in media.silent(logs).collect()} == {"a": (0.5, None), "b": (None, None), "c": (None, "full_decode_failed:broken")}
+    assert adapters.run(["python", "-c", "print('x')"]) == (True, "x\n") and adapters.run(["python", "-c", "import sys; sys.exit('a\\nb')"])[1].startswith("a b") and not adapters.run(["no-such-program"])[0]
 
 
-def test_models(spark):
-    targets = spark.createDataFrame([("a", 10.0), ("b", 20.0)], "sample_id string, duration double")
-    found = {r["sample_id"]: (r["separation_status"], r["separation_error"]) for r in media.separated(targets, separator, lambda row: {"duration": 10.5, "sample_rate": 48000, "channels": 2}, "full").collect()}
-    assert found == {"a": ("complete", None), "b": ("failed", "duration_mismatch")}
-    rows = {r["sample_id"]: r for r in media.analysed(spark.createDataFrame([("a",), ("fast",), ("bad",)], "sample_id string"), analyser).collect()}
+def test_answers_of_models(spark):
+    targets = spark.createDataFrame([("a", 10.0), ("b", 20.0), ("c", 1.0), ("d", 1.0)], "sample_id string, duration double")
+    answer = lambda i: json.dumps({"separated_path": f"/s/{i}", "preview_path": "p", "duration": 10.5, "sample_rate": 48000, "channels": 2})
+    told = spark.createDataFrame([("a", answer("a"), None), ("b", answer("b"), None), ("c", None, "RuntimeError: no")], TOLD)
+    found = {r["sample_id"]: (r["separation_status"], r["separation_error"], r["separated_path"]) for r in media.separated(targets, told, "full").collect()}
+    assert found == {"a": ("complete", None, "/s/a"), "b": ("failed", "duration_mismatch", "/s/b"), "c": ("failed", "RuntimeError: no", None), "d": ("failed", "no_answer", None)}
+    heard = {"bpm": 127.9, "key": "A", "scale": "minor", "strength": 0.651234567, "beats": [0.12345], "downbeats": [1.0, 2.0, 3.0, 4.0], "beat_positions": [1, 2, 3, 4] * 4, "segments": [{"label": n, "start": 0.0, "end": 1.23456} for n in ("start", "chorus", "Chorus", "chorus")]}
+    rows = {r["sample_id"]: r for r in media.analysed(spark.createDataFrame([("a", json.dumps(heard), None), ("fast", json.dumps(heard | {"bpm": 300.0}), None), ("bad", None, "RuntimeError: no beats")], TOLD)).collect()}
     assert (rows["a"]["bpm"], rows["a"]["keyscale"], rows["a"]["key_confidence"], rows["a"]["timesignature"], rows["a"]["beats"]) == (127, "A minor", 0.651235, "4", [0.123])
     assert [s["label"] for s in rows["a"]["sections"]] == ["Intro", "Drop", "Theme", "Final Drop"] and rows["a"]["sections"][1]["end"] == 1.235
     assert rows["fast"]["bpm"] is None and rows["bad"]["analysis_status"] == "failed"
-    texts = spark.createDataFrame([(1, ["a", "bbb", "cc"]), (2, ["a", "bad"])], "id int, v array<string>")
-    got = {r["id"]: (r["encoded"], r["error"]) for r in media.encoded_variants(texts, "id", "v", encoder).collect()}
-    assert [json.loads(x)["n"] for x in got[1][0]] == [1, 3, 2] and got[2] == (None, "RuntimeError: no")
 
 
 def test_containment_by_brute_force(spark):
