@@ -283,11 +283,13 @@ def test_answers_of_models(spark):
     assert rows["fast"]["bpm"] is None and rows["bad"]["analysis_status"] == "failed"
 
 
-def test_containment_by_brute_force(spark):
-    docs = [(1, "Alpha beta GAMMA, delta; epsilon"), (2, "beta gamma"), (3, "xbeta gammay delta epsilon"), (4, None), (5, "")]
-    items = [(1, "beta gamma"), (2, "a gamma, delta; e"), (3, "delta"), (4, "gamma, Delta; epsilon"), (5, None), (6, "ammay delta eps")]
-    got = {tuple(r) for r in contained.contained(spark.createDataFrame(docs, "doc_id int, text string"), spark.createDataFrame(items, "item_id int, text string"), "doc_id", "item_id").collect()}
-    assert got == {(d, i) for d, t in docs for i, x in items if t is not None and x is not None and x.lower() in t.lower()}
+@pytest.mark.parametrize("anchors", [1 << 20, 0])
+def test_containment_by_brute_force(spark, monkeypatch, anchors):
+    monkeypatch.setattr(contained, "ANCHORS", anchors)  # without room for anchors pairs meet without texts
+    docs = [(1, "Alpha beta GAMMA, delta; epsilon"), (2, "beta gamma"), (3, "xbeta gammay delta epsilon"), (4, None), (5, ""), (6, "Alpha beta GAMMA, delta; epsilon"), (6, "beta gamma")]
+    items = [(1, "beta gamma"), (2, "a gamma, delta; e"), (3, "delta"), (4, "gamma, Delta; epsilon"), (5, None), (6, "ammay delta eps"), (7, "beta GAMMA, delta"), (8, "gamma, delta; eps")]
+    out = contained.contained(spark.createDataFrame(docs, "doc_id int, text string"), spark.createDataFrame(items, "item_id int, text string"), "doc_id", "item_id")
+    assert sorted(map(tuple, out.collect())) == sorted((d, i) for d, t in docs for i, x in items if t is not None and x is not None and x.lower() in t.lower())
 
 
 def test_ranks_and_next_times(spark):
