@@ -100,6 +100,13 @@ def slices(batches: Iterator[pa.RecordBatch], size: int = SLICE) -> Iterator[pa.
         ctypes.CDLL(None).malloc_trim(0)
 
 
+def give_back() -> None:
+    """What this process no longer uses goes back to the machine."""
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):  # not every C library has it
+        ctypes.CDLL(None).malloc_trim(0)
+
+
 def parts(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyloom.llm.common import slices, stored, table
+from tallyloom.llm.common import give_back, slices, stored, table
 
 ORDER, SHARED, WINDOW, SAMPLE = 5, 3, 8, 4_000
 CLASS_DISCOUNT, FOLDS, CLUSTERS = 2.0, 3, 8
@@ -321,19 +321,27 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE):
         sums = np.zeros(len(keys), np.int64)
         np.add.at(sums, at, n[some])
         model = class_model(keys & ((1 << ORDER * _BITS) - 1), keys >> ORDER * _BITS, sums, lambda c: table_[np.searchsorted(contexts, c)])
-        return spark.sparkContext.broadcast((uuid.uuid4().hex, *model))
+        sent = spark.sparkContext.broadcast((uuid.uuid4().hex, *model))
+        del model, keys, at, sums
+        give_back()
+        return sent
 
     rows = []
     for f in range(FOLDS):
         if len(set(toxic[fold != f].tolist())) == 2:
             model = made(fold != f)
             rows.append(texts.where(F.col("fold") == f).select("doc_id", "toxic", "text").mapInArrow(_measured(model), "doc_id long, toxic int, m array<double>").toArrow())  # of a bounded sample
-            model.unpersist()
-    rows = sorted(((r["doc_id"], r["toxic"], r["m"]) for part in rows for r in part.to_pylist()), key=lambda r: r[:2])
-    y = np.array([r[1] for r in rows])
+            model.destroy()  # all that it was for is here
+    if not rows:
+        return None
+    every = pa.concat_tables(rows).sort_by([("doc_id", "ascending"), ("toxic", "ascending")]).combine_chunks()
+    y, m = every["toxic"].to_numpy(), every["m"].combine_chunks().flatten().to_numpy().reshape(-1, MEASURES + _ALL)
     if len(set(y.tolist())) < 2:
         return None
-    return made(np.ones(len(gram), bool)), Judge(np.array([r[2] for r in rows]), y)
+    fitted = made(np.ones(len(gram), bool)), Judge(m, y)
+    del own, toxic, fold, gram, n, table_, contexts, rows, every, m, made
+    give_back()
+    return fitted
 
 
 def scored(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> DataFrame:
