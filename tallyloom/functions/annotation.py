@@ -60,3 +60,10 @@ def prompt(instruction: str, taxonomy: str, title: Column, artist: Column, versi
     metadata = F.struct(text(title).alias("title_for_identity_only"), text(artist).alias("artist_for_identity_only_do_not_copy_to_captions"), text(version).alias("version"), text(source).alias("audio_source"), text(vocal_status, "instrumental").alias("vocal_status"), F.array(F.coalesce(start, F.lit(0.0)), end).alias("annotation_window_seconds"))
     features = F.struct(*(mir[c].alias(c) for c in ("bpm", "keyscale", "key_confidence", "timesignature")), F.coalesce(mir["sections"], F.array().cast("array<struct<label:string,raw_label:string,start:double,end:double>>")).alias("sections"))
     return F.concat(F.lit(instruction + "\nMetadata: "), F.to_json(metadata, keep), F.lit("\nMIR: "), F.to_json(features, keep), F.lit("\nTaxonomy: " + taxonomy))
+
+
+def question(instruction: str, sample_id: Column, title: Column, artist: Column, version: Column) -> Column:
+    """The text of a request to classify a sample: the instruction and what is known of it as JSON; missing texts are empty."""
+    text = lambda c: F.coalesce(c, F.lit(""))
+    known = F.struct(sample_id.alias("sample_id"), text(title).alias("expected_title"), text(artist).alias("expected_artist"), text(version).alias("expected_version"))
+    return F.concat(F.lit(f"{instruction} Metadata: "), F.to_json(known))

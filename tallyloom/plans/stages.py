@@ -95,18 +95,20 @@ def _instant(seconds: Column) -> Column:
     return F.date_format(F.to_utc_timestamp(F.timestamp_micros((seconds * 1_000_000).cast("long")), F.current_timezone()), "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'+00:00'")
 
 
-def classify(audio: DataFrame, factory: Callable[[], adapters.Client], folder: str, done: DataFrame | None = None, limit: int | None = None, attempts: int = 5, sleep: Callable[[float], None] | None = None, model: str = "", effort: str = "minimal", clock: Callable[[], float] = time.time, calls: int | None = None) -> DataFrame:
-    """The classification manifest (with the model, its effort, the usage its answer tells and when it was asked): done, upserted with an answer or a failure for each valid sample of audio that isn't complete in done (the first limit by sample_id, if given). Run again with its own result, it asks for failures alone."""
+def classify(audio: DataFrame, factory: Callable[[], adapters.Client], folder: str, done: DataFrame | None = None, limit: int | None = None, attempts: int = 5, sleep: Callable[[float], None] | None = None, model: str = "", effort: str = "minimal", clock: Callable[[], float] = time.time, calls: int | None = None, instruction: str = "") -> DataFrame:
+    """The classification manifest (with the model, its effort, the usage its answer tells and when it was asked): done, upserted with an answer or a failure for each valid sample of audio that isn't complete in done (the first limit by sample_id, if given). Run again with its own result, it asks for failures alone. The client sees the row with its prompt, the instruction and what is known of the sample."""
     todo = audio.where(nulls.truthy(F.col("audio_valid")))
     if done is not None:
         todo = resume.pending(todo, done.where("classification_status = 'complete'"), ["sample_id"])
     if limit is not None:
         todo = resume.first_n(todo, limit, "sample_id")
     judge = lambda df: consistent(df["answer.vocal_status"], df["answer.recommended_action"], df["answer.lyrics_prominence"], df["answer.reason"])
-    out = asked(todo.drop("vocal_status", "lyrics_prominence", "recommended_action"), [factory], judge, f"{ANSWER}, usage string", folder, attempts, sleep, clock, calls, "classify")
+    text = lambda c: F.col(c) if c in todo.columns else F.lit("")
+    ask = annotation.question(instruction, F.col("sample_id"), text("expected_title"), text("expected_artist"), text("expected_version"))
+    out = asked(todo.drop("vocal_status", "lyrics_prominence", "recommended_action").withColumn("prompt", ask), [factory], judge, f"{ANSWER}, usage string", folder, attempts, sleep, clock, calls, "classify")
     failed = F.col("error").isNotNull()
     answers = {c: F.when(~failed, F.col(f"answer.{c}")) for c in ("vocal_status", "lyrics_prominence", "recommended_action", "reason")}
-    out = out.withColumns(answers | {"classification_status": F.when(failed, "failed").otherwise("complete"), "classification_error": F.col("error"), "classification_attempts": F.col("attempts"), "classification_model": F.lit(model), "classification_reasoning_effort": F.lit(effort), "classification_usage": F.when(~failed, F.col("answer.usage")), "classified_at": _instant(F.col("asked_at"))}).drop("answer", "error", "tier", "attempts", "asked_at")
+    out = out.withColumns(answers | {"classification_status": F.when(failed, "failed").otherwise("complete"), "classification_error": F.col("error"), "classification_attempts": F.col("attempts"), "classification_model": F.lit(model), "classification_reasoning_effort": F.lit(effort), "classification_usage": F.when(~failed, F.col("answer.usage")), "classified_at": _instant(F.col("asked_at"))}).drop("answer", "error", "tier", "attempts", "asked_at", "prompt")
     return out if done is None else resume.upsert(done, out, ["sample_id"])
 
 

@@ -150,6 +150,13 @@ def test_build_waits_for_all(spark, tmp_path):
     assert (report["status"], report["n_errors"], report["input_records"], report["validated_records"]) == ("preflight_failed", 2, 3, 0)
 
 
+def test_question_holds_what_is_known(spark):
+    row = spark.createDataFrame([("a", 'é "x"', None)], "sample_id string, t string, a string")
+    text = row.select(annotation.question("Listen.", F.col("sample_id"), F.col("t"), F.col("a"), F.lit("mix"))).first()[0]
+    head, known = text.split(" Metadata: ")
+    assert head == "Listen." and json.loads(known) == {"sample_id": "a", "expected_title": 'é "x"', "expected_artist": "", "expected_version": "mix"}
+
+
 class Busy:
     """Refuses each row of its list as often as it says, and writes when it was called."""
 
@@ -158,6 +165,7 @@ class Busy:
 
     def __call__(self, row):
         sid = row["sample_id"]
+        assert json.loads(row["prompt"].removeprefix(" Metadata: "))["sample_id"] == sid
         n = len([f for f in os.listdir(self.folder) if f.startswith(sid + ".")])
         open(os.path.join(self.folder, f"{sid}.{n}"), "w").close()
         if n < self.times.get(sid, 0):
