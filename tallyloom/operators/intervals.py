@@ -131,14 +131,19 @@ def best_window(duration: Column, downbeats: Column, sections: Column, weight, l
 
 
 def next_within(df: DataFrame, keys: list[str], at: str, target, reach: float, name: str, width: float | None = None) -> DataFrame:
-    """df with name: the first time (column at) of a target row (a condition) of the key at or after the row's own and no more than reach later, else null. A key's rows are sorted, never collected: in one task, or with width bucket by bucket, into which the first target time of later buckets is carried."""
+    """df with name: the first time (column at) of a target row (a condition) of the key at or after the row's own and no more than reach later, else null. A key's rows are sorted, never collected: in one task, or with width bucket by bucket, into which the first target time of later buckets is carried.
+
+    Rows are scanned from the latest to the earliest, so a row costs one step: a frame that ends with its partition, or slides, is gone through anew for every row.
+    """
     when = F.when(target, F.col(at))
+    first = lambda *own: F.min("_when").over(Window.partitionBy(*own).orderBy(F.col(at).desc()).rangeBetween(Window.unboundedPreceding, Window.currentRow))
     if width is None:
-        return df.withColumn(name, F.min(when).over(Window.partitionBy(*keys).orderBy(at).rangeBetween(0, reach)))
-    rows = scans.carried(df.withColumn("_step", scans.bucket(at, width)).withColumn("_when", when), keys, "_step", after={"_later": ("_when", F.min)})
-    own = F.min("_when").over(Window.partitionBy(*keys, "_step").orderBy(at).rangeBetween(0, Window.unboundedFollowing))
-    seen = F.coalesce(own, "_later")
-    return rows.withColumn(name, F.when(seen <= F.col(at) + reach, seen)).drop("_step", "_when", "_later")
+        rows, seen = df.withColumn("_when", when), first(*keys)
+    else:
+        rows = scans.carried(df.withColumn("_step", scans.bucket(at, width)).withColumn("_when", when), keys, "_step", after={"_later": ("_when", F.min)})
+        seen = F.coalesce(first(*keys, "_step"), "_later")
+    found = rows.withColumn("_seen", seen)
+    return found.withColumn(name, F.when(F.col("_seen") <= F.col(at) + reach, F.col("_seen"))).drop("_step", "_when", "_later", "_seen")
 
 
 def ranked(df: DataFrame, keys: list[str], order: list[str], name: str, width: int = 256) -> DataFrame:

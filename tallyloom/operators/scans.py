@@ -22,8 +22,8 @@ def carried(rows: DataFrame, keys: list[str], step: str, before: dict[str, Fold]
     before, after = before or {}, after or {}
     every = before | after
     sums = rows.groupBy(*keys, step).agg(*(fold(c).alias(f"_sum_{n}") for n, (c, fold) in every.items()))
-    order = Window.partitionBy(*keys).orderBy(step)
-    earlier, later = order.rowsBetween(Window.unboundedPreceding, -1), order.rowsBetween(1, Window.unboundedFollowing)
+    # later buckets are those before it in descending order: a frame up to the end of a key is gone through anew for every row
+    earlier, later = (Window.partitionBy(*keys).orderBy(o).rowsBetween(Window.unboundedPreceding, -1) for o in (F.col(step).asc_nulls_first(), F.col(step).desc_nulls_last()))
     scan = [every[n][1](f"_sum_{n}").over(w).alias(n) for names, w in ((before, earlier), (after, later)) for n in names]
     named = sums.select(*(F.col(c).alias(f"_of_{c}") for c in (*keys, step)), *scan)
     on = [F.col(c).eqNullSafe(F.col(f"_of_{c}")) for c in (*keys, step)]

@@ -249,6 +249,7 @@ def interval_merge(spark, d):
 
 #: Microseconds of a bucket of a scan over one key.
 WEEK = 7 * 86_400_000_000
+HOUR = 3_600_000_000
 
 
 @query(merged_sql(SPANS).replace("user_id", "one").replace("SELECT one, event_type", "SELECT 0 AS one, event_type"))
@@ -302,7 +303,7 @@ def snap_nearest(spark, d):
 def next_scan(spark, d):
     # the next view by anybody within an hour: one key for all events
     rows = t(spark, d, "events").select("event_id", F.lit(0).alias("one"), "event_type", micros("ts").alias("at"))
-    return intervals.next_within(rows, ["one"], "at", F.col("event_type") == "view", 3600000000, "next", width=WEEK).where("next IS NOT NULL").select("event_id", "next")
+    return intervals.next_within(rows, ["one"], "at", F.col("event_type") == "view", HOUR, "next", width=HOUR).where("next IS NOT NULL").select("event_id", "next")
 
 
 @query(f"""WITH s AS ({SPANS.replace("SELECT user_id", "SELECT event_id, user_id")}) SELECT a.event_id AS purchase, b.event_id AS error, least(a."end", b."end") - greatest(a.start, b.start) AS shared

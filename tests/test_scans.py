@@ -1,6 +1,7 @@
 """Scans over hot keys, the balance of large groups and the range join against plain versions."""
 
 import random
+from bisect import bisect_left
 
 import pytest
 from pyspark.sql import functions as F
@@ -37,6 +38,22 @@ def test_next_by_buckets(spark, spans, width):
     assert rows_of(intervals.next_within(rows, *args, width=width)) == rows_of(intervals.next_within(rows, *args))
 
 
+@pytest.mark.parametrize("width", [None, 10**9, 3_000])
+def test_next_of_a_hot_key_takes_a_step_a_row(spark, width):
+    # a frame up to the end of its partition costs the square of its rows: minutes here
+    n = 60_000
+    at = lambda i: i * 7919 % n * 5
+    rows = spark.range(n).select(F.lit("hot").alias("k"), F.pmod(F.col("id") * 7919, F.lit(n)) * 5, "id").toDF("k", "at", "i").unionByName(spark.createDataFrame([("hot", None, -1)], "k string, at long, i long"))
+    out = intervals.next_within(rows, ["k"], "at", F.col("i") % 3 == 0, 9, "next", width=width)
+    assert "FOLLOWING" not in out._jdf.queryExecution().analyzed().toString().upper()
+    wanted = sorted(at(i) for i in range(0, n, 3))
+    got = {r["i"]: r["next"] for r in out.select("i", "next").collect()}
+    assert got.pop(-1) is None and len(got) == n
+    for i, v in got.items():
+        j = bisect_left(wanted, at(i))
+        assert v == (wanted[j] if j < len(wanted) and wanted[j] <= at(i) + 9 else None)
+
+
 def test_a_hot_key_is_many_tasks(spark):
     one = spark.range(20_000).select(F.floor(F.col("id") / 10**9).alias("k"), (F.col("id") * 10).alias("start"), (F.col("id") * 10 + 3).alias("end"))
     tasks = lambda df: len([n for n in df.rdd.mapPartitions(lambda it: [sum(1 for _ in it)]).collect() if n])
