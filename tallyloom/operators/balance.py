@@ -16,8 +16,8 @@ from pyspark.sql import types as T
 
 from tallyloom.session import shared_dir
 
-#: Ranges kept of a block's map.
-PIECES = 16
+#: Ranges kept of a block's map, and rows of a block. A block whose map doesn't say what comes out is a job by itself, one after the other: blocks grow in number with the rows, not with the cluster's shuffle partitions.
+PIECES, BLOCK = 16, 250_000
 
 
 def folded(weights: list[int], d: int) -> tuple[list[int], int]:
@@ -58,10 +58,10 @@ def _ordered(table: pa.Table, order: str) -> pa.Table:
 def balanced(df: DataFrame, group: list[str], weight: str, order: str, unit: float = 1.0, blocks: int | None = None) -> DataFrame:
     """Adds part (0 or 1), as folds.balanced with two parts does: heaviest first, ties in the order given, the first of equal parts.
 
-    Weights count in whole units (of 0.001, say), so sums are exact; a null weight counts as 0, a negative one is an error. Rows are carried as they are, repeated ones too; rows with a null group are a group. The rows are sorted into blocks (default: shuffle partitions) and written once. What is collected are the ranges of the blocks of groups that have more than one, at most two groups' for each block.
+    Weights count in whole units (of 0.001, say), so sums are exact; a null weight counts as 0, a negative one is an error. Rows are carried as they are, repeated ones too; rows with a null group are a group. The rows are sorted into blocks (default: one for each BLOCK rows) and written once. What is collected are the ranges of the blocks of groups that have more than one, at most two groups' for each block.
     """
     spark, names = df.sparkSession, [f"_{c}" for c in group]
-    n = blocks or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    n = blocks or max(1, -(-df.count() // BLOCK))
     w = F.round(F.coalesce(F.col(weight), F.lit(0)) / unit).cast("long")
     rows = df.drop("part").withColumn("_w", F.when(w < 0, F.raise_error(F.lit("negative weight"))).otherwise(w))
     by = [*group, F.desc("_w"), order]

@@ -94,6 +94,17 @@ def test_balance_in_blocks(spark, kind):
         assert rows_of(balance.balanced(seconds, ["grp"], "w", "i", 0.001, blocks=7).drop("w")) == rows_of(got.drop("w"))
 
 
+def test_blocks_grow_with_the_rows(spark, monkeypatch):
+    # each block may be a job after the one before it, so shuffle partitions must not make more of them
+    asked, starts = [], balance._starts
+    monkeypatch.setattr(balance, "_starts", lambda *a: asked.append(len(a[-1][0][1])) or starts(*a))
+    df = spark.range(3000).select(F.lit("one").alias("grp"), F.pmod(F.xxhash64("id"), F.lit(900)).alias("w"), "id")
+    expected = rows_of(folds.balanced(df, ["grp"], "w", "id"))
+    assert rows_of(balance.balanced(df, ["grp"], "w", "id")) == expected and asked == []
+    monkeypatch.setattr(balance, "BLOCK", 1000)
+    assert rows_of(balance.balanced(df, ["grp"], "w", "id")) == expected and asked == [3]
+
+
 def test_balance_of_few_rows(spark):
     empty = spark.createDataFrame([], "grp int, w int, i int")
     assert balance.balanced(empty, ["grp"], "w", "i").count() == 0
