@@ -189,10 +189,34 @@ def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array(keys, pa.binary()), pa.array([s.view(np.int64) for s in sets], pa.list_(pa.int64()))], names=["key", "shingles"])
 
 
+#: Bits of the parity that says which pairs' whole sets are worth moving; 256 (alike.py) part no sets of a thousand elements.
+WIDE = 4096
+
+
+def wide_parity(own: np.ndarray) -> np.ndarray:
+    """For each of WIDE hash values, whether an odd number of the distinct hashes has it: WIDE / 64 signed longs."""
+    odd = np.bincount((own >> np.uint64(64 - WIDE.bit_length() + 1)).astype(np.int64), minlength=WIDE) & 1
+    return np.packbits(odd.astype(np.uint8)).view(np.int64)
+
+
+def _wide_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in _sets(batches):
+        wide = [wide_parity(s.values.to_numpy().view(np.uint64)) for s in batch.column(1)]
+        yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(wide, pa.list_(pa.int64()))], names=["key", "shingles", "wide"])
+
+
+def possible(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """The pairs (a, b) whose wide parities (sets: key, shingles, wide; repeats agree) allow 0.8. They differ in no more bits than the sets have elements that only one holds, (n + m) / 9 at most, so no pair is lost."""
+    narrow = sets.select("key", F.size("shingles").alias("n"), "wide").groupBy("key").agg(F.first("n").alias("n"), F.first("wide").alias("w"))
+    x, y = (narrow.select(F.col("key").alias(e), F.col("n").alias(f"{e}_n"), F.col("w").alias(f"{e}_w")) for e in ("a", "b"))
+    apart = F.aggregate(F.zip_with("a_w", "b_w", lambda p, q: F.bit_count(p.bitwiseXOR(q))), F.lit(0), lambda total, d: total + d)
+    return pairs.join(x, "a").join(y, "b").where(9 * apart <= F.col("a_n") + F.col("b_n")).select("a", "b")
+
+
 def near_classes(docs: DataFrame) -> DataFrame:
     """doc_id, t1, t2 (hashes of the text), root (the class), component_id of every row of docs, by the exact Jaccard similarity of the sets of 5-word shingles (0.8 or more).
 
-    Candidates come from the forest of vantage-point trees over fingerprints of 5-word shingles (links()), then from rare shingles that documents share; each is verified on whole sets. 64 bits can't tell a similarity of 0.8 for all pairs, so a prefix filter (alike.py) completes them: no pair is lost. Texts with one set of shingles are one class throughout; those without words are one. Only the prefixes of all texts are moved, and whole sets of the candidates. component_id is the smallest doc_id of the class (null if it has none).
+    Candidates come from the forest of vantage-point trees over fingerprints of 5-word shingles (links()), then from rare shingles that documents share; each is verified on whole sets. 64 bits can't tell a similarity of 0.8 for all pairs, so a prefix filter (alike.py) completes them: no pair is lost. Texts with one set of shingles are one class throughout; those without words are one. Only the prefixes of all texts are moved, a wide parity of each candidate, and whole sets of the candidates that these don't part. component_id is the smallest doc_id of the class (null if it has none).
     """
     text = F.col("text").cast("string")
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(text).alias("t1"), F.xxhash64(F.lit(1), text).alias("t2"), text.alias("text"))
@@ -225,7 +249,11 @@ def near_classes(docs: DataFrame) -> DataFrame:
         keys = pairs.select(F.col("a").alias("key")).distinct().unionByName(pairs.select(F.col("b").alias("key")).distinct()).distinct()
         ids = stored(distinct.join(keys, "key", "left_semi").select("rep.*").distinct(), "wanted")
         texts = among(rows, ids, ["doc_id", "t1", "t2"]).select("text")
-        sets = stored(texts.mapInArrow(_sets, "key binary, shingles array<long>").dropDuplicates(["key"]), "sets")
+        # whole sets stay where they were made; those of possible pairs alone are dealt out
+        every = stored(texts.mapInArrow(_wide_sets, "key binary, shingles array<long>, wide array<long>"), "sets")
+        pairs = stored(possible(pairs, every), "possible")
+        ends = pairs.select(F.explode(F.array("a", "b")).alias("key")).distinct()
+        sets = among(every.select("key", "shingles"), ends, ["key"]).dropDuplicates(["key"])
         sides = pairs.join(sets.select(F.col("key").alias("a"), F.col("shingles").alias("x")), "a").join(sets.select(F.col("key").alias("b"), F.col("shingles").alias("y")), "b")
         n = F.size("x") + F.size("y")
         return stored(sides.where((5 * F.least(F.size("x"), F.size("y")) >= 4 * F.greatest(F.size("x"), F.size("y"))) & (9 * F.size(F.array_intersect("x", "y")) >= 4 * n)).select("a", "b"), "links")

@@ -6,7 +6,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from tallyloom.llm import fixity, mixing, tokens
+from tallyloom.llm import alike, fixity, mixing, simhash, tokens
 
 DOCS = "doc_id long, text string, lang string, source string, n_chars long"
 
@@ -66,3 +66,24 @@ def test_equal_largest_and_null_ids(spark):
         own = [*tok.encode(text or "", add_special_tokens=False).ids, 0]
         assert (start, doc_id, n) == (at, d, len(own)) and zlib.crc32(ids) == zlib.crc32(np.array(own, "<u4").tobytes())
         at += n
+
+
+def test_wide_parity_parts_long_sets_and_loses_no_like_pair(spark):
+    rng = np.random.default_rng(3)
+    fresh = lambda n: rng.integers(0, 1 << 64, n, np.uint64)
+    base = np.unique(fresh(1600))
+    sets = {"base": base, "none": np.empty(0, np.uint64), "few": fresh(5), "unlike": np.union1d(fresh(1500), base[:60]), "half": np.union1d(base[:800], fresh(800))}
+    sets |= {f"like{k}": np.union1d(base[k:], fresh(k)) for k in (0, 40, 100, 170)}
+    sets |= {f"part{n}": base[:n] for n in (1280, 1281, 1500)}
+    jaccard = lambda a, b: len(np.intersect1d(sets[a], sets[b])) / max(1, len(np.union1d(sets[a], sets[b])))
+    rows = [(k.encode(), s.view(np.int64).tolist(), simhash.wide_parity(s).tolist()) for k, s in sets.items()]
+    frame = spark.createDataFrame([*rows, rows[0]], "key binary, shingles array<long>, wide array<long>")
+    pairs = [(a, b) for a in sets for b in sets if a < b]
+    out = simhash.possible(spark.createDataFrame([(a.encode(), b.encode()) for a, b in pairs], "a binary, b binary"), frame).collect()
+    kept = {(bytes(r["a"]).decode(), bytes(r["b"]).decode()) for r in out}
+    alike_ = {p for p in pairs if jaccard(*p) >= 0.8}
+    assert len(out) == len(kept) and alike_ <= kept and len(alike_) > 10
+    assert not kept & {("base", "unlike"), ("base", "half"), ("base", "few")}
+    # the sketch of 256 bits alone parts no sets as long as these
+    narrow = spark.createDataFrame([(k.encode(), len(s), *simhash.parity(s).tolist()) for k, s in sets.items()], "key binary, n int, p0 long, p1 long, p2 long, p3 long")
+    assert alike.able(spark.createDataFrame([(b"base", b"unlike")], "a binary, b binary"), narrow).count() == 1
