@@ -21,10 +21,10 @@ from tallyloom.llm.huffman import STRIDE, canonical, code_lengths, decode, decod
 from tallyloom.llm.ordering import bounds, in_ranges, order_key
 
 END_ID = 0
-#: Bytes of a block's bit stream at which it is closed; words whose ids a worker remembers.
-BLOCK, WORDS = 1 << 18, 1_500_000
-#: Bytes of text, and ids, that are worked on at once.
-STEP, IDS = 6 << 20, 1 << 20
+#: Bytes of a block's bit stream at which it is closed; words whose ids a worker remembers, and words that it learns at once.
+BLOCK, WORDS, LEARNT = 1 << 18, 500_000, 1 << 14
+#: Bytes of text, and ids, that are worked on at once; characters of texts that the tokenizer gets at once (one text at least), whose tokens take a hundred times as much.
+STEP, IDS, WHOLE = 3 << 20, 1 << 20, 1 << 18
 #: White space next to white space could make a token that spans the cut between two words.
 _WIDE = r"[\s\x0b\x1c-\x1f\x85\p{Z}][\s\x0b\x1c-\x1f\x85\p{Z}]"
 #: Marks that are a piece of their own after a word, if nothing follows them; how byte-level BPE writes a space, a line feed, and bytes that are no visible character.
@@ -89,8 +89,14 @@ class _Words:
             self.came[:] = 1
 
     def _learn(self, words: pa.Array) -> np.ndarray:
-        """Learn words and give their places in the order in which they were numbered. Letters are one piece for the tokenizer's model, and one mark after them another; other words go through the whole tokenizer."""
-        new = words.to_pylist()
+        """Learn words and give their places in the order in which they were numbered. A piece of them at a time: the tokenizer's own objects take far more than the ids."""
+        orders, ids, sizes = zip(*(self._encoded(words.slice(at, LEARNT).to_pylist()) for at in range(0, len(words), LEARNT)))
+        order = np.concatenate([own + at for own, at in zip(orders, range(0, len(words), LEARNT))])
+        self._keep(words.take(pa.array(order)), np.concatenate(ids), np.concatenate(sizes))
+        return order
+
+    def _encoded(self, new: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(places of the words in the order in which they were encoded, ids, number of each). Letters are one piece for the tokenizer's model, and one mark after them another; other words go through the whole tokenizer."""
         tokenize, marks, flat, sizes, plain, rest = self.tok.model.tokenize, self.marks, [], [], [], []
         quick = [i for i, w in enumerate(new) if w.isascii() and w.isalpha()]
         pieces = [tokenize(_SPACE + new[i]) for i in quick]
@@ -121,8 +127,7 @@ class _Words:
         spaced = [i for i in rest if new[i][:1] != "\n"]
         ids, n = self._whole([new[i] for i in spaced])
         order = np.array(quick + plain + lines + spaced, np.int64)
-        self._keep(words.take(pa.array(order)), np.concatenate([np.array(flat, np.uint32), ids]), np.concatenate([np.array(sizes, np.int64), n]))
-        return order
+        return order, np.concatenate([np.array(flat, np.uint32), ids]), np.concatenate([np.array(sizes, np.int64), n])
 
     def _whole(self, new: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """(ids, number of each). Words hold no space, so in a text of all of them each space opens a word, and so does each token that begins with one."""
@@ -142,6 +147,20 @@ class _Words:
         self.at, self.size, self.came = (np.concatenate([x, y.astype(np.int32)]) for x, y in ((self.at, starts), (self.size, sizes), (self.came, np.zeros(len(sizes)))))
 
 
+def _each(tok, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """(ids of all texts, one after the other; number of ids of each), WHOLE characters or one text at a time."""
+    ids, sizes, some, size = [np.empty(0, np.uint32)], [], [], 0
+    for i, text in enumerate(texts):
+        some.append(text)
+        size += len(text)
+        if size >= WHOLE or i == len(texts) - 1:
+            own = [np.array(e.ids, np.uint32) for e in tok.encode_batch_fast(some, add_special_tokens=False)]
+            ids.append(np.concatenate(own))
+            sizes += map(len, own)
+            some, size = [], 0
+    return np.concatenate(ids), np.array(sizes, np.int32)
+
+
 @cache
 def _words(path: str) -> _Words:
     return _Words(path)
@@ -163,9 +182,8 @@ def encode_texts(texts: pa.Array, path: str) -> tuple[np.ndarray, np.ndarray]:
     number = known.find(words.dictionary)
     # The first word of each text, which no space precedes (a wide text: all of it), and the end id come after the pool's.
     heads = pc.if_else(wide, texts, words.dictionary.take(pa.array(which[starts[:-1]]))).to_pylist()
-    heads = [e.ids for e in known.tok.encode_batch_fast(heads, add_special_tokens=False)]
-    sizes = np.array([len(h) for h in heads], np.int32)
-    flat = np.concatenate([known.pool, np.array([i for h in heads for i in h], np.uint32), np.array([END_ID], np.uint32)])
+    heads, sizes = _each(known.tok, heads)
+    flat = np.concatenate([known.pool, heads, np.array([END_ID], np.uint32)])
     # Stretches of the ids in order: the words, an end after each text's.
     at, n = np.full(len(which) + len(texts), len(flat) - 1, np.int32), np.ones(len(which) + len(texts), np.int32)
     place = np.arange(len(which)) + np.repeat(np.arange(len(texts)), np.diff(starts))

@@ -3,6 +3,7 @@
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -87,3 +88,24 @@ def test_wide_parity_parts_long_sets_and_loses_no_like_pair(spark):
     # the sketch of 256 bits alone parts no sets as long as these
     narrow = spark.createDataFrame([(k.encode(), len(s), *simhash.parity(s).tolist()) for k, s in sets.items()], "key binary, n int, p0 long, p1 long, p2 long, p3 long")
     assert alike.able(spark.createDataFrame([(b"base", b"unlike")], "a binary, b binary"), narrow).count() == 1
+
+
+def test_a_tokenizer_gets_bounded_pieces(monkeypatch):
+    path, sent = tokens.tokenizer_path(), []
+    known = tokens._Words(path)
+
+    class Tokenizer:
+        model = known.tok.model
+
+        def encode_batch_fast(self, texts, **options):
+            sent.append(sum(map(len, texts)))
+            return plain.encode_batch_fast(texts, **options)
+
+    plain, known.tok = known.tok, Tokenizer()
+    monkeypatch.setattr(tokens, "_words", lambda at: known)
+    texts = [f"wide{i}  text {i}\n " * 100 for i in range(600)] + [None, "", "a"] + [" ".join(f"w{i}x{k}," for k in range(200)) for i in range(300)]
+    ids, n = tokens.encode_texts(pa.array(texts), path)
+    assert max(sent) <= 2 * tokens.WHOLE < sum(map(len, texts[:600]))
+    every = [[*plain.encode(t or "", add_special_tokens=False).ids, tokens.END_ID] for t in texts]
+    assert n.tolist() == [len(e) for e in every]
+    assert ids.tolist() == [i for e in every for i in e]
