@@ -206,11 +206,8 @@ def _wide_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def possible(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """The pairs (a, b) whose wide parities (sets: key, shingles, wide; repeats agree) allow 0.8. They differ in no more bits than the sets have elements that only one holds, (n + m) / 9 at most, so no pair is lost."""
-    narrow = sets.select("key", F.size("shingles").alias("n"), "wide").groupBy("key").agg(F.first("n").alias("n"), F.first("wide").alias("w"))
-    x, y = (narrow.select(F.col("key").alias(e), F.col("n").alias(f"{e}_n"), F.col("w").alias(f"{e}_w")) for e in ("a", "b"))
-    apart = F.aggregate(F.zip_with("a_w", "b_w", lambda p, q: F.bit_count(p.bitwiseXOR(q))), F.lit(0), lambda total, d: total + d)
-    return pairs.join(x, "a").join(y, "b").where(9 * apart <= F.col("a_n") + F.col("b_n")).select("a", "b")
+    """The pairs (a, b) whose wide parities (sets: key, shingles, wide; repeats agree) allow 0.8."""
+    return alike.within(pairs, sets.select("key", F.size("shingles").alias("n"), "wide").groupBy("key").agg(F.first("n").alias("n"), F.first("wide").alias("wide")))
 
 
 def near_classes(docs: DataFrame) -> DataFrame:

@@ -7,7 +7,7 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from tallyloom.llm import alike, fixity, mixing, simhash, tokens
+from tallyloom.llm import alike, fixity, lines, mixing, simhash, tokens
 
 DOCS = "doc_id long, text string, lang string, source string, n_chars long"
 
@@ -109,3 +109,16 @@ def test_a_tokenizer_gets_bounded_pieces(monkeypatch):
     every = [[*plain.encode(t or "", add_special_tokens=False).ids, tokens.END_ID] for t in texts]
     assert n.tolist() == [len(e) for e in every]
     assert ids.tolist() == [i for e in every for i in e]
+
+
+def test_long_lines_are_parted_before_they_are_compared(spark):
+    rng = np.random.default_rng(3)
+    base = rng.integers(-(2**63), 2**63 - 1, 900)
+    sets = [base, np.concatenate([base[:850], rng.integers(-(2**63), 2**63 - 1, 50)]), np.concatenate([base[:200], rng.integers(-(2**63), 2**63 - 1, 700)])]
+    rows = spark.createDataFrame([(i, sorted(s.tolist())) for i, s in enumerate(sets)], "key int, shingles array<long>")
+    wide = lines.widened(rows)
+    for r in wide.collect():
+        odd = np.bincount((sets[r["key"]].view(np.uint64) >> np.uint64(54)).astype(int), minlength=1024) & 1
+        assert r["n"] == 900 and [int(v) & (2**64 - 1) for v in r["wide"]] == [sum(int(b) << k for k, b in enumerate(odd[64 * i : 64 * i + 64])) for i in range(16)]
+    pairs = spark.createDataFrame([(0, 1), (0, 2), (1, 2)], "a int, b int")
+    assert [tuple(r) for r in alike.within(pairs, wide).collect()] == [(0, 1)]
