@@ -1,5 +1,6 @@
 """Cases that earlier rounds got wrong."""
 
+import random
 import zlib
 
 import numpy as np
@@ -122,3 +123,34 @@ def test_long_lines_are_parted_before_they_are_compared(spark):
         assert r["n"] == 900 and [int(v) & (2**64 - 1) for v in r["wide"]] == [sum(int(b) << k for k, b in enumerate(odd[64 * i : 64 * i + 64])) for i in range(16)]
     pairs = spark.createDataFrame([(0, 1), (0, 2), (1, 2)], "a int, b int")
     assert [tuple(r) for r in alike.within(pairs, wide).collect()] == [(0, 1)]
+
+
+def test_lines_of_large_bands_are_met_without_writing_their_sets(spark, monkeypatch):
+    rng = random.Random(7)
+    word = lambda: "".join(rng.choice("etaoinshrdlu") for _ in range(rng.randint(3, 8)))
+    passage, rows = [word() for _ in range(14)], []
+    for _ in range(60):  # a passage that all share, each with a near copy; then one dense group
+        own = [word() for _ in range(7)]
+        rows += [" ".join(own[:3] + passage + own[3:]), " ".join([*own[:3], *passage, *own[3:-1], word()])]
+    base = [word() for _ in range(20)]
+    for _ in range(60):
+        own = [*base]
+        own[rng.randrange(20)] = word()
+        rows.append(" ".join(own))
+    df = spark.createDataFrame(list(enumerate(rows)), "doc_id long, text string")
+    written, plain = [], lines.stored
+
+    def stored(df, name, *args, **options):
+        written.append((name, df.columns, out := plain(df, name, *args, **options)))
+        return out
+
+    monkeypatch.setattr(lines, "stored", stored)
+    kept = lambda: {r["doc_id"] for r in lines.flagged(df).where("kept").collect()}
+    found = kept()
+    # sets of shingles take eight times the text, so none is written; a dense group isn't compared pair by pair
+    assert not [name for name, columns, _ in written if "shingles" in columns]
+    assert sum(out.count() for name, _, out in written if name == "able") < 3 * len(rows)
+    # bands beyond HUGE lines, which the rare shingles join, give the same
+    monkeypatch.setattr(lines, "HUGE", 20)
+    written.clear()
+    assert kept() == found and {"prefixes"} <= {name for name, _, _ in written}
