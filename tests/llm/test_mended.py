@@ -1,6 +1,7 @@
 """Cases that earlier rounds got wrong."""
 
 import random
+import re
 import zlib
 
 import numpy as np
@@ -155,3 +156,34 @@ def test_lines_of_large_bands_are_met_without_writing_their_sets(spark, monkeypa
     monkeypatch.setattr(lines, "HUGE", 20)
     written.clear()
     assert kept() == found and {"prefixes"} <= {name for name, _, _ in written}
+
+
+def test_pairs_of_large_bands_are_told_once_by_compiled_code(spark, capsys):
+    rng = np.random.default_rng(5)
+    fresh = lambda n: rng.integers(-(2**63), 2**63 - 1, n)
+    base = fresh(150)
+    sets = [np.concatenate([base[: 60 + 2 * i], fresh(3)]) for i in range(40)]
+    bands = [{b for b in range(6) if (i + b) % 5} for i in range(40)]
+    wide = lines.widened(spark.createDataFrame([((i, -i), s.tolist()) for i, s in enumerate(sets)], "key struct<k1: long, k2: long>, shingles array<long>"))
+    crowd = spark.createDataFrame([(i, b) for i, own in enumerate(bands) for b in own], "k1 long, band long")
+    roots = spark.createDataFrame([((i, -i), (0, 0)) for i in range(10)], "node struct<k1: long, k2: long>, root struct<k1: long, k2: long>")
+    odd = [np.bincount((s.view(np.uint64) >> np.uint64(54)).astype(int), minlength=1024) & 1 for s in sets]
+    told = {(i, j): int((odd[i] != odd[j]).sum()) for j in range(40) for i in range(j) if bands[i] & bands[j]}
+    sizes = lambda i, j: (len(sets[i]), len(sets[j]))
+    may = {(*p, d) for p, d in told.items() if 5 * min(sizes(*p)) >= 4 * max(sizes(*p)) and 9 * d <= sum(sizes(*p))}
+    # lines that share several bands are one pair, and united ones none
+    found = lines.remaining(crowd, wide, roots)
+    assert sorted((r["a"]["k1"], r["b"]["k1"], r["differ"]) for r in found.collect()) == sorted(x for x in may if x[1] >= 10)
+    pairs = spark.createDataFrame([p for p in told for _ in range(2)], "a long, b long")
+    able = lines.able(pairs, wide)
+    assert sorted((r["a"]["k1"], r["b"]["k1"], r["differ"]) for r in able.collect()) == sorted(may)
+    # Java leaves methods beyond 8,000 bytes uncompiled
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        for df in (found, able):
+            capsys.readouterr()
+            df.select("*").explain("codegen")
+            found_sizes = [int(x) for x in re.findall(r"maxMethodCodeSize:(\d+)", capsys.readouterr().out)]
+            assert found_sizes and max(found_sizes) < 8_000
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
